@@ -6,7 +6,13 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from tidemark.operators.upsert import overwrite_touched, swap_in, write_new
+from tidemark.operators.upsert import (
+    overwrite_touched,
+    partition_spec,
+    partition_values,
+    swap_in,
+    write_new,
+)
 
 
 def ensure_schema(spark: SparkSession, name: str):
@@ -53,29 +59,27 @@ def replace_partitions(
     overwrite_touched(spark, observed, table, parts)
     if scope == "date":
         written = set(seen.get["written"])
-        for value in partition_values(spark, table, date_col, day, split_col):
-            if value not in written:
-                drop_partition(spark, table, {date_col: f"{day}", split_col: value})
+        listed = list_partitions(spark, table, date_col, day)
+        drop_partitions(spark, table, [p for p in listed if p[split_col] not in written])
 
 
-def partition_values(
-    spark: SparkSession, table: str, date_col: str, day: date, split_col: str
-) -> list[str]:
-    """Values of the second partition column that the catalog lists for a day."""
-    listed = spark.sql(f"SHOW PARTITIONS {table} PARTITION ({date_col} = '{day}')")
-    value = F.split_part("partition", F.lit(f"/{split_col}="), F.lit(2))
-    return [row[0] for row in listed.select(F.url_decode(value)).collect()]
+def list_partitions(
+    spark: SparkSession, table: str, date_col: str, day: date
+) -> list[dict[str, str]]:
+    """The partitions that the catalog lists for a day, as column -> value."""
+    listed = spark.sql(f"SHOW PARTITIONS {table} PARTITION ({date_col} = '{day}')").collect()
+    return [partition_values(row["partition"]) for row in listed]
 
 
-def drop_partition(spark: SparkSession, table: str, values: dict[str, str]):
-    quoted = {name: value.replace("\\", "\\\\").replace("'", "\\'") for name, value in values.items()}
-    spec = ", ".join(f"{name} = '{value}'" for name, value in quoted.items())
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+def drop_partitions(spark: SparkSession, table: str, partitions: list[dict[str, str]]):
+    if partitions:
+        specs = ", ".join(partition_spec(values) for values in partitions)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
 
 
 def delete_date(spark: SparkSession, table: str, date_col: str, day: date):
     """Remove one day; a catalog operation, no rows are read."""
-    drop_partition(spark, table, {date_col: f"{day}"})
+    drop_partitions(spark, table, list_partitions(spark, table, date_col, day))
 
 
 def without_date(df: DataFrame, date_col: str, day: Column) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -103,7 +104,7 @@ def swap_in(df: DataFrame, table: str, partition_cols: list[str]):
     unfinished, complete = f"{table}__unfinished", f"{table}__complete"
     spark.sql(f"DROP TABLE IF EXISTS {unfinished}")
     write_new(df, unfinished, partition_cols)
-    spark.sql(f"ALTER TABLE {unfinished} RENAME TO {complete}")
+    rename_table(spark, unfinished, complete)
     finish_swap(spark, table)
 
 
@@ -113,7 +114,37 @@ def finish_swap(spark: SparkSession, table: str):
     if spark.catalog.tableExists(complete):
         if spark.catalog.tableExists(table):
             spark.sql(f"DROP TABLE {table}")
-        spark.sql(f"ALTER TABLE {complete} RENAME TO {table}")
+        rename_table(spark, complete, table)
+
+
+def rename_table(spark: SparkSession, old: str, new: str):
+    """Rename a managed table. The session-local catalog moves the files of a partitioned
+    table but keeps the old partition locations, so they are set again there."""
+    spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
+    partitioned = any(column.isPartition for column in spark.catalog.listColumns(new))
+    if not partitioned or spark.conf.get("spark.sql.catalogImplementation") != "in-memory":
+        return
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {new}").where("col_name = 'Location'")
+    root = described.first()["data_type"]
+    for row in spark.sql(f"SHOW PARTITIONS {new}").collect():
+        spec = partition_spec(partition_values(row["partition"]))
+        spark.sql(f"ALTER TABLE {new} {spec} SET LOCATION {quoted(f'{root}/{row[0]}')}")
+    spark.catalog.refreshTable(new)
+
+
+def partition_values(path: str) -> dict[str, str]:
+    """``a=1/b=x%2Fy`` as column -> value."""
+    return {
+        name: unquote(value) for name, value in (part.split("=", 1) for part in path.split("/"))
+    }
+
+
+def partition_spec(values: dict[str, str]) -> str:
+    return f"PARTITION ({', '.join(f'{name} = {quoted(value)}' for name, value in values.items())})"
+
+
+def quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def write_new(df: DataFrame, table: str, partition_cols: list[str]):

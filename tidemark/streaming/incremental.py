@@ -35,6 +35,8 @@ def upsert_stream(
     matter.
     """
 
+    home = stream.sparkSession
+
     def load(batch: DataFrame, _: int):
         spark = batch.sparkSession
         newest = dedup_latest(batch, keys, latest, tie_break)
@@ -42,6 +44,8 @@ def upsert_stream(
             stored = touched_rows(spark.table(table), newest, partition_cols)
             newest = newer_than_stored(newest, stored, keys, latest)
         upsert_table(spark, table, newest, keys, partition_cols)
+        # Batches run in a session of their own; the caller's still lists the replaced files.
+        home.catalog.refreshTable(table)
 
     return (
         stream.writeStream.foreachBatch(load)
