@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import audit, contracts, rollup, scd
 from tidemark.operators.contracts import Contract, good_rows, rejected_rows
-from tidemark.operators.dedup import dedup_latest, since_last
+from tidemark.operators.dedup import dedup_latest, high_water_mark, since_last
 from tidemark.operators.upsert import evolve_schema, upsert
 
 DAY = [datetime(2024, 1, d) for d in range(1, 29)]
@@ -38,11 +38,12 @@ def test_dedup_keeps_the_highest_row_per_key(spark, data):
 
 def test_since_last(spark, rows):
     df = spark.createDataFrame([(i, DAY[i]) for i in range(4)], "id int, at timestamp")
-    loaded = df.where("id <= 1")
-    assert rows(since_last(df, "at", loaded, "at"), "id") == [(2,), (3,)]
-    assert len(rows(since_last(df, "at", df.limit(0), "at"))) == 4
+    mark = high_water_mark(df.where("id <= 1"), "at")
+    assert rows(mark) == [(DAY[1],)]
+    assert rows(since_last(df, "at", mark), "id") == [(2,), (3,)]
+    assert len(rows(since_last(df, "at", high_water_mark(df.limit(0), "at")))) == 4
     dated = df.withColumn("day", F.to_date("at"))
-    assert rows(since_last(dated, "at", loaded, "at", "day"), "id") == [(2,), (3,)]
+    assert rows(since_last(dated, "at", mark, "day"), "id") == [(2,), (3,)]
 
 
 # --- upsert ------------------------------------------------------------------------------

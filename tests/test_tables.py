@@ -205,6 +205,10 @@ def test_stream_dedup_and_daily_windows(spark, tmp_path, rows):
         ("a", at(3, 0)),
         ("b", at(1, 2)),
     ]
+    # The later "a" still meets the state of the first: the watermark trails by a batch.
+    for salts in (0, 4):
+        once = incremental.first_per_key(stream_of(spark, source), ["k"], "at", "1 day", salts)
+        assert rows(drained(once, f"once{salts}"), "k") == [("a",), ("b",)]
     daily = incremental.windowed(
         stream_of(spark, source, 10), ["k"], [F.sum("v").alias("s")], "at"
     ).select(F.to_date("window.start").alias("day"), "k", "s")

@@ -23,11 +23,28 @@ DAY = date(2024, 1, 10)
 MIDDLE = datetime(2024, 1, 15)
 
 
+# The provided tables' columns, declared so that no scan has to infer them first.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A provided table; its zone-less timestamps are read as UTC."""
-    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    df = spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
     local = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp_ntz"]
-    return df.withColumns({name: F.col(name).cast("timestamp") for name in local})
+    return df.withColumns({name: F.col(name).cast("timestamp") for name in local}) if local else df
 
 
 def k_value() -> Column:

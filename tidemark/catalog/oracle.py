@@ -455,7 +455,7 @@ ORACLE = {
         where se._ingested_at >= timestamp '2024-01-15'""", "sw", "loc", "se"),
     # --- F
     "count_all": "select count(*) as cnt from lineitem",
-    "max_scalar": "select max(ts) as high_water_mark from events",
+    "max_scalar": "select max(ts) as mark from events",
     "daily_rollup": sql(f"""
         select cast(strptime(left(time_key, 8), '%Y%m%d') as date) as agg_date, city, country,
                {mean('temperature_2m')} as avg_temperature, max(temperature_2m) as max_temperature,

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.catalog import bindings as b
 from tidemark.functions import clock, keys, nested, numbers
 from tidemark.operators import audit, contracts, rollup, scd, tables, upsert as up
-from tidemark.operators.dedup import dedup_latest, since_last
+from tidemark.operators.dedup import dedup_latest, high_water_mark, since_last
 from tidemark.operators.export import export
 from tidemark.plans import bronze, checks, gold, silver
 from tidemark.session import configure, shared_folder
@@ -274,7 +274,7 @@ def upsert(spark, folder):
 def incremental_filter(spark, folder):
     events = b.events(spark, folder).select("event_id", "ts", "value")
     loaded = events.where(F.col("ts") < F.lit(b.MIDDLE))
-    return since_last(events, "ts", loaded, "ts")
+    return since_last(events, "ts", high_water_mark(loaded, "ts"))
 
 
 @query
@@ -642,8 +642,8 @@ def pending_weather(spark, folder):
     weather = b.silver_weather(spark, folder)
     early = weather.withColumn("_loaded_at", F.lit(b.MIDDLE).cast("timestamp"))
     energy = loaded(b.silver_energy(spark, folder), "_ingested_at")
-    fact = early.select("_loaded_at")
-    return gold.pending_weather(early, energy, b.locations(spark, folder), fact).select(
+    mark = high_water_mark(early, "_loaded_at")
+    return gold.pending_weather(early, energy, b.locations(spark, folder), mark).select(
         "weather_id", "city", "observation_hour"
     )
 
@@ -658,7 +658,7 @@ def count_all(spark, folder):
 
 @query
 def max_scalar(spark, folder):
-    return b.events(spark, folder).agg(F.max("ts").alias("high_water_mark"))
+    return high_water_mark(b.events(spark, folder), "ts")
 
 
 @query

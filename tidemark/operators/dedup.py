@@ -30,16 +30,20 @@ def dedup_latest(
     return top_rank(df, keys, [F.desc_nulls_last(name) for name in [latest, *tie_break]])
 
 
+def high_water_mark(target: DataFrame, column: str) -> DataFrame:
+    """One row with the highest value of a timestamp column, the lowest time if there is none."""
+    lowest = F.lit(LOWEST).cast("timestamp")
+    return target.agg(F.coalesce(F.max(column).cast("timestamp"), lowest).alias("mark"))
+
+
 def since_last(
-    df: DataFrame, column: str, target: DataFrame, target_column: str, date_column: str | None = None
+    df: DataFrame, column: str, mark: DataFrame, date_column: str | None = None
 ) -> DataFrame:
-    """Rows above the target's highest mark; an empty target lets every row through.
+    """Rows above a high-water mark, which is read as a scalar subquery.
 
     ``date_column`` is a partition column holding the date of ``column``: comparing it too
     lets the scan skip the partitions below the mark.
     """
-    lowest = F.lit(LOWEST).cast("timestamp")
-    mark = target.agg(F.coalesce(F.max(target_column).cast("timestamp"), lowest))
     new = F.col(column) > mark.scalar()
     if date_column is not None:
         new = new & (F.col(date_column) >= F.to_date(mark.scalar()))

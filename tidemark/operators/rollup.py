@@ -24,7 +24,7 @@ def _states(measures: list[Measure], exact: int | None) -> dict[str, tuple[Colum
     """Mergeable state columns: name -> (first aggregate, function that merges it)."""
     states: dict[str, tuple[Column, str]] = {}
     for m in measures:
-        if m.kind in ("avg", "sum"):
+        if m.kind in ("avg", "sum") and f"_sum_{m.column}" not in states:
             value = F.col(m.column) if exact is None else to_units(m.column, exact)
             states[f"_sum_{m.column}"] = (F.sum(value), "sum")
         if m.kind == "avg":
@@ -58,9 +58,10 @@ def _result(m: Measure, exact: int | None) -> Column:
 class Partial:
     """Sums, counts and extremes of one grouping that can be merged into coarser groupings."""
 
-    def __init__(self, df: DataFrame, measures: list[Measure], exact_scale: int | None = None):
-        self.df, self.measures, self.exact_scale = df, measures, exact_scale
-        self._merge = {name: how for name, (_, how) in _states(measures, exact_scale).items()}
+    def __init__(
+        self, df: DataFrame, measures: list[Measure], exact_scale: int | None, how: dict[str, str]
+    ):
+        self.df, self.measures, self.exact_scale, self.how = df, measures, exact_scale, how
 
     @classmethod
     def of(
@@ -72,19 +73,21 @@ class Partial:
     ) -> Partial:
         states = _states(measures, exact_scale)
         grouped = fact.groupBy(*keys).agg(*[first.alias(n) for n, (first, _) in states.items()])
-        return cls(grouped, measures, exact_scale)
+        return cls(grouped, measures, exact_scale, {n: how for n, (_, how) in states.items()})
+
+    def _with(self, df: DataFrame) -> Partial:
+        return Partial(df, self.measures, self.exact_scale, self.how)
 
     def lookup(self, dim: DataFrame, on: list[str] | Column) -> Partial:
         """Left join a dimension with unique keys to the groups, not to the fact rows."""
-        return Partial(self.df.join(dim, on, "left"), self.measures, self.exact_scale)
+        return self._with(self.df.join(dim, on, "left"))
 
     def merge_aggregates(self) -> list[Column]:
-        return [getattr(F, how)(name).alias(name) for name, how in self._merge.items()]
+        return [getattr(F, how)(name).alias(name) for name, how in self.how.items()]
 
     def merge(self, keys: list[str], *extra: Column) -> Partial:
         """Regroup more coarsely; ``extra`` are further aggregates over the old groups."""
-        grouped = self.df.groupBy(*keys).agg(*self.merge_aggregates(), *extra)
-        return Partial(grouped, self.measures, self.exact_scale)
+        return self._with(self.df.groupBy(*keys).agg(*self.merge_aggregates(), *extra))
 
     def result(self, *keys: Column | str) -> DataFrame:
         return self.df.select(*keys, *[_result(m, self.exact_scale) for m in self.measures])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from urllib.parse import unquote
 
@@ -170,11 +171,13 @@ def upsert_table(
     partition_cols: list[str],
     latest: str | None = None,
     tie_break: list[str] | None = None,
+    after: Callable[[DataFrame], None] | None = None,
 ):
     """Upsert into a partitioned Parquet table, rewriting only the touched partitions.
 
     The key must determine the partition. Parquet tables have no transactions: two writers
-    of one table must not run at once (see ``runlog.active_runs``).
+    of one table must not run at once (see ``audit.active_runs``). ``after`` is called with
+    the staged batch once it is stored.
     """
     if latest is not None:
         source = dedup_latest(source, keys, latest, tie_break or [])
@@ -185,8 +188,10 @@ def upsert_table(
         finish_swap(spark, table)
         if not spark.catalog.tableExists(table):
             write_new(batch, table, partition_cols)
-            return
-        sync_columns(spark, table, batch, partition_cols)
-        target = touched_rows(spark.table(table), batch, partition_cols)
-        kept = target.join(batch.select(*keys), keys, "left_anti").select(*batch.columns)
-        overwrite_touched(spark, kept.unionByName(batch), table, partition_cols)
+        else:
+            sync_columns(spark, table, batch, partition_cols)
+            target = touched_rows(spark.table(table), batch, partition_cols)
+            kept = target.join(batch.select(*keys), keys, "left_anti").select(*batch.columns)
+            overwrite_touched(spark, kept.unionByName(batch), table, partition_cols)
+        if after is not None:
+            after(batch)

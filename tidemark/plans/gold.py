@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.functions.clock import hour_key, key_to_date, load_stamp
 from tidemark.functions.keys import surrogate_key
 from tidemark.functions.numbers import band, null_default
-from tidemark.operators.dedup import LOWEST, dedup_latest
+from tidemark.operators.dedup import dedup_latest
 from tidemark.operators.rollup import Measure, Partial, dominant_of_counts
 from tidemark.operators.scd import VERSION, current_versions
 from tidemark.sources.fixed import weather_conditions
@@ -87,12 +87,10 @@ def latest_energy(energy: DataFrame) -> DataFrame:
 
 
 def pending_weather(
-    weather: DataFrame, energy: DataFrame, locations: DataFrame, fact: DataFrame
+    weather: DataFrame, energy: DataFrame, locations: DataFrame, mark: DataFrame
 ) -> DataFrame:
-    """Weather loaded since the fact's last load, plus the hours whose energy came since."""
-    lowest = F.lit(LOWEST).cast("timestamp")
-    mark = fact.agg(F.coalesce(F.max("_loaded_at"), lowest)).scalar()
-    fresh = energy.where(F.col("_loaded_at") > mark).select(
+    """Weather loaded above the fact's mark, plus the hours whose energy was."""
+    fresh = energy.where(F.col("_loaded_at") > mark.scalar()).select(
         F.col("zone").alias("electricity_zone"),
         F.col("measurement_hour").alias("observation_hour"),
         F.lit(True).alias("_fresh"),
@@ -100,7 +98,7 @@ def pending_weather(
     marked = locate(weather, locations).join(
         fresh.distinct(), ["electricity_zone", "observation_hour"], "left"
     )
-    pending = marked.where((F.col("_loaded_at") > mark) | F.col("_fresh"))
+    pending = marked.where((F.col("_loaded_at") > mark.scalar()) | F.col("_fresh"))
     return pending.select(*weather.columns)
 
 

@@ -11,11 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark.functions.clock import RUN_ID
 from tidemark.operators import audit
 from tidemark.operators.contracts import good_rows, rejected_rows
-from tidemark.operators.dedup import since_last
+from tidemark.operators.dedup import high_water_mark, since_last
 from tidemark.operators.export import Sink, export
 from tidemark.operators.scd import first_versions, scd2
 from tidemark.operators.tables import ensure_schema, full_refresh, replace_partitions
-from tidemark.operators.upsert import finish_swap, upsert_table
+from tidemark.operators.upsert import finish_swap, touched_rows, upsert_table
 from tidemark.plans import bronze, gold, silver
 from tidemark.plans.checks import CONTRACTS, check_tables
 from tidemark.session import staged
@@ -155,15 +155,47 @@ class Store:
         with staged(rows) as ended:
             audit.append_table(ended, self.name("pipeline_run_log"))
 
+    # --- load log --------------------------------------------------------------------
+
+    def _record_load(self, table: str, hour_col: str, ingested_col: str):
+        """Note which days a load touched and its marks, so that later loads need not search
+        the whole table for them. One row per load and day."""
+
+        def record(batch: DataFrame):
+            rows = batch.groupBy(F.to_date(hour_col).alias("touched_date")).agg(
+                F.max(ingested_col).alias("ingested_mark"),
+                F.max("_loaded_at").alias("loaded_mark"),
+            )
+            logged = rows.select(F.lit(table).alias("table_name"), "*")
+            audit.append_table(logged.coalesce(1), self.name("load_log"))
+
+        return record
+
+    def _mark(self, table: str, log_column: str, column: str) -> DataFrame:
+        """High-water mark of a table: from the load log, else from the table itself."""
+        if self.has("load_log"):
+            logged = self.table("load_log").where(F.col("table_name") == table)
+            if not logged.isEmpty():
+                return high_water_mark(logged, log_column)
+        return high_water_mark(self.table(table), column)
+
+    def _touched_since(self, mark: DataFrame) -> DataFrame | None:
+        """Days whose cleaned rows were loaded above a mark; None where no log exists."""
+        if not self.has("load_log"):
+            return None
+        silver_tables = ["stg_weather_hourly", "stg_energy_intensity"]
+        return since_last(self.table("load_log"), "loaded_mark", mark).where(
+            F.col("table_name").isin(silver_tables)
+        ).select("touched_date")
+
     # --- cleaned layer ---------------------------------------------------------------
 
     def _new_rows(self, source: str, target: str) -> DataFrame:
         rows = self.table(source)
         if not self.has(target):
             return rows
-        return since_last(
-            rows, "ingested_at", self.table(target), "_ingested_at", "ingested_date"
-        )
+        mark = self._mark(target, "ingested_mark", "_ingested_at")
+        return since_last(rows, "ingested_at", mark, "ingested_date")
 
     def build_silver(self, loaded_at=None):
         """Load the raw rows that came since the last load."""
@@ -176,6 +208,7 @@ class Store:
             weather,
             ["weather_id"],
             ["observation_date"],
+            after=self._record_load("stg_weather_hourly", "observation_hour", "_ingested_at"),
         )
         energy = silver.stg_energy_intensity(
             self._new_rows("bronze_energy", "stg_energy_intensity"), loaded_at
@@ -186,6 +219,7 @@ class Store:
             energy,
             ["energy_id"],
             ["ingested_date"],
+            after=self._record_load("stg_energy_intensity", "measurement_hour", "_ingested_at"),
         )
 
     # --- history and star ------------------------------------------------------------
@@ -218,11 +252,15 @@ class Store:
         full_refresh(
             gold.dim_weather_condition(self.spark), self.name("dim_weather_condition")
         )
-        weather = self.table("stg_weather_hourly").drop("observation_date")
+        weather = self.table("stg_weather_hourly")
         energy, locations = self.table("stg_energy_intensity"), self.table("dim_location")
         if self.has("fact_energy_readings"):
-            fact = self.table("fact_energy_readings")
-            weather = gold.pending_weather(weather, energy, locations, fact)
+            mark = self._mark("fact_energy_readings", "loaded_mark", "_loaded_at")
+            touched = self._touched_since(mark)
+            if touched is not None:
+                days = touched.withColumnRenamed("touched_date", "observation_date")
+                weather = touched_rows(weather, days, ["observation_date"])
+            weather = gold.pending_weather(weather, energy, locations, mark)
         rows = gold.fact_energy_readings(
             weather, energy, locations, self.table("dim_time"), loaded_at, "observation_date"
         )
@@ -232,6 +270,9 @@ class Store:
             rows,
             ["fact_id"],
             ["observation_date"],
+            after=self._record_load(
+                "fact_energy_readings", "observation_date", "weather_ingested_at"
+            ),
         )
         self.build_reports()
 

@@ -20,6 +20,10 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Only for a new session: recording the Python call site of every column costs more than
+# planning the query.
+STATIC = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the operators rely on to an existing session."""
@@ -31,7 +35,7 @@ def configure(spark: SparkSession) -> SparkSession:
 def build(app: str, **extra: str) -> SparkSession:
     """Get or create a session with the settings above plus ``extra`` (dots as ``__``)."""
     builder = SparkSession.builder.appName(app)
-    for key, value in extra.items():
+    for key, value in (STATIC | extra).items():
         builder = builder.config(key.replace("__", "."), value)
     return configure(builder.getOrCreate())
 

@@ -63,9 +63,20 @@ def newer_than_stored(
     return joined.where(F.isnull("_held") | (F.col(latest) >= F.col("_held"))).drop("_held")
 
 
-def first_per_key(stream: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:
-    """One row per key, the first to arrive; state is kept for the watermark delay."""
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+def first_per_key(
+    stream: DataFrame, keys: list[str], event_time: str, delay: str, salts: int = 0
+) -> DataFrame:
+    """One row per key, the first to arrive; state is kept for the watermark delay.
+
+    With ``salts`` a key's rows are first reduced in that many parts, told apart by their event
+    time, so that one hot key does not pass through a single task.
+    """
+    rows = stream.withWatermark(event_time, delay)
+    if salts:
+        part = F.pmod(F.xxhash64(event_time), F.lit(salts))
+        parts = rows.withColumn("_part", part).dropDuplicatesWithinWatermark([*keys, "_part"])
+        rows = parts.drop("_part")
+    return rows.dropDuplicatesWithinWatermark(keys)
 
 
 def windowed(
