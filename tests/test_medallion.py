@@ -129,6 +129,18 @@ def test_energy_rows_of_both_sources(spark, tmp_path, rows):
     ]
 
 
+def test_copies_of_documents_do_not_multiply(spark, tmp_path):
+    at = "2024-01-15T06:10:00Z"
+    intensity = ("London", at, {"data": [{"intensity": {"actual": 5}}]})
+    generation = ("London", at, {"data": {"generationmix": []}})
+    left = read_landed(
+        spark, land(tmp_path / "i", [intensity] * 50 + [("London", at, "{")]), bronze.INTENSITY_PAYLOAD
+    )
+    right = read_landed(spark, land(tmp_path / "g", [generation] * 50), bronze.GENERATION_PAYLOAD)
+    reading = bronze.intensity_reading(left, right).collect()
+    assert [(r["carbon_intensity"], r["payload_error"]) for r in reading] == [(5.0, None)]
+
+
 def test_energy_failures_have_reasons(spark, tmp_path, rows):
     readings = energy(spark, tmp_path, chunk=99)
     checked = bronze.energy_rows(readings, fixed.zones(spark))

@@ -1,14 +1,15 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from unittest.mock import MagicMock
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import tables
-from tidemark.operators.export import export, jdbc_options
+from tidemark.operators.export import export, jdbc_options, jdbc_sink
 from tidemark.operators.upsert import finish_swap, swap_in, upsert_table, write_new
-from tidemark.session import STAGING, shared_folder, staged
+from tidemark.session import STAGING, setting, shared_folder, size_shuffles, staged
 from tidemark.streaming import incremental
 
 ONE, TWO = date(2024, 1, 1), date(2024, 1, 2)
@@ -123,6 +124,15 @@ def test_staged_rows_lie_in_the_shared_folder_and_go_away(spark):
     assert spark.sql(f"SHOW TABLES IN {STAGING}").isEmpty()
 
 
+def test_shuffles_are_sized_by_bytes(spark):
+    with setting(spark, "spark.sql.shuffle.partitions", "8"):
+        assert size_shuffles(spark, 10) == spark.sparkContext.defaultParallelism
+        assert size_shuffles(spark, (10 << 40) + 1) == 81_921
+        assert size_shuffles(spark, 100 << 40) == 100_000
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "100000"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
 def test_export_counts_in_order_and_stops_at_the_first_failure(spark, tmp_path):
     spark.range(4).createOrReplaceTempView("first_table")
     spark.range(0).createOrReplaceTempView("empty_table")
@@ -151,6 +161,18 @@ def test_jdbc_options_keep_the_table_and_bound_the_connections():
     }
 
 
+def test_jdbc_sink_writes_from_the_executors():
+    """The writer is a stand-in: no database may be started here."""
+    df = MagicMock()
+    jdbc_sink("jdbc:x", {"user": "u"}, "serving", batchsize=5)(df, "t")
+    writer = df.write.format
+    writer.assert_called_once_with("jdbc")
+    writer.return_value.mode.assert_called_once_with("overwrite")
+    options = writer.return_value.mode.return_value.options
+    assert options.call_args.kwargs == jdbc_options("jdbc:x", "serving.t", 5) | {"user": "u"}
+    options.return_value.save.assert_called_once_with()
+
+
 # --- streams -----------------------------------------------------------------------------
 
 

@@ -227,7 +227,13 @@ def weather_documents(spark: SparkSession, folder: str) -> DataFrame:
 def fuel_mix() -> Column:
     """Entries with a repeated fuel, whose last share counts."""
     k = F.col("k")
-    shares = [("wind", k), ("solar", k % 7), ("coal", 100 - k), ("nuclear", k % 5), ("wind", k % 11)]
+    shares = [
+        ("wind", k),
+        ("solar", k % 7),
+        ("coal", 100 - k),
+        ("nuclear", k % 5),
+        ("wind", k % 11),
+    ]
     return F.array(
         *[F.struct(F.lit(f).alias("fuel"), s.cast("double").alias("perc")) for f, s in shares]
     )

@@ -13,7 +13,7 @@ from tidemark.functions import clock, keys, nested, numbers
 from tidemark.operators import audit, contracts, rollup, scd, tables, upsert as up
 from tidemark.operators.dedup import dedup_latest, high_water_mark, since_last
 from tidemark.operators.export import export
-from tidemark.plans import bronze, checks, gold, silver
+from tidemark.plans import bronze, checks, gold
 from tidemark.session import configure, shared_folder
 from tidemark.sources import files, fixed, spine
 from tidemark.sources.landed import read_landed, with_payload
@@ -318,11 +318,18 @@ def as_of_version(spark, folder):
     start = F.to_timestamp(F.lit("2024-01-02 00:00:00"))
     history = (
         b.table(spark, folder, "customer")
-        .select("c_custkey", "c_nationkey", "c_mktsegment", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("number"))
+        .select(
+            "c_custkey",
+            "c_nationkey",
+            "c_mktsegment",
+            F.explode(F.sequence(F.lit(0), F.lit(2))).alias("number"),
+        )
         .select(
             F.col("c_custkey").alias("user_id"),
             F.timestamp_add("DAY", length * number, start).alias("valid_from"),
-            F.when(number < 2, F.timestamp_add("DAY", length * (number + 1), start)).alias("valid_to"),
+            F.when(number < 2, F.timestamp_add("DAY", length * (number + 1), start)).alias(
+                "valid_to"
+            ),
             F.concat_ws("-", "c_mktsegment", number).alias("segment"),
         )
     )
@@ -447,7 +454,8 @@ def fk_coverage(spark, folder):
 @query
 def spine_coverage(spark, folder):
     orders = b.table(spark, folder, "orders")
-    return contracts.hours_outside(orders, "o_orderdate", datetime(1996, 1, 1), datetime(1999, 12, 31, 23))
+    first, last = datetime(1996, 1, 1), datetime(1999, 12, 31, 23)
+    return contracts.hours_outside(orders, "o_orderdate", first, last)
 
 
 # --- D: projections, filters, predicates -------------------------------------------------
@@ -536,10 +544,11 @@ def case_flag(spark, folder):
 
 @query
 def null_default(spark, folder):
+    low, k = F.col("k") < 50, F.col("k").cast("double")
     return b.events(spark, folder).select(
         "event_id",
-        numbers.null_default(F.when(F.col("k") < 50, F.col("event_type")), "unknown").alias("label"),
-        numbers.null_default(F.when(F.col("k") < 50, F.col("value")), F.col("k").cast("double")).alias("measure"),
+        numbers.null_default(F.when(low, F.col("event_type")), "unknown").alias("label"),
+        numbers.null_default(F.when(low, F.col("value")), k).alias("measure"),
     )
 
 
@@ -597,7 +606,9 @@ def _star_month(spark, folder):
 
 @query
 def join_star_monthly(spark, folder):
-    return _star_month(spark, folder).select("fact_id", "city", "country", "year", "month", "month_name")
+    return _star_month(spark, folder).select(
+        "fact_id", "city", "country", "year", "month", "month_name"
+    )
 
 
 def _star_condition(spark, folder):
@@ -781,9 +792,10 @@ def union_all(spark, folder):
 @query
 def union_sources(spark, folder):
     events = b.events(spark, folder)
+    bought, other = events.where("event_type = 'purchase'"), events.where("event_type <> 'purchase'")
     return rollup.union_sources(
-        events.where("event_type = 'purchase'").select("event_id", F.col("value").alias("carbon")),
-        events.where("event_type <> 'purchase'").select("event_id", F.col("value").alias("price"), "k"),
+        bought.select("event_id", F.col("value").alias("carbon")),
+        other.select("event_id", F.col("value").alias("price"), "k"),
     )
 
 
@@ -905,7 +917,9 @@ def load_stamp(spark, folder):
 
 @query
 def ingest_date(spark, folder):
-    return b.events(spark, folder).select("event_id", clock.ingest_date("ts").alias("ingested_date"))
+    return b.events(spark, folder).select(
+        "event_id", clock.ingest_date("ts").alias("ingested_date")
+    )
 
 
 @query
@@ -925,7 +939,9 @@ def run_id(spark, folder):
 
 @query
 def sequence_explode(spark, folder):
-    hours = F.sequence(clock.trunc_hour("ts"), F.timestamp_add("HOUR", F.col("k") % 4, clock.trunc_hour("ts")), F.expr("interval 1 hour"))
+    first = clock.trunc_hour("ts")
+    last = F.timestamp_add("HOUR", F.col("k") % 4, first)
+    hours = F.sequence(first, last, F.expr("interval 1 hour"))
     return b.events(spark, folder).select("event_id", F.explode(hours).alias("hour"))
 
 
@@ -989,17 +1005,28 @@ def stream_upsert(spark, folder):
         clock.ingest_date("ts").alias("hour_date"),
     )
     incremental.upsert_stream(
-        readings, table, new_folder(spark, "checkpoint"), ["user_id", "hour"], "ts", ["event_id"], ["hour_date"]
+        readings,
+        table,
+        new_folder(spark, "checkpoint"),
+        keys=["user_id", "hour"],
+        latest="ts",
+        tie_break=["event_id"],
+        partition_cols=["hour_date"],
     ).awaitTermination()
     return spark.table(table)
 
 
 @query
 def stream_dedup(spark, folder):
-    keyed = _event_stream(spark, folder).select("user_id", clock.trunc_hour("ts").alias("hour"), "ts")
-    first = incremental.first_per_key(keyed, ["user_id", "hour"], "ts", "1 hour")
-    path = new_folder(spark, "deduped")
-    incremental.drain(first.select("user_id", "hour"), path, new_folder(spark, "checkpoint")).awaitTermination()
+    hour = clock.trunc_hour("ts").alias("hour")
+    keyed = _event_stream(spark, folder).select("user_id", hour, "ts")
+    first = incremental.first_per_key(keyed, ["user_id", "hour"], "ts", "1 hour", salts=4)
+    return _drained(spark, first.select("user_id", "hour"))
+
+
+def _drained(spark, stream):
+    path = new_folder(spark, "drained")
+    incremental.drain(stream, path, new_folder(spark, "checkpoint")).awaitTermination()
     return spark.read.parquet(path)
 
 
@@ -1010,16 +1037,18 @@ def stream_daily(spark, folder):
     daily = incremental.windowed(
         _event_stream(spark, folder),
         ["event_type"],
-        [F.sum(units).alias("units"), F.count(F.lit(1)).alias("n"), F.max("value").alias("max_value")],
+        [
+            F.sum(units).alias("units"),
+            F.count(F.lit(1)).alias("n"),
+            F.max("value").alias("max_value"),
+        ],
         "ts",
     )
-    rows = daily.select(
+    days = daily.select(
         F.to_date("window.start").alias("day"),
         "event_type",
         numbers.from_units(F.col("units"), SCALE).alias("total"),
         "n",
         "max_value",
     )
-    path = new_folder(spark, "daily")
-    incremental.drain(rows, path, new_folder(spark, "checkpoint")).awaitTermination()
-    return spark.read.parquet(path)
+    return _drained(spark, days)

@@ -92,7 +92,12 @@ def versions_at(history: DataFrame, instant) -> DataFrame:
 
 
 def as_of_version(
-    facts: DataFrame, history: DataFrame, key: str, at: str, attributes: list[str], bucket: str = "day"
+    facts: DataFrame,
+    history: DataFrame,
+    key: str,
+    at: str,
+    attributes: list[str],
+    bucket: str = "day",
 ) -> DataFrame:
     """Left join each fact row to the version of its key valid at its own time.
 

@@ -29,7 +29,11 @@ def full_refresh(df: DataFrame, table: str, partition_cols: list[str] | None = N
 
 
 def replaced(
-    existing: DataFrame, batch: DataFrame, date_col: str, day, partition_cols: list[str] | None = None
+    existing: DataFrame,
+    batch: DataFrame,
+    date_col: str,
+    day: date,
+    partition_cols: list[str] | None = None,
 ) -> DataFrame:
     """What a table holds after a day is replaced: the whole day, or only the batch's partitions."""
     if partition_cols is None:

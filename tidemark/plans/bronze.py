@@ -13,6 +13,7 @@ from tidemark.functions.nested import (
     share_of,
 )
 from tidemark.operators.contracts import enforce
+from tidemark.operators.dedup import top_rank
 from tidemark.operators.rollup import union_sources
 
 WEATHER_SCHEMA = (
@@ -70,16 +71,23 @@ def weather_rows(landed: DataFrame, cities: DataFrame, hours_are_utc: bool = Fal
     return enforce(typed, WEATHER_SCHEMA, extra=F.col("payload_error"))
 
 
+def one_document(landed: DataFrame, keys: list[str]) -> DataFrame:
+    """One document per key, sound ones first, so that copies do not multiply in a join."""
+    return top_rank(
+        landed, keys, [F.asc_nulls_first("payload_error"), F.desc_nulls_last("payload")]
+    )
+
+
 def intensity_reading(intensity: DataFrame, generation: DataFrame) -> DataFrame:
     """Carbon intensity and fuel shares from two documents of one city and ingest time."""
     keys = ["city", "ingested_at"]
-    left = intensity.select(
+    left = one_document(intensity, keys).select(
         *keys,
         F.col("payload_error").alias("_left_error"),
         F.col("payload.data").alias("_data"),
         F.lit(True).alias("_left"),
     )
-    right = generation.select(
+    right = one_document(generation, keys).select(
         *keys,
         F.col("payload_error").alias("_right_error"),
         F.col("payload.data.generationmix").alias("_mix"),
@@ -116,7 +124,7 @@ def latest_chunk(index: DataFrame, chunks: DataFrame, key: str = "city") -> Data
     Chunks have ``key``, ``chunk_ts`` and a payload. An empty index gives a NULL series.
     """
     last = index.withColumn("chunk_ts", last_element("payload.timestamps")).drop("payload")
-    series = chunks.select(
+    series = one_document(chunks, [key, "chunk_ts"]).select(
         key,
         "chunk_ts",
         F.col("payload.series").alias("series"),

@@ -54,6 +54,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def size_shuffles(
+    spark: SparkSession, shuffled_bytes: int, per_task: int = 128 << 20, most: int = 100_000
+) -> int:
+    """Set the number of shuffle partitions from the bytes a job shuffles at most.
+
+    Adaptive execution joins partitions that turn out small, but adds none.
+    """
+    tasks = min(max(-(-shuffled_bytes // per_task), spark.sparkContext.defaultParallelism), most)
+    spark.conf.set("spark.sql.shuffle.partitions", str(tasks))
+    return tasks
+
+
 STAGING = "tidemark_staging"
 
 
