@@ -1025,8 +1025,8 @@ def stream_dedup(spark, folder):
 
 
 def _drained(spark, stream):
-    path = new_folder(spark, "drained")
-    incremental.drain(stream, path, new_folder(spark, "checkpoint")).awaitTermination()
+    path, cores = new_folder(spark, "drained"), spark.sparkContext.defaultParallelism
+    incremental.drain(stream, path, new_folder(spark, "checkpoint"), cores).awaitTermination()
     return spark.read.parquet(path)
 
 

@@ -18,6 +18,10 @@ SETTINGS = {
     # A hot join key is split over several tasks, also where that costs one more shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Stream state grows with the keys; it is kept on disk rather than in the executors' heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 # Only for a new session: recording the Python call site of every column costs more than

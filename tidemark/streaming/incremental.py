@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.dedup import dedup_latest
 from tidemark.operators.upsert import touched_rows, upsert_table
+from tidemark.session import setting
 
 
 def read_parquet_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -92,13 +93,22 @@ def windowed(
     return stream.withWatermark(event_time, delay).groupBy(window, *keys).agg(*aggregates)
 
 
-def drain(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append everything that is available now to Parquet files."""
-    return (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def drain(
+    stream: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None
+) -> StreamingQuery:
+    """Append everything that is available now to Parquet files.
+
+    The number of state partitions is fixed when a checkpoint is first used; by default it is
+    the session's number of shuffle partitions.
+    """
+    spark = stream.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    with setting(spark, key, str(state_partitions or spark.conf.get(key))):
+        return (
+            stream.writeStream.format("parquet")
+            .outputMode("append")
+            .option("path", path)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
