@@ -89,7 +89,7 @@ def test_upsert_of_nothing_and_of_duplicates(spark, database, rows):
     assert rows(spark.table(table), "v") == [("a",)]
     upsert_table(spark, table, twice, ["id"], ["day"], latest="v", tie_break=["country"])
     assert rows(spark.table(table), "v") == [("c",)]
-    assert spark.sql(f"SHOW TABLES IN {STAGING}").isEmpty()
+    assert tables.list_tables(spark, STAGING) == []
 
 
 def test_upsert_follows_added_and_removed_columns(spark, database, rows):
@@ -121,7 +121,7 @@ def test_staged_rows_lie_in_the_shared_folder_and_go_away(spark):
     with staged(spark.range(5)) as df:
         assert df.count() == 5
         assert all(shared_folder(spark) in name for name in df.inputFiles())
-    assert spark.sql(f"SHOW TABLES IN {STAGING}").isEmpty()
+    assert tables.list_tables(spark, STAGING) == []
 
 
 def test_shuffles_are_sized_by_bytes(spark):
