@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from datetime import date, datetime
 from unittest.mock import MagicMock
 
@@ -8,7 +9,13 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import tables
 from tidemark.operators.export import export, jdbc_options, jdbc_sink
-from tidemark.operators.upsert import finish_swap, swap_in, upsert_table, write_new
+from tidemark.operators.upsert import (
+    finish_swap,
+    swap_in,
+    touched_rows,
+    upsert_table,
+    write_new,
+)
 from tidemark.session import STAGING, setting, shared_folder, size_shuffles, staged
 from tidemark.streaming import incremental
 
@@ -39,6 +46,15 @@ def test_replacing_a_day(spark, database, rows, scope, left):
 ROW_NAMES = ["id", "v", "day", "country"]
 
 
+def test_replacing_a_day_without_a_second_partition_value(spark, database, rows):
+    table = f"{database}.t"
+    replace(spark, table, ONE, (1, "old", ONE, None), (2, "old", ONE, "a"))
+    replace(spark, table, ONE, (1, "new", ONE, None))
+    assert rows(spark.table(table), *ROW_NAMES) == [(1, "new", ONE, None)]
+    replace(spark, table, ONE, (3, "new", ONE, "b"))
+    assert rows(spark.table(table), *ROW_NAMES) == [(3, "new", ONE, "b")]
+
+
 def test_a_failed_replacement_leaves_the_day_as_it_was(spark, database, rows):
     table = f"{database}.t"
     replace(spark, table, ONE, (1, "old", ONE, "a"))
@@ -79,6 +95,29 @@ def files_of(spark, table):
     return set(spark.table(table).inputFiles())
 
 
+@pytest.mark.parametrize("parts", [["day"], ["day", "country"]])
+@pytest.mark.parametrize("most", [10_000, 0])
+def test_upsert_keeps_rows_without_a_partition_value(spark, database, rows, monkeypatch, parts, most):
+    """Also when the partitions are too many to be named in a filter."""
+    monkeypatch.setattr("tidemark.operators.upsert.MAX_PARTITION_VALUES", most)
+    table = f"{database}.t"
+    first = [(1, "a", None, "x"), (2, "a", None, "x"), (3, "a", ONE, "x"), (5, "a", TWO, "y")]
+    upsert_table(spark, table, frame(spark, *first), ["id"], parts)
+    batch = frame(spark, (2, "b", None, "x"), (4, "b", ONE, "x"))
+    upsert_table(spark, table, batch, ["id"], parts)
+    expected = [(1, "a"), (2, "b"), (3, "a"), (4, "b"), (5, "a")]
+    assert rows(spark.table(table), "id", "v") == expected
+
+
+def test_touched_rows_skip_the_other_partitions(spark, database):
+    table = f"{database}.t"
+    write_new(frame(spark, (1, "a", ONE, "x"), (2, "a", TWO, "x")), table, ["day"])
+    found = touched_rows(spark.table(table), frame(spark, (9, "b", TWO, "x")), ["day"])
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*day#\d+ = 2024-01-02", text)
+    assert [row["id"] for row in found.collect()] == [2]
+
+
 def test_upsert_of_nothing_and_of_duplicates(spark, database, rows):
     table = f"{database}.t"
     upsert_table(spark, table, frame(spark, (1, "a", ONE, "x")), ["id"], ["day"])

@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tidemark.operators.upsert import (
+    NO_VALUE,
     overwrite_touched,
     partition_spec,
     partition_values,
@@ -39,8 +40,9 @@ def replaced(
     if partition_cols is None:
         kept = existing.where(~F.col(date_col).eqNullSafe(F.lit(day).cast("date")))
     else:
-        present = batch.select(*partition_cols).distinct()
-        kept = existing.join(present, partition_cols, "left_anti").select(*existing.columns)
+        old, new = existing.alias("_old"), batch.select(*partition_cols).distinct().alias("_new")
+        same = [F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}")) for c in partition_cols]
+        kept = old.join(new, same, "left_anti")
     return kept.unionByName(batch)
 
 
@@ -59,7 +61,8 @@ def replace_partitions(
         write_new(df, table, parts)
         return
     seen = Observation()
-    observed = df.observe(seen, F.collect_set(F.col(split_col).cast("string")).alias("written"))
+    value = F.coalesce(F.nullif(F.col(split_col).cast("string"), F.lit("")), F.lit(NO_VALUE))
+    observed = df.observe(seen, F.collect_set(value).alias("written"))
     overwrite_touched(spark, observed, table, parts)
     if scope == "date":
         written = set(seen.get["written"])

@@ -14,6 +14,9 @@ from tidemark.session import dynamic_overwrite, staged
 # Partition values named in the filter of one write; beyond it the filter becomes a join.
 MAX_PARTITION_VALUES = 10_000
 
+# Fixed value: how Spark names the partition of rows without a partition value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 
 def worst_repeat(source: DataFrame, keys: list[str]) -> DataFrame:
     """One row: how often the most frequent key without a NULL occurs. Reads keys only."""
@@ -70,14 +73,18 @@ def touched_rows(target: DataFrame, source: DataFrame, partition_cols: list[str]
     values = source.select(*partition_cols).distinct()
     listed = values.limit(MAX_PARTITION_VALUES + 1).collect()
     if len(listed) > MAX_PARTITION_VALUES:
-        return target.join(values, partition_cols, "left_semi")
+        left, right = target.alias("_stored"), values.alias("_touched")
+        same = [F.col(f"_stored.{c}").eqNullSafe(F.col(f"_touched.{c}")) for c in partition_cols]
+        return left.join(right, reduce(lambda a, b: a & b, same), "left_semi")
     if not listed:
         return target.limit(0)
     if len(partition_cols) == 1:
-        name = partition_cols[0]
-        return target.where(F.col(name).isin([row[0] for row in listed]))
+        column, found = F.col(partition_cols[0]), [row[0] for row in listed]
+        touched = column.isin([value for value in found if value is not None])
+        # Rows without a partition value share one partition, which is rewritten like any other.
+        return target.where(touched | column.isNull() if None in found else touched)
     conditions = [
-        reduce(lambda a, b: a & b, [F.col(c) == F.lit(row[c]) for c in partition_cols])
+        reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_cols])
         for row in listed
     ]
     return target.where(reduce(lambda a, b: a | b, conditions))
@@ -141,7 +148,11 @@ def partition_values(path: str) -> dict[str, str]:
 
 
 def partition_spec(values: dict[str, str]) -> str:
-    return f"PARTITION ({', '.join(f'{name} = {quoted(value)}' for name, value in values.items())})"
+    pairs = [
+        f"{name} = {'null' if value == NO_VALUE else quoted(value)}"
+        for name, value in values.items()
+    ]
+    return f"PARTITION ({', '.join(pairs)})"
 
 
 def quoted(text: str) -> str:
