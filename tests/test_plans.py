@@ -7,7 +7,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
+from tidemark.catalog.oracle import ORACLE
+from tidemark.catalog.queries import REGISTRY
 from tidemark.operators import rollup, scd
 from tidemark.operators.dedup import dedup_latest
 from tidemark.operators.upsert import upsert
@@ -30,27 +31,27 @@ def plan(df) -> str:
 
 
 def test_every_query_has_sql_of_the_same_name():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(REGISTRY) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - WRITING))
+@pytest.mark.parametrize("name", sorted(set(REGISTRY) - WRITING))
 def test_no_pair_joins_and_no_python_in_the_plan(spark, name):
-    text = plan(contract.queries()[name](spark, FOLDER))
+    text = plan(REGISTRY[name](spark, FOLDER))
     assert [word for word in FORBIDDEN if word in text] == []
 
 
 def test_scans_read_only_what_they_need(spark):
-    text = plan(contract.queries()["select_subset"](spark, FOLDER))
+    text = plan(REGISTRY["select_subset"](spark, FOLDER))
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in text
-    text = plan(contract.queries()["filter_boolean"](spark, FOLDER))
+    text = plan(REGISTRY["filter_boolean"](spark, FOLDER))
     assert "c_name" not in text
-    text = plan(contract.queries()["test_accepted_values"](spark, FOLDER))
+    text = plan(REGISTRY["test_accepted_values"](spark, FOLDER))
     assert "PushedFilters: [Not(In(event_type" in text
 
 
 def test_the_fact_is_grouped_before_it_is_joined(spark):
     """The location join sits above an aggregate in the report."""
-    fact = contract.queries()["fact_build"](spark, FOLDER)
+    fact = REGISTRY["fact_build"](spark, FOLDER)
     fact = fact.select(
         *[F.col(c).cast("timestamp") if t == "timestamp_ntz" else F.col(c) for c, t in fact.dtypes]
     )
