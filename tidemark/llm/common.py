@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import io
+import os
+import site
 import uuid
+import zipfile
+from pathlib import Path
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+import tidemark
 from tidemark.session import setting, shared_folder
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -40,6 +46,25 @@ def dropped(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to Python workers that would not find it: neither installed nor on their path."""
+    root = Path(tidemark.__file__).resolve().parents[1]
+    found = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep), *site.getsitepackages()]
+    name = "tidemark-package.zip"
+    if any(Path(x or ".").resolve() == root for x in found) or any(x.endswith(name) for x in spark.sparkContext._python_includes):
+        return
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as out:
+        for path in sorted((root / "tidemark").rglob("*.py")):
+            out.write(path, path.relative_to(root))
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{scratch_path(spark, 'package')}/{name}")
+    stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
+    stream.write(packed.getvalue())
+    stream.close()
+    spark.sparkContext.addPyFile(path.toString())
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import packing, url_cascade
-from tidemark.llm.common import table
+from tidemark.llm import arrow_sequences, language_id, packing, pu_quality, url_cascade
+from tidemark.llm.common import fold, ship, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
 def query(fn):
-    REGISTRY[fn.__name__] = fn
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, folder)
+
+    REGISTRY[fn.__name__] = run
     return fn
 
 
@@ -37,3 +41,26 @@ def op2_url_filter_cascade(spark, folder):
 
 
 ORACLE["op2_url_filter_cascade"] = url_cascade.SQL
+
+
+@query
+def op4_arrow_sequences(spark, folder):
+    return arrow_sequences.sequences_of(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@query
+def op5_language_id(spark, folder):
+    docs = table(spark, folder, "documents")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    model = language_id.learn(docs, ~held_out)
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op7_pu_quality(spark, folder):
+    docs = table(spark, folder, "documents")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    model = pu_quality.learn(docs, table(spark, folder, "labels"), ~held_out)
+    found = pu_quality.scored(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
