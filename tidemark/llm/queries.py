@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import arrow_sequences, language_id, packing, pu_quality, url_cascade
+from tidemark.llm import (
+    arrow_sequences,
+    language_id,
+    multiset_hash,
+    packing,
+    pu_quality,
+    url_cascade,
+    winnowing,
+)
 from tidemark.llm.common import fold, ship, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +72,16 @@ def op7_pu_quality(spark, folder):
     model = pu_quality.learn(docs, table(spark, folder, "labels"), ~held_out)
     found = pu_quality.scored(docs, model)
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op6_winnowing_decontamination(spark, folder):
+    return winnowing.decontaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+ORACLE["op6_winnowing_decontamination"] = winnowing.SQL
+
+
+@query
+def op10_multiset_fingerprints(spark, folder):
+    return multiset_hash.fingerprints(table(spark, folder, "documents"))
