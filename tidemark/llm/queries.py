@@ -45,7 +45,7 @@ def op8_power_of_two_packing(spark, folder):
 @query
 def op2_url_filter_cascade(spark, folder):
     pages = table(spark, folder, "pages")
-    return url_cascade.judge(pages, url_cascade.plain_http_hosts(pages), url_cascade.RULES)
+    return url_cascade.judge(pages, url_cascade.plain_http_addresses(pages), url_cascade.RULES)
 
 
 ORACLE["op2_url_filter_cascade"] = url_cascade.SQL

@@ -8,11 +8,11 @@ first level that does not hold it, which is exact for every key of the universe,
 Rules decide before the list does: a rule fits a host and its subdomains where the path starts with
 the rule's path; the longest rule wins, between rules of equal length the one with the longer host.
 
-Everything is Spark expressions. Keys are distinct values, reduced before the shuffle, so a host with a
-third of all pages is one key. The filters' words, at most ``MOST_BYTES`` in all, are sent with the
+Everything is Spark expressions. Keys are distinct values, reduced before the shuffle, so an address
+with a third of all pages is one key. The filters' words, at most ``MOST_BYTES`` in all, are sent with the
 plan; a list that needs more is looked up by a join on the key instead, with the same result.
 
-Null urls and urls without ``://`` have an empty host and path; the empty host is a key like any other.
+Null urls and urls without ``://`` have an empty host and path; the empty address is a key like any other.
 Repeated rows are judged alike. Empty tables give no rows; other columns are not read.
 """
 
@@ -104,6 +104,13 @@ class Cascade:
         return answer
 
 
+def _held(keys: DataFrame, levels: list[Level]) -> DataFrame:
+    """Keys that every level holds; the small later levels, which exclude most, come first."""
+    for level in levels[::-1]:
+        keys = keys.where(level.holds(F.col("key")))
+    return keys
+
+
 def build(universe: DataFrame, most_bytes: int = MOST_BYTES) -> Cascade | None:
     """A cascade over ``universe`` (key, listed; keys distinct), or None if it needs more bytes."""
     sizes = {r["listed"]: r["count"] for r in universe.groupBy("listed").count().collect()}
@@ -117,22 +124,21 @@ def build(universe: DataFrame, most_bytes: int = MOST_BYTES) -> Cascade | None:
         if sum(x.size for x in levels) + level.size > 8 * most_bytes:
             return None
         is_listed = salt % 2 == 1
-        held = universe.where(F.col("listed") == is_listed)
-        for x in levels[::-1]:
-            held = held.where(x.holds(F.col("key")))
-        levels.append(encoded(level, held))
-        wrong = universe.where(F.col("listed") != is_listed)
-        for x in levels[::-1]:
-            wrong = wrong.where(x.holds(F.col("key")))
-        inside = wrong.count()
+        levels.append(encoded(level, _held(universe.where(F.col("listed") == is_listed), levels)))
+        inside = _held(universe.where(F.col("listed") != is_listed), levels).count()
     return Cascade(levels)
 
 
-def plain_http_hosts(pages: DataFrame) -> DataFrame:
-    """(key, listed) for every host: listed if none of its pages has an https address."""
+def address(url: Column) -> Column:
+    """Host and path, the list's key."""
+    return F.concat(url_part(url, 1), url_part(url, 2))
+
+
+def plain_http_addresses(pages: DataFrame) -> DataFrame:
+    """(key, listed) for every address: listed if no page has it over https."""
     secure = F.coalesce(F.col("url").startswith("https://"), F.lit(False))
     return (
-        pages.select(url_part(F.col("url"), 1).alias("key"), secure.alias("secure"))
+        pages.select(address(F.col("url")).alias("key"), secure.alias("secure"))
         .groupBy("key")
         .agg((~F.max("secure")).alias("listed"))
     )
@@ -141,18 +147,19 @@ def plain_http_hosts(pages: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, universe: DataFrame, rules=RULES, most_bytes: int = MOST_BYTES) -> DataFrame:
     """page_id, host, path, rule, verdict and listed of every page.
 
-    ``universe`` (key, listed) must hold every host of ``pages`` once.
+    ``universe`` (key, listed) must hold every address of ``pages`` once.
     """
-    universe = written(universe, "hosts")
+    universe = written(universe, "addresses")
     cascade = build(universe, most_bytes)
     judged = pages.select(
         "page_id", url_part(F.col("url"), 1).alias("host"), url_part(F.col("url"), 2).alias("path")
     )
     if cascade is None:
-        keys = universe.where("listed").select(F.col("key").alias("host"), F.lit(True).alias("listed"))
-        judged = judged.join(keys, "host", "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
+        keys = universe.where("listed").select("key", F.lit(True).alias("listed"))
+        judged = judged.withColumn("key", F.concat("host", "path")).join(keys, "key", "left")
+        judged = judged.withColumn("listed", F.coalesce("listed", F.lit(False)))
     else:
-        judged = judged.withColumn("listed", cascade.contains(F.col("host")))
+        judged = judged.withColumn("listed", cascade.contains(F.concat("host", "path")))
     rule, verdict = F.lit(None).cast("string"), F.when(F.col("listed"), "block").otherwise("allow")
     for what, host, path in sorted(rules, key=lambda r: (len(r[1] + r[2]), len(r[1]))):
         fits = (F.col("host") == host) | F.col("host").endswith(f".{host}")
@@ -177,10 +184,10 @@ WITH parts AS (
     coalesce(regexp_extract(url, '{PARTS}', 2), '') AS path,
     coalesce(starts_with(url, 'https://'), false) AS secure
   FROM pages
-), hosts AS (SELECT host, NOT bool_or(secure) AS listed FROM parts GROUP BY host)
+), addresses AS (SELECT concat(host, path) AS key, NOT bool_or(secure) AS listed FROM parts GROUP BY key)
 SELECT page_id, host, path, CASE {rule} END AS rule,
   CASE {verdict} WHEN listed THEN 'block' ELSE 'allow' END AS verdict, listed
-FROM parts JOIN hosts USING (host)"""
+FROM parts JOIN addresses ON key = concat(host, path)"""
 
 
 SQL = _sql()

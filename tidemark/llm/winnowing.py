@@ -78,6 +78,15 @@ def item_windows(items: DataFrame) -> DataFrame:
     return out.select(F.col("item_id").cast("string").alias("item_id"), "width", "window", "print").distinct()
 
 
+def _spelling(width: int):
+    """Place of a window to its start, width and words."""
+    def spell(j: Column) -> Column:
+        window = F.array_join(F.slice("words", j + 1, width), " ")
+        return F.struct(j.alias("start"), F.lit(width).alias("width"), window.alias("window"))
+
+    return spell
+
+
 def _covered(windows: Column) -> Column:
     """Words covered by windows (start, width)."""
     def step(state: Column, w: Column) -> Column:
@@ -125,14 +134,7 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     for i, width in enumerate(widths):
         places = F.transform(F.col("prints")[i], lambda p, j: F.when(F.array_contains(F.col("met"), p), j))
         places = F.filter(places, lambda j: j.isNotNull())
-        spelt.append(
-            F.transform(
-                places,
-                lambda j, w=width: F.struct(
-                    j.alias("start"), F.lit(w).alias("width"), F.array_join(F.slice("words", j + 1, w), " ").alias("window")
-                ),
-            )
-        )
+        spelt.append(F.transform(places, _spelling(width)))
     found = written(told.select("doc_id", "key", "n_words", F.concat(*spelt).alias("windows")), "windows")
     occurring = (
         found.where(F.size("windows") > 0)
