@@ -12,6 +12,7 @@ from tidemark.llm import (
     multiset_hash,
     packing,
     pu_quality,
+    substring_dedup,
     url_cascade,
     winnowing,
 )
@@ -85,3 +86,8 @@ ORACLE["op6_winnowing_decontamination"] = winnowing.SQL
 @query
 def op10_multiset_fingerprints(spark, folder):
     return multiset_hash.fingerprints(table(spark, folder, "documents"))
+
+
+@query
+def op3_de_bruijn_dedup(spark, folder):
+    return substring_dedup.digests(table(spark, folder, "documents"))
