@@ -9,20 +9,23 @@ no pre-token can reach across and its parts encoded alone. The cuts used here:
 
 Texts with white space in runs or at their ends, or with the marks of special tokens, are
 encoded whole (byte-level) or in parts that hold the mark (word). Words made of letters only go
-to the vocabulary's own model, with a trailing full stop or comma cut off.
+to the vocabulary's own model, with trailing signs cut off.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import string
+from array import array
 
 import numpy as np
 
 _RUNS = re.compile(r"\s\s|^\s|\s$|\x00|<\|")
-_PUNCTUATION = frozenset(".,;:!?")
+#: ASCII signs that form one pre-token after a word; not the apostrophe, which may start a suffix.
+_SIGNS = string.punctuation.replace("'", "")
 #: Distinct pieces kept by one worker process; beyond it the memory is emptied, at a cost in time only.
-MOST_PIECES = 300_000
+MOST_PIECES = 800_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -53,11 +56,16 @@ class Encoder:
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
     def _word(self, piece: str) -> bytes:
-        mapped = piece.encode().decode("latin-1").translate(self.letters)
-        return b"".join(x.id.to_bytes(4, "little") for x in self.model.tokenize(mapped))
+        if piece.isascii():
+            mapped = "Ġ" + piece[1:] if piece[0] == " " else piece
+        else:
+            mapped = piece.encode().decode("latin-1").translate(self.letters)
+        return array("I", [x.id for x in self.model.tokenize(mapped)]).tobytes()
 
     def _plain(self, piece: str) -> str | None:
         """The piece as the model reads it, if it is one pre-token of plain letters."""
+        if not piece:
+            return None
         if self.words:
             return piece.lower() if piece.isalpha() and (piece.isascii() or max(piece) < "Ā") else None
         return piece if piece[1:].isalpha() and (piece[0] == " " or piece[0].isalpha()) else None
@@ -71,11 +79,12 @@ class Encoder:
                 if word not in pieces:
                     pieces[word] = self._word(word)
                 pieces[piece] = pieces[word]
-            elif piece[-1:] in _PUNCTUATION and (word := self._plain(piece[:-1])) is not None:
-                for part in (word, piece[-1]):
-                    if part not in pieces:
-                        pieces[part] = self._word(word) if part == word else self.library([part])[0]
-                pieces[piece] = pieces[word] + pieces[piece[-1]]
+            elif (word := self._plain(body := piece.rstrip(_SIGNS))) is not None:
+                if word not in pieces:
+                    pieces[word] = self._word(word)
+                if (signs := piece[len(body) :]) not in pieces:
+                    pieces[signs] = self.library([signs])[0]
+                pieces[piece] = pieces[word] + pieces[signs]
             else:
                 others.append(piece)
         if others:
