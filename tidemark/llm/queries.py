@@ -10,6 +10,7 @@ from tidemark.llm import (
     arrow_sequences,
     language_id,
     multiset_hash,
+    order_minhash,
     packing,
     pu_quality,
     substring_dedup,
@@ -91,3 +92,8 @@ def op10_multiset_fingerprints(spark, folder):
 @query
 def op3_de_bruijn_dedup(spark, folder):
     return substring_dedup.digests(table(spark, folder, "documents"))
+
+
+@query
+def op9_order_minhash(spark, folder):
+    return order_minhash.classes(table(spark, folder, "documents"))
