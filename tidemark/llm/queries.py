@@ -14,6 +14,7 @@ from tidemark.llm import (
     packing,
     pu_quality,
     substring_dedup,
+    suffix_tree,
     url_cascade,
     winnowing,
 )
@@ -97,3 +98,11 @@ def op3_de_bruijn_dedup(spark, folder):
 @query
 def op9_order_minhash(spark, folder):
     return order_minhash.classes(table(spark, folder, "documents"))
+
+
+@query
+def op1_suffix_tree_scores(spark, folder):
+    docs = table(spark, folder, "documents")
+    held_out = fold(F.col("doc_id"), 10) == 0
+    found = suffix_tree.scored(docs, ~held_out)
+    return found.select("doc_id", fold(F.col("doc_id"), 10).eqNullSafe(0).alias("held_out"), *found.columns[1:])
