@@ -197,3 +197,9 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
         score.alias("score"),
         (~known | (score < threshold)).alias("rejected"),
     )
+
+
+def accepted(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+    """The rows that are not rejected, with the columns of ``docs``."""
+    found = identify(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(text)), model, text)
+    return found.where(~F.col("rejected")).select("_row.*")
