@@ -62,6 +62,15 @@ def removed(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, lambda x, y: F.pmod(x - y, F.lit(MODULUS)))
 
 
+def stored(lane: Column) -> Column:
+    """Lanes as array<int>, half as long on disk and in shuffles."""
+    return F.transform(lane, lambda x: (x - MODULUS // 2).cast("int"))
+
+
+def restored(lane: Column) -> Column:
+    return F.transform(lane, lambda x: x.cast("long") + MODULUS // 2)
+
+
 def text_of(lane: Column) -> Column:
     """The fingerprint as text: the count and eight hexadecimal digits for each lane."""
     digits = F.transform(F.slice(lane, 2, LANES), lambda x: F.lower(F.lpad(F.hex(x), 8, "0")))
@@ -116,7 +125,8 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
     smallest hash (``order``) stands for it as the next document.
     """
     id_ = F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST))
-    base = docs.select("doc_id", id_.alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    # One frame for both joins, so that the texts are shuffled once.
+    base = docs.select(id_.alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     ids = base.groupBy("id").agg((F.max(F.length("text")) / 4).cast("int").alias("most"))
     order = written(following(ids), "order")
     wanted = order.select(F.col("next_id").alias("id"), F.col("id").alias("target"), "most")
@@ -132,7 +142,10 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
     return (
         base.join(order.select("id", "next_id"), "id")
         .join(heads, "id")
-        .select("doc_id", "id", "next_id", F.xxhash64("text").alias("order"), "text", edited.alias("edited"))
+        .select(
+            F.nullif("id", F.lit(LEAST)).alias("doc_id"), "id", "next_id",
+            F.xxhash64("text").alias("order"), "text", edited.alias("edited"),
+        )
     )
 
 
@@ -142,12 +155,14 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         "doc_id", "id", "next_id", "order",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        lanes(F.col("text")).alias("own"),
-        lanes(F.col("edited")).alias("other"),
+        stored(lanes(F.col("text"))).alias("own"),
+        stored(lanes(F.col("edited"))).alias("other"),
     )
     pairs = written(pairs, "lanes")
     nexts = pairs.groupBy(F.col("id").alias("next_id")).agg(F.min_by("own", "order").alias("next"))
-    return pairs.join(nexts, "next_id").select(
+    met = pairs.join(nexts, "next_id")
+    met = met.withColumns({c: restored(F.col(c)) for c in ("own", "other", "next")})
+    return met.select(
         "doc_id", "n_chars", "edited_sha256",
         text_of(F.col("own")).alias("fingerprint"),
         text_of(F.col("other")).alias("edited_fingerprint"),
