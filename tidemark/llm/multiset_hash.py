@@ -1,6 +1,7 @@
 r"""Document fingerprints by a homomorphic multiset hash.
 
-A text's pieces are its paragraphs (lines), cut further at sentence ends. Each piece hashes to a vector of
+A text's pieces are its paragraphs (lines), cut further at white space that follows a sign, so at the ends of
+sentences and clauses. Each piece hashes to a vector of
 ``LANES`` 16-bit numbers; a fingerprint is the piece count and the sum of the vectors, lane by lane modulo
 2**32. Sums commute, so equal multisets of pieces have equal fingerprints in any order, and pieces are
 inserted or deleted by adding or subtracting (``added``, ``removed``) without the rest of the text.
@@ -21,7 +22,7 @@ from tidemark.llm.common import shuffle_partitions, written
 
 SEEDS = 16
 LANES = 4 * SEEDS
-PIECES = r"\n|(?<=[.!?])[ \t\r]"
+PIECES = r"\n|(?<=[^\p{L}\p{N}\s])\s"
 MODULUS = 1 << 32
 LEAST = -(1 << 63)
 
