@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+from pathlib import Path
 from datetime import date, datetime
 from unittest.mock import MagicMock
 
@@ -16,7 +17,7 @@ from tidemark.operators.upsert import (
     upsert_table,
     write_new,
 )
-from tidemark.session import STAGING, setting, shared_folder, size_shuffles, staged
+from tidemark.session import STAGING, shared_folder, staged
 from tidemark.streaming import incremental
 
 ONE, TWO = date(2024, 1, 1), date(2024, 1, 2)
@@ -96,15 +97,13 @@ def files_of(spark, table):
 
 
 @pytest.mark.parametrize("parts", [["day"], ["day", "country"]])
-@pytest.mark.parametrize("most", [10_000, 0])
-def test_upsert_keeps_rows_without_a_partition_value(spark, database, rows, monkeypatch, parts, most):
-    """Also when the partitions are too many to be named in a filter."""
-    monkeypatch.setattr("tidemark.operators.upsert.MAX_PARTITION_VALUES", most)
+@pytest.mark.parametrize("moves", [True, False])
+def test_upsert_keeps_rows_without_a_partition_value(spark, database, rows, parts, moves):
     table = f"{database}.t"
     first = [(1, "a", None, "x"), (2, "a", None, "x"), (3, "a", ONE, "x"), (5, "a", TWO, "y")]
-    upsert_table(spark, table, frame(spark, *first), ["id"], parts)
+    upsert_table(spark, table, frame(spark, *first), ["id"], parts, keys_may_move=moves)
     batch = frame(spark, (2, "b", None, "x"), (4, "b", ONE, "x"))
-    upsert_table(spark, table, batch, ["id"], parts)
+    upsert_table(spark, table, batch, ["id"], parts, keys_may_move=moves)
     expected = [(1, "a"), (2, "b"), (3, "a"), (4, "b"), (5, "a")]
     assert rows(spark.table(table), "id", "v") == expected
 
@@ -114,10 +113,36 @@ def test_touched_rows_skip_the_other_partitions(spark, database):
     write_new(frame(spark, (1, "a", ONE, "x"), (2, "a", TWO, "x")), table, ["day"])
     found = touched_rows(spark.table(table), frame(spark, (9, "b", TWO, "x")), ["day"])
     text = found._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[.*day#\d+ = 2024-01-02", text)
+    assert re.search(r"PartitionFilters: \[.*day#\d+ >= 2024-01-02.*day#\d+ <= 2024-01-02", text)
     assert [row["id"] for row in found.collect()] == [2]
 
 
+@pytest.mark.parametrize("day", [TWO, None])
+def test_upsert_moves_a_key_to_another_partition(spark, database, rows, day):
+    table = f"{database}.t"
+    first = frame(spark, (1, "a", ONE, "x"), (2, "a", ONE, "x"), (3, "a", TWO, "x"))
+    upsert_table(spark, table, first, ["id"], ["day"])
+    upsert_table(spark, table, frame(spark, (1, "b", day, "x")), ["id"], ["day"])
+    assert rows(spark.table(table), "id", "v") == [(1, "b"), (2, "a"), (3, "a")]
+    # The last row of a partition leaves it.
+    upsert_table(spark, table, frame(spark, (2, "b", day, "x")), ["id"], ["day"])
+    assert rows(spark.table(table), "id", "v") == [(1, "b"), (2, "b"), (3, "a")]
+    assert rows(spark.table(table).where(F.col("day") == ONE)) == []
+
+
+def test_a_row_of_another_day_stops_the_replacement(spark, database, rows):
+    table = f"{database}.t"
+    first = frame(spark, (1, "a", ONE, "x"), (2, "a", TWO, "x"), (3, "a", TWO, "y"))
+    write_new(first, table, ["day", "country"])
+    stray = frame(spark, (4, "b", ONE, "x"), (5, "b", TWO, "x"))
+    with pytest.raises(Exception, match="not of 2024-01-01"):
+        tables.replace_partitions(stray, table, ONE, "day", "country")
+    with pytest.raises(Exception, match="not of 2024-01-01"):
+        tables.replaced(first, stray, "day", ONE).collect()
+    spark.catalog.refreshTable(table)
+    assert rows(spark.table(table), "id", "v") == [(1, "a"), (2, "a"), (3, "a")]
+
+
 def test_upsert_of_nothing_and_of_duplicates(spark, database, rows):
     table = f"{database}.t"
     upsert_table(spark, table, frame(spark, (1, "a", ONE, "x")), ["id"], ["day"])
@@ -128,7 +153,7 @@ def test_upsert_of_nothing_and_of_duplicates(spark, database, rows):
     assert rows(spark.table(table), "v") == [("a",)]
     upsert_table(spark, table, twice, ["id"], ["day"], latest="v", tie_break=["country"])
     assert rows(spark.table(table), "v") == [("c",)]
-    assert tables.list_tables(spark, STAGING) == []
+    assert staged_folders(spark) == []
 
 
 def test_upsert_follows_added_and_removed_columns(spark, database, rows):
@@ -156,20 +181,16 @@ def test_a_cut_off_swap_is_finished(spark, database, rows):
     assert tables.list_tables(spark, database) == ["t"]
 
 
+def staged_folders(spark):
+    folder = Path(shared_folder(spark).removeprefix("file:")) / STAGING
+    return sorted(folder.iterdir()) if folder.exists() else []
+
+
 def test_staged_rows_lie_in_the_shared_folder_and_go_away(spark):
     with staged(spark.range(5)) as df:
         assert df.count() == 5
         assert all(shared_folder(spark) in name for name in df.inputFiles())
-    assert tables.list_tables(spark, STAGING) == []
-
-
-def test_shuffles_are_sized_by_bytes(spark):
-    with setting(spark, "spark.sql.shuffle.partitions", "8"):
-        assert size_shuffles(spark, 10) == spark.sparkContext.defaultParallelism
-        assert size_shuffles(spark, (10 << 40) + 1) == 81_921
-        assert size_shuffles(spark, 100 << 40) == 100_000
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "100000"
-    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    assert staged_folders(spark) == []
 
 
 def test_export_counts_in_order_and_stops_at_the_first_failure(spark, tmp_path):
@@ -250,43 +271,48 @@ def test_stream_upsert_is_independent_of_batches_and_order(spark, database, tmp_
     assert run() == expected
 
 
-def test_stream_dedup_and_daily_windows(spark, tmp_path, rows):
+def in_batches(spark, source, files, start, out):
+    """Land the files and run a stream that takes so many at a time."""
+    stream = stream_of(spark, source, files).withColumn("day", F.to_date("at"))
+    start(stream, out).awaitTermination()
+    return spark.table(out)
+
+
+@pytest.fixture
+def shuffled(spark, tmp_path):
+    """Three files whose days come in the order 3, 1, 2, with late and repeated rows."""
     source = f"{tmp_path}/in"
-    land(readings(spark, ("a", at(1, 1), 1), ("a", at(1, 1), 2), ("b", at(1, 2), 3)), source)
-    land(readings(spark, ("a", at(1, 1), 4), ("a", at(3, 0), 5)), source)
-
-    def drained(stream, name):
-        out = f"{tmp_path}/{name}"
-        incremental.drain(stream, out, f"{tmp_path}/{name}-cp").awaitTermination()
-        return spark.read.parquet(out)
-
-    first = incremental.first_per_key(stream_of(spark, source), ["k", "at"], "at", "1 day")
-    assert rows(drained(first, "first"), "k", "at") == [
-        ("a", at(1, 1)),
-        ("a", at(3, 0)),
-        ("b", at(1, 2)),
-    ]
-    # The later "a" still meets the state of the first: the watermark trails by a batch.
-    for salts in (0, 4):
-        once = incremental.first_per_key(stream_of(spark, source), ["k"], "at", "1 day", salts)
-        assert rows(drained(once, f"once{salts}"), "k") == [("a",), ("b",)]
-    daily = incremental.windowed(
-        stream_of(spark, source, 10), ["k"], [F.sum("v").alias("s")], "at"
-    ).select(F.to_date("window.start").alias("day"), "k", "s")
-    assert rows(drained(daily, "daily")) == [(ONE, "a", 7), (ONE, "b", 3)]
-
-
-def test_windowed_drops_rows_behind_the_watermark(spark, tmp_path, rows):
-    source, out, state = f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/cp"
+    for day in (3, 1, 2):
+        land(readings(spark, *[(k, at(day, h), day * 10 + h) for k in "ab" for h in (1, 2, 3)]), source)
+    land(readings(spark, ("a", at(1, 9), 1), ("b", at(3, 1), 31)), source)
+    return source
 
-    def run():
-        daily = incremental.windowed(
-            stream_of(spark, source), ["k"], [F.sum("v").alias("s")], "at"
-        ).select(F.to_date("window.start").alias("day"), "k", "s")
-        incremental.drain(daily, out, state).awaitTermination()
-
-    land(readings(spark, ("a", at(1, 1), 1), ("a", at(2, 1), 1)), source)
-    run()
-    land(readings(spark, ("a", at(1, 2), 100), ("a", at(3, 1), 1)), source)
-    run()
-    assert rows(spark.read.parquet(out)) == [(ONE, "a", 1), (TWO, "a", 1)]
+
+@pytest.mark.parametrize("files", [1, 2, 1000])
+def test_streams_give_the_same_rows_whatever_the_batches(spark, database, tmp_path, rows, shuffled, files):
+    def distinct(stream, out):
+        return incremental.distinct_stream(stream, out, f"{tmp_path}/d", ["k", "day"], ["day"])
+
+    def daily(stream, out):
+        return incremental.rollup_stream(
+            stream, f"{database}.rows", out, f"{tmp_path}/r", ["k", "at", "day"], "v", ["k"], ["day"],
+            lambda df: df.groupBy("k", "day").agg(F.sum("v").alias("s")).select("k", "s", "day"),
+        )
+
+    found = in_batches(spark, shuffled, files, distinct, f"{database}.d")
+    assert found.count() == found.distinct().count() == 6
+    sums = rows(in_batches(spark, shuffled, files, daily, f"{database}.r"), "day", "k", "s")
+    assert [s[2] for s in sums] == [37, 36, 66, 66, 96, 96]
+
+
+@pytest.mark.parametrize("order", [(1, 2), (2, 1)])
+def test_stream_upsert_breaks_ties_alike_in_any_order(spark, database, tmp_path, rows, order):
+    source, table = f"{tmp_path}/in", f"{database}.t"
+    for v in order:
+        land(readings(spark, ("a", at(1, 5), v)), source)
+        land(readings(spark, ("n", None, v)).withColumn("v", F.lit(v)), source)
+    stream = stream_of(spark, source).withColumn("day", F.coalesce(F.to_date("at"), F.lit(ONE)))
+    incremental.upsert_stream(
+        stream, table, f"{tmp_path}/cp", ["k", "day"], "at", ["v"], ["day"]
+    ).awaitTermination()
+    assert rows(spark.table(table), "k", "v") == [("a", 2), ("n", 2)]

@@ -193,6 +193,7 @@ MODES = """
         from (select city, year, month, condition_category, count(*) as cnt
               from star group by all)) where rn = 1"""
 
+# The report's definition, stated here as its specification. Labels and thresholds.
 PROFILE = """
     case when {t} >= 15 and {c} <= 200 then 'warm_clean'
          when {t} >= 15 and {c} > 200 then 'warm_carbon'
@@ -217,6 +218,14 @@ def unique(table: str, name: str, column: str) -> str:
     )
 
 
+def accepted(table: str, name: str, column: str, allowed: list[str]) -> str:
+    listed = ", ".join(f"'{value}'" for value in allowed)
+    return (
+        f"select '{name}', 'accepted_values', '{column}', "
+        f"count(*) filter ({column} not in ({listed})) from {table}"
+    )
+
+
 FACT_COLUMNS = ["fact_id", "location_key", "time_key", "carbon_intensity", "energy_ingested_at"]
 
 ORACLE = {
@@ -336,8 +345,15 @@ ORACLE = {
             from customer, range(3) as r(i)) on c_custkey = user_id and f <= ts
         and (t is null or ts < t)""",
     "export_tables": sql("""
-        select 'dim_location' as layer, count(*) as rows from loc union all
-        select 'fact_energy_readings', count(*) from fact""", "loc", "fact"),
+        select 'dim_weather_condition' as layer, count(*) as rows from wc union all
+        select 'dim_time', count(*) from dt union all
+        select 'dim_location', count(*) from loc union all
+        select 'fact_energy_readings', count(*) from fact union all
+        select 'agg_daily_energy', count(*) from
+            (select distinct left(time_key, 8), city, country from star) union all
+        select 'rpt_weather_energy_correlation', count(*) from
+            (select distinct city, country, year, month, month_name from star)""",
+        "wc", "dt", "loc", "fact", "star"),
     "delete_date": sql(f"select * from dated where ingested_date <> {DAY}", "dated"),
     "clear_run": sql("""
         select run_id, started_at, case when n = 1 or k < 50 then 'FAILED' else 'SUCCESS' end
@@ -378,7 +394,23 @@ ORACLE = {
         unique("loc", "dim_location", "location_key"),
         not_null("fact", "fact_energy_readings", ["fact_id", "location_key", "time_key"]),
         unique("fact", "fact_energy_readings", "fact_id"),
-    ]), "sw", "se", "loc", "fact"),
+        not_null("bw", "bronze_weather", ["city", "country", "hour", "source"]),
+        not_null("be", "bronze_energy", ["zone", "country", "ingested_at", "source"]),
+        not_null("dt", "dim_time", [
+            "time_key", "full_timestamp", "year", "month", "day", "hour", "is_weekend"]),
+        unique("dt", "dim_time", "time_key"),
+        not_null("wc", "dim_weather_condition", [
+            "weathercode", "condition_label", "condition_category", "severity"]),
+        accepted("wc", "dim_weather_condition", "condition_category", fixed.CATEGORIES),
+        accepted("wc", "dim_weather_condition", "severity", fixed.SEVERITIES),
+        unique("wc", "dim_weather_condition", "weathercode"),
+        not_null("(select left(time_key, 8) as agg_date, city from star group by all)",
+                 "agg_daily_energy", ["agg_date", "city"]),
+        not_null("(select city, country, year, month from star group by all)",
+                 "rpt_weather_energy_correlation", ["city", "country", "year", "month"]),
+        not_null("hist", "snap_dim_location", ["city", "scd_id"]),
+        unique("hist", "snap_dim_location", "scd_id"),
+    ]), "sw", "se", "loc", "fact", "bw", "be", "dt", "wc", "star", "hist"),
     "run_guard": sql(f"""
         select run_id, started_at, 'RUNNING' as status from runs
         where n = 1 and started_at >= {NOW} - interval 12 hour""", "runs"),
@@ -504,7 +536,9 @@ ORACLE = {
     "union_all": """
         select cast(0 as integer) as part, event_id, value from events where event_type = 'click'
         union all select 1, event_id, value from events where event_type = 'view'
-        union all select 2, event_id, value from events where event_type = 'error'""",
+        union all select 2, event_id, value from events where event_type = 'error'
+        union all select 3, event_id, value from events
+        where event_type is null or event_type not in ('click', 'view', 'error')""",
     "union_sources": sql("""
         select event_id, case when event_type = 'purchase' then value end as carbon,
                case when event_type <> 'purchase' then value end as price,
@@ -542,7 +576,7 @@ ORACLE = {
         from lineitem""",
     "cast": sql("""
         select cast(event_id as varchar) as as_string, cast(k as double) as as_double,
-               cast(user_id as integer) as as_int, cast(ts as date) as as_date,
+               try_cast(user_id as integer) as as_int, cast(ts as date) as as_date,
                try_cast(event_type as integer) as not_an_int from ev""", "ev"),
     "parse_timestamp": """
         select event_id, date_trunc('minute', ts) as plain, date_trunc('minute', ts) as zulu,
@@ -579,5 +613,5 @@ ORACLE = {
     "stream_daily": f"""
         select cast(ts as date) as day, event_type, {total('value')} as total, count(*) as n,
                max(value) as max_value from events
-        where cast(ts as date) + interval 1 day <= (select max(ts) from events) group by 1, 2""",
+        group by 1, 2""",
 }

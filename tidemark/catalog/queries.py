@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,7 +15,8 @@ from tidemark.operators import audit, contracts, rollup, scd, tables, upsert as
 from tidemark.operators.dedup import dedup_latest, high_water_mark, since_last
 from tidemark.operators.export import export
 from tidemark.plans import bronze, checks, gold
-from tidemark.session import configure, shared_folder
+from tidemark.plans.medallion import SERVED
+from tidemark.session import configure, new_folder
 from tidemark.sources import files, fixed, spine
 from tidemark.sources.landed import read_landed, with_payload
 from tidemark.streaming import incremental
@@ -40,8 +42,12 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+def new_table(spark: SparkSession) -> str:
+    """Name of a new table in a database of this session's own shared folder."""
+    folder = new_folder(spark, "db")
+    name = f"tables_{folder.rsplit('/', 1)[1]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}'")
+    return f"{name}.t"
 
 
 # --- A: scans and sources ----------------------------------------------------------------
@@ -238,15 +244,18 @@ def append_audit(spark, folder):
 
 @query
 def append_run_log(spark, folder):
-    return b.run_log(spark, folder)
+    """Every run's rows, appended to a log as they come, read back from it."""
+    path = new_folder(spark, "run_log")
+    log = b.run_log(spark, folder)
+    for status in (F.col("status") == audit.RUNNING, F.col("status") != audit.RUNNING):
+        log.where(status).write.mode("append").parquet(path)
+    return spark.read.schema(log.schema).parquet(path)
 
 
 @query
 def full_refresh(spark, folder):
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS refreshed LOCATION '{new_folder(spark, 'db')}'")
-    table = f"refreshed.t_{uuid.uuid4().hex}"
+    table = new_table(spark)
     orders = b.table(spark, folder, "orders")
-    tables.full_refresh(orders.where("o_orderstatus = 'O'"), table)
     tables.full_refresh(
         orders.groupBy("o_orderstatus", "o_orderpriority").agg(
             F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("max_price")
@@ -337,14 +346,33 @@ def as_of_version(spark, folder):
     return scd.as_of_version(facts, history, "user_id", "ts", ["segment"])
 
 
+def _stored(spark, folder) -> dict[str, DataFrame]:
+    """Every table of the data set."""
+    fact, places = b.fact(spark, folder), b.locations(spark, folder)
+    times, conditions = gold.dim_time(spark), gold.dim_weather_condition(spark)
+    return {
+        "bronze_weather": b.weather_bronze(spark, folder),
+        "bronze_energy": b.energy_bronze(spark, folder),
+        "stg_weather_hourly": b.silver_weather(spark, folder),
+        "stg_energy_intensity": b.silver_energy(spark, folder),
+        "dim_location": places,
+        "dim_time": times,
+        "dim_weather_condition": conditions,
+        "fact_energy_readings": fact,
+        "agg_daily_energy": gold.agg_daily_energy(fact, places, SCALE),
+        "rpt_weather_energy_correlation": gold.rpt_weather_energy_correlation(
+            fact, places, times, conditions, SCALE
+        ),
+        "snap_dim_location": _history(spark, folder),
+    }
+
+
 @query
 def export_tables(spark, folder):
     """The export with files as its sink, the counts read back from what was written."""
     path = new_folder(spark, "export")
-    served = {
-        "dim_location": b.locations(spark, folder),
-        "fact_energy_readings": b.fact(spark, folder),
-    }
+    tables_ = _stored(spark, folder)
+    served = {name: tables_[name] for name in SERVED}
     views = {}
     for name, df in served.items():
         views[name] = f"{name}_{uuid.uuid4().hex}"
@@ -429,15 +457,7 @@ def test_not_empty(spark, folder):
 
 @query
 def contract_results(spark, folder):
-    fact, places = b.fact(spark, folder), b.locations(spark, folder)
-    return checks.check_tables(
-        {
-            "stg_weather_hourly": b.silver_weather(spark, folder),
-            "stg_energy_intensity": b.silver_energy(spark, folder),
-            "dim_location": places,
-            "fact_energy_readings": fact,
-        }
-    )
+    return checks.check_tables(_stored(spark, folder))
 
 
 @query
@@ -782,11 +802,14 @@ def mode_per_group(spark, folder):
 @query
 def union_all(spark, folder):
     events = b.events(spark, folder)
-    parts = [events.where(F.col("event_type") == kind) for kind in ["click", "view", "error"]]
+    named = ["click", "view", "error"]
+    kinds = [F.col("event_type") == kind for kind in named]
+    kinds.append(F.isnull("event_type") | ~F.col("event_type").isin(named))
     labelled = [
-        part.select(F.lit(i).alias("part"), "event_id", "value") for i, part in enumerate(parts)
+        events.where(kind).select(F.lit(i).alias("part"), "event_id", "value")
+        for i, kind in enumerate(kinds)
     ]
-    return labelled[0].unionByName(labelled[1]).unionByName(labelled[2])
+    return reduce(DataFrame.unionByName, labelled)
 
 
 @query
@@ -884,7 +907,7 @@ def cast(spark, folder):
     return b.events(spark, folder).select(
         F.col("event_id").cast("string").alias("as_string"),
         F.col("k").cast("double").alias("as_double"),
-        F.col("user_id").cast("int").alias("as_int"),
+        F.col("user_id").try_cast("int").alias("as_int"),
         F.col("ts").cast("date").alias("as_date"),
         F.col("event_type").try_cast("int").alias("not_an_int"),
     )
@@ -994,8 +1017,7 @@ def _event_stream(spark, folder):
 
 @query
 def stream_upsert(spark, folder):
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS streamed LOCATION '{new_folder(spark, 'db')}'")
-    table = f"streamed.t_{uuid.uuid4().hex}"
+    table = new_table(spark)
     readings = _event_stream(spark, folder).select(
         "user_id",
         clock.trunc_hour("ts").alias("hour"),
@@ -1018,37 +1040,43 @@ def stream_upsert(spark, folder):
 
 @query
 def stream_dedup(spark, folder):
-    hour = clock.trunc_hour("ts").alias("hour")
-    keyed = _event_stream(spark, folder).select("user_id", hour, "ts")
-    first = incremental.first_per_key(keyed, ["user_id", "hour"], "ts", "1 hour", salts=4)
-    return _drained(spark, first.select("user_id", "hour"))
+    table = new_table(spark)
+    keyed = _event_stream(spark, folder).select(
+        "user_id", clock.trunc_hour("ts").alias("hour"), clock.ingest_date("ts").alias("hour_date")
+    )
+    incremental.distinct_stream(
+        keyed, table, new_folder(spark, "checkpoint"), ["user_id", "hour", "hour_date"], ["hour_date"]
+    ).awaitTermination()
+    return spark.table(table).select("user_id", "hour")
 
 
-def _drained(spark, stream):
-    path, cores = new_folder(spark, "drained"), spark.sparkContext.defaultParallelism
-    incremental.drain(stream, path, new_folder(spark, "checkpoint"), cores).awaitTermination()
-    return spark.read.parquet(path)
+def _daily(rows: DataFrame) -> DataFrame:
+    units = numbers.to_units("value", SCALE)
+    totals = rows.groupBy("day", "event_type").agg(
+        F.sum(units).alias("units"),
+        F.count(F.lit(1)).alias("n"),
+        F.max("value").alias("max_value"),
+    )
+    total = numbers.from_units(F.col("units"), SCALE).alias("total")
+    return totals.select("event_type", total, "n", "max_value", "day")
 
 
 @query
 def stream_daily(spark, folder):
-    """Days that end after the last event stay open and are not part of the result."""
-    units = numbers.to_units("value", SCALE)
-    daily = incremental.windowed(
-        _event_stream(spark, folder),
-        ["event_type"],
-        [
-            F.sum(units).alias("units"),
-            F.count(F.lit(1)).alias("n"),
-            F.max("value").alias("max_value"),
-        ],
-        "ts",
-    )
-    days = daily.select(
-        F.to_date("window.start").alias("day"),
-        "event_type",
-        numbers.from_units(F.col("units"), SCALE).alias("total"),
-        "n",
-        "max_value",
-    )
-    return _drained(spark, days)
+    """Days and types of all events, the last day included."""
+    rows, table = new_table(spark), new_table(spark)
+    events = _event_stream(spark, folder).select(
+        "event_id", "event_type", "ts", "value", clock.ingest_date("ts").alias("day")
+    )
+    incremental.rollup_stream(
+        events,
+        rows,
+        table,
+        new_folder(spark, "checkpoint"),
+        keys=["event_id", "day"],
+        latest="ts",
+        tie_break=["event_type", "value"],
+        partition_cols=["day"],
+        rollup=_daily,
+    ).awaitTermination()
+    return spark.table(table)

@@ -9,15 +9,21 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 Sink = Callable[[DataFrame, str], None]
 
 
-def jdbc_options(url: str, table: str, batchsize: int = 10_000, partitions: int = 16) -> dict:
-    """Typed columns, the table kept and emptied, a bounded number of connections."""
+def jdbc_options(
+    url: str, table: str, batchsize: int = 10_000, partitions: int | None = None
+) -> dict:
+    """Typed columns, the table kept and emptied; ``partitions`` bounds the connections.
+
+    Spark then reads the exported table in no more tasks either, so there is no bound unless the
+    caller, who knows the target, sets one.
+    """
+    bound = {} if partitions is None else {"numPartitions": str(partitions)}
     return {
         "url": url,
         "dbtable": table,
         "truncate": "true",
         "batchsize": str(batchsize),
-        "numPartitions": str(partitions),
-    }
+    } | bound
 
 
 def jdbc_sink(url: str, properties: dict[str, str], schema: str, **tuning: int) -> Sink:

@@ -36,7 +36,11 @@ def replaced(
     day: date,
     partition_cols: list[str] | None = None,
 ) -> DataFrame:
-    """What a table holds after a day is replaced: the whole day, or only the batch's partitions."""
+    """What a table holds after a day is replaced: the whole day, or only the batch's partitions.
+
+    A batch with a row of another day fails when it is run.
+    """
+    batch = only_day(batch, date_col, day)
     if partition_cols is None:
         kept = existing.where(~F.col(date_col).eqNullSafe(F.lit(day).cast("date")))
     else:
@@ -46,16 +50,23 @@ def replaced(
     return kept.unionByName(batch)
 
 
+def only_day(df: DataFrame, date_col: str, day: date) -> DataFrame:
+    """The rows themselves; running them raises if one is not of that day."""
+    same = F.col(date_col).eqNullSafe(F.lit(day).cast("date"))
+    return df.where(F.assert_true(same, f"{date_col}: a row is not of {day}").isNull())
+
+
 def replace_partitions(
     df: DataFrame, table: str, day: date, date_col: str, split_col: str, scope: str = "date"
 ):
     """Overwrite one day of a table partitioned by (``date_col``, ``split_col``).
 
-    All rows of ``df`` belong to that day. The written partitions are swapped in when the job
-    commits, so a failed job leaves the day as it was. Scope ``date`` then drops the day's
+    A row of another day fails the job. The written partitions are swapped in when the job
+    commits, so a failed job leaves the table as it was. Scope ``date`` then drops the day's
     partitions that the new rows lack; scope ``partition`` keeps them.
     """
     spark = df.sparkSession
+    df = only_day(df, date_col, day)
     parts = [date_col, split_col]
     if not spark.catalog.tableExists(table):
         write_new(df, table, parts)

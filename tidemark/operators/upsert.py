@@ -11,9 +11,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.operators.dedup import dedup_latest
 from tidemark.session import dynamic_overwrite, staged
 
-# Partition values named in the filter of one write; beyond it the filter becomes a join.
-MAX_PARTITION_VALUES = 10_000
-
 # Fixed value: how Spark names the partition of rows without a partition value.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
@@ -67,27 +64,31 @@ def evolve_schema(target: DataFrame, source: DataFrame) -> DataFrame:
 def touched_rows(target: DataFrame, source: DataFrame, partition_cols: list[str]) -> DataFrame:
     """The target's rows in the partitions the source has rows for.
 
-    The values are partition names, which the catalog lists on the driver as well; they are
-    written into the filter so that the scan skips all other partitions.
+    The bounds of every partition column, two scalars each, are written into the filter, so that
+    the scan skips what lies outside; a join with the values decides within. Only bounds reach the
+    driver, however many partitions there are.
     """
-    values = source.select(*partition_cols).distinct()
-    listed = values.limit(MAX_PARTITION_VALUES + 1).collect()
-    if len(listed) > MAX_PARTITION_VALUES:
-        left, right = target.alias("_stored"), values.alias("_touched")
-        same = [F.col(f"_stored.{c}").eqNullSafe(F.col(f"_touched.{c}")) for c in partition_cols]
-        return left.join(right, reduce(lambda a, b: a & b, same), "left_semi")
-    if not listed:
+    bounds = source.agg(
+        *[
+            part
+            for i, c in enumerate(partition_cols)
+            for part in (
+                F.min(c).alias(f"low{i}"),
+                F.max(c).alias(f"high{i}"),
+                F.max(F.isnull(c)).alias(f"null{i}"),
+            )
+        ]
+    ).first()
+    if bounds["null0"] is None:
         return target.limit(0)
-    if len(partition_cols) == 1:
-        column, found = F.col(partition_cols[0]), [row[0] for row in listed]
-        touched = column.isin([value for value in found if value is not None])
+    for i, name in enumerate(partition_cols):
+        column, low, high = F.col(name), bounds[f"low{i}"], bounds[f"high{i}"]
+        within = F.lit(False) if low is None else column.between(low, high)
         # Rows without a partition value share one partition, which is rewritten like any other.
-        return target.where(touched | column.isNull() if None in found else touched)
-    conditions = [
-        reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_cols])
-        for row in listed
-    ]
-    return target.where(reduce(lambda a, b: a | b, conditions))
+        target = target.where(within | column.isNull() if bounds[f"null{i}"] else within)
+    left, right = target.alias("_stored"), source.select(*partition_cols).distinct().alias("_touched")
+    same = [F.col(f"_stored.{c}").eqNullSafe(F.col(f"_touched.{c}")) for c in partition_cols]
+    return left.join(right, reduce(lambda a, b: a & b, same), "left_semi")
 
 
 def sync_columns(spark: SparkSession, table: str, source: DataFrame, partition_cols: list[str]):
@@ -183,12 +184,15 @@ def upsert_table(
     latest: str | None = None,
     tie_break: list[str] | None = None,
     after: Callable[[DataFrame], None] | None = None,
+    keys_may_move: bool = True,
 ):
     """Upsert into a partitioned Parquet table, rewriting only the touched partitions.
 
-    The key must determine the partition. Parquet tables have no transactions: two writers
-    of one table must not run at once (see ``audit.active_runs``). ``after`` is called with
-    the staged batch once it is stored.
+    A key whose stored row lies in another partition is moved: that partition is rewritten too.
+    Finding such rows reads the table's key columns; where the key determines the partition,
+    ``keys_may_move=False`` saves it. Parquet tables have no transactions: two writers of one
+    table must not run at once (see ``audit.active_runs``). ``after`` is called with the staged
+    batch once it is stored.
     """
     if latest is not None:
         source = dedup_latest(source, keys, latest, tie_break or [])
@@ -199,10 +203,40 @@ def upsert_table(
         finish_swap(spark, table)
         if not spark.catalog.tableExists(table):
             write_new(batch, table, partition_cols)
+        elif keys_may_move and not set(partition_cols) <= set(keys):
+            sync_columns(spark, table, batch, partition_cols)
+            new = batch.select(*partition_cols)
+            old = spark.table(table).join(batch.select(*keys), keys, "left_semi")
+            with staged(new.union(old.select(*partition_cols)).distinct()) as touched:
+                _rewrite(spark, table, batch, keys, partition_cols, touched)
         else:
             sync_columns(spark, table, batch, partition_cols)
-            target = touched_rows(spark.table(table), batch, partition_cols)
-            kept = target.join(batch.select(*keys), keys, "left_anti").select(*batch.columns)
-            overwrite_touched(spark, kept.unionByName(batch), table, partition_cols)
+            _rewrite(spark, table, batch, keys, partition_cols, batch)
         if after is not None:
             after(batch)
+
+
+def _rewrite(
+    spark: SparkSession,
+    table: str,
+    batch: DataFrame,
+    keys: list[str],
+    partition_cols: list[str],
+    touched: DataFrame,
+):
+    """Write the touched partitions anew and drop those that all rows have left."""
+    target = touched_rows(spark.table(table), touched, partition_cols)
+    kept = target.join(batch.select(*keys), keys, "left_anti").select(*batch.columns)
+    rows = kept.unionByName(batch)
+    if touched is batch:
+        overwrite_touched(spark, rows, table, partition_cols)
+        return
+    left, right = touched.alias("_touched"), rows.select(*partition_cols).distinct().alias("_new")
+    same = [F.col(f"_touched.{c}").eqNullSafe(F.col(f"_new.{c}")) for c in partition_cols]
+    # Names of partitions to drop, which the catalog holds on the driver as well.
+    text = [F.coalesce(F.col(c).cast("string"), F.lit(NO_VALUE)).alias(c) for c in partition_cols]
+    gone = left.join(right, reduce(lambda a, b: a & b, same), "left_anti").select(*text).collect()
+    overwrite_touched(spark, rows, table, partition_cols)
+    if gone:
+        specs = ", ".join(partition_spec(row.asDict()) for row in gone)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")

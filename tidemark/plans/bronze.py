@@ -71,44 +71,52 @@ def weather_rows(landed: DataFrame, cities: DataFrame, hours_are_utc: bool = Fal
     return enforce(typed, WEATHER_SCHEMA, extra=F.col("payload_error"))
 
 
-def one_document(landed: DataFrame, keys: list[str]) -> DataFrame:
-    """One document per key, sound ones first, so that copies do not multiply in a join."""
-    return top_rank(
-        landed, keys, [F.asc_nulls_first("payload_error"), F.desc_nulls_last("payload")]
+def one_document(landed: DataFrame, keys: list[str], **values: Column) -> DataFrame:
+    """``values`` of one document per key, so that copies do not multiply in a join.
+
+    Sound documents come first, then the one with the highest hash. The values and the hash are
+    taken before the ranks, which therefore sort and shuffle neither payloads nor their text.
+    """
+    picked = landed.select(
+        *keys, "payload_error", F.xxhash64("payload").alias("_hash"), *[v.alias(n) for n, v in values.items()]
     )
+    order = [F.asc_nulls_first("payload_error"), F.desc_nulls_last("_hash")]
+    return top_rank(picked, keys, order).drop("_hash")
 
 
 def intensity_reading(intensity: DataFrame, generation: DataFrame) -> DataFrame:
     """Carbon intensity and fuel shares from two documents of one city and ingest time."""
     keys = ["city", "ingested_at"]
-    left = one_document(intensity, keys).select(
-        *keys,
-        F.col("payload_error").alias("_left_error"),
-        F.col("payload.data").alias("_data"),
-        F.lit(True).alias("_left"),
-    )
-    right = one_document(generation, keys).select(
-        *keys,
-        F.col("payload_error").alias("_right_error"),
-        F.col("payload.data.generationmix").alias("_mix"),
-        F.lit(True).alias("_right"),
-    )
-    first = first_element("_data")
-    start = F.nullif(first["from"], F.lit(""))
-    # An actual of zero is a reading; only a missing one gives way to the forecast.
-    carbon = F.coalesce(first["intensity"]["actual"], first["intensity"]["forecast"])
+    first = first_element("payload.data")
+    left = one_document(
+        intensity,
+        keys,
+        _from=F.nullif(first["from"], F.lit("")),
+        # An actual of zero is a reading; only a missing one gives way to the forecast.
+        _carbon=F.coalesce(first["intensity"]["actual"], first["intensity"]["forecast"]),
+        _size=F.size("payload.data"),
+        _left=F.lit(True),
+    ).withColumnRenamed("payload_error", "_left_error")
+    right = one_document(
+        generation,
+        keys,
+        _fossil_free=share_of("payload.data.generationmix", FOSSIL_FREE_FUELS),
+        _renewable=share_of("payload.data.generationmix", RENEWABLE_FUELS),
+        _right=F.lit(True),
+    ).withColumnRenamed("payload_error", "_right_error")
+    start = F.col("_from")
     error = F.coalesce(
         "_left_error",
         "_right_error",
         F.when(F.isnull("_left"), "intensity: missing document"),
         F.when(F.isnull("_right"), "generation: missing document"),
-        F.when(F.size("_data") == 0, "intensity: no data"),
+        F.when(F.col("_size") == 0, "intensity: no data"),
     )
     return left.join(right, keys, "full").select(
         *keys,
-        carbon.alias("carbon_intensity"),
-        share_of("_mix", FOSSIL_FREE_FUELS).alias("fossil_free_pct"),
-        share_of("_mix", RENEWABLE_FUELS).alias("renewable_pct"),
+        F.col("_carbon").alias("carbon_intensity"),
+        F.col("_fossil_free").alias("fossil_free_pct"),
+        F.col("_renewable").alias("renewable_pct"),
         F.coalesce(parse_iso(start), "ingested_at").alias("measurement_at"),
         F.coalesce(error, _unreadable(start)).alias("payload_error"),
     )
@@ -124,13 +132,9 @@ def latest_chunk(index: DataFrame, chunks: DataFrame, key: str = "city") -> Data
     Chunks have ``key``, ``chunk_ts`` and a payload. An empty index gives a NULL series.
     """
     last = index.withColumn("chunk_ts", last_element("payload.timestamps")).drop("payload")
-    series = one_document(chunks, [key, "chunk_ts"]).select(
-        key,
-        "chunk_ts",
-        F.col("payload.series").alias("series"),
-        F.col("payload_error").alias("_chunk_error"),
-        F.lit(True).alias("_found"),
-    )
+    series = one_document(
+        chunks, [key, "chunk_ts"], series=F.col("payload.series"), _found=F.lit(True)
+    ).withColumnRenamed("payload_error", "_chunk_error")
     joined = last.join(series, [key, "chunk_ts"], "left")
     missing = F.when(
         F.col("chunk_ts").isNotNull() & F.isnull("_found"), "chunk: missing document"

@@ -10,17 +10,25 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.clock import RUN_ID
 from tidemark.operators import audit
-from tidemark.operators.contracts import good_rows, rejected_rows
+from tidemark.operators.contracts import (
+    REJECT,
+    empty_tables,
+    good_rows,
+    missing_parents,
+    rejected_rows,
+)
 from tidemark.operators.dedup import high_water_mark, since_last
 from tidemark.operators.export import Sink, export
 from tidemark.operators.scd import first_versions, scd2
 from tidemark.operators.tables import ensure_schema, full_refresh, replace_partitions
-from tidemark.operators.upsert import finish_swap, touched_rows, upsert_table
+from tidemark.operators.upsert import touched_rows, upsert_table
 from tidemark.plans import bronze, gold, silver
 from tidemark.plans.checks import CONTRACTS, check_tables
 from tidemark.session import staged
 from tidemark.sources import fixed
+from tidemark.sources.fixed import typed_frame
 
+# The tables served to other stores, in this order.
 SERVED = [
     "dim_weather_condition",
     "dim_time",
@@ -31,6 +39,17 @@ SERVED = [
 ]
 
 
+RAW = ["bronze_weather", "bronze_energy"]
+# Keys of the fact, and the dimension and column that must have them. A reading outside the time
+# dimension has no time key, so it is counted here too.
+PARENTS = [
+    ("location_key", "dim_location", "location_key"),
+    ("time_key", "dim_time", "time_key"),
+    ("weathercode_key", "dim_weather_condition", "weathercode"),
+]
+FAILURE_SCHEMA = "table_name string, test string, column_name string, failures bigint"
+
+
 class NothingIngested(RuntimeError):
     """No unit delivered a good row; the stored day is left as it is."""
 
@@ -53,7 +72,7 @@ class Store:
         return self.spark.table(self.name(table))
 
     def has(self, table: str) -> bool:
-        finish_swap(self.spark, self.name(table))
+        """A look only; a swap that was cut off is resumed by the next writer."""
         return self.spark.catalog.tableExists(self.name(table))
 
     # --- raw layer -------------------------------------------------------------------
@@ -75,9 +94,12 @@ class Store:
         The payloads are parsed once; the good rows, the rejects and the counts are read from
         the staged result.
         """
-        of_day = F.isnull("ingested_date") | (F.col("ingested_date") == F.lit(day))
         stamp = F.lit(ingested_at).cast("timestamp")
-        with staged(checked.where(of_day)) as rows:
+        other_day = F.col("ingested_date") != F.lit(day)
+        reason = F.when(other_day, F.array(F.lit("ingested_date: not the run's day")))
+        none = F.array().cast("array<string>")
+        reasons = F.concat(F.col(REJECT), F.coalesce(reason, none))
+        with staged(checked.withColumn(REJECT, reasons)) as rows:
             good = good_rows(rows)
             rejected = (
                 rejected_rows(rows)
@@ -99,7 +121,12 @@ class Store:
             audit.append_table(logged, self.name("bronze_audit"))
 
     def ingest_weather(
-        self, landed: DataFrame, day: date, ingested_at: datetime, hours_are_utc: bool = False
+        self,
+        landed: DataFrame,
+        day: date,
+        ingested_at: datetime,
+        hours_are_utc: bool = False,
+        scope: str = "date",
     ):
         """Failed cities and one total are logged."""
         cities = fixed.cities(self.spark)
@@ -109,12 +136,19 @@ class Store:
             cities.select(F.lit(bronze.WEATHER_SOURCE).alias("source"), "city"),
             day,
             ingested_at,
-            "ALL_CITIES",
+            "ALL_CITIES",  # fixed value
             bronze.WEATHER_SOURCE,
             failures_only=True,
+            scope=scope,
         )
 
-    def ingest_energy(self, readings: list[DataFrame], day: date, ingested_at: datetime):
+    def ingest_energy(
+        self,
+        readings: list[DataFrame],
+        day: date,
+        ingested_at: datetime,
+        scope: str = "date",
+    ):
         """Every zone's city and one total are logged."""
         zones = fixed.zones(self.spark)
         self.ingest(
@@ -123,9 +157,10 @@ class Store:
             zones.select("source", "city"),
             day,
             ingested_at,
-            "ALL_ZONES",
+            "ALL_ZONES",  # fixed value
             "all",
             failures_only=False,
+            scope=scope,
         )
 
     def guarded_run(self, started_at: datetime, ingest: Callable[[], None], hours: int = 2):
@@ -144,7 +179,7 @@ class Store:
         try:
             ingest()
         except Exception as problem:
-            record(audit.FAILED, _now(self.spark), str(problem)[:2000])
+            record(audit.FAILED, _now(self.spark), str(problem))
             raise
         record(audit.SUCCESS, _now(self.spark))
         return run
@@ -167,7 +202,7 @@ class Store:
                 F.max("_loaded_at").alias("loaded_mark"),
             )
             logged = rows.select(F.lit(table).alias("table_name"), "*")
-            audit.append_table(logged.coalesce(1), self.name("load_log"))
+            audit.append_table(logged, self.name("load_log"))
 
         return record
 
@@ -197,6 +232,16 @@ class Store:
         mark = self._mark(target, "ingested_mark", "_ingested_at")
         return since_last(rows, "ingested_at", mark, "ingested_date")
 
+    def forget(self, *tables: str):
+        """Drop built tables and what the load log says of them, so that the next build starts
+        from the layer below. Without names: the cleaned tables and the fact."""
+        names = tables or ("stg_weather_hourly", "stg_energy_intensity", "fact_energy_readings")
+        for name in names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(name)}")
+        if self.has("load_log"):
+            kept = self.table("load_log").where(~F.col("table_name").isin(*names))
+            full_refresh(kept, self.name("load_log"))
+
     def build_silver(self, loaded_at=None):
         """Load the raw rows that came since the last load."""
         weather = silver.stg_weather_hourly(
@@ -208,6 +253,7 @@ class Store:
             weather,
             ["weather_id"],
             ["observation_date"],
+            keys_may_move=False,  # the id holds the hour
             after=self._record_load("stg_weather_hourly", "observation_hour", "_ingested_at"),
         )
         energy = silver.stg_energy_intensity(
@@ -219,6 +265,7 @@ class Store:
             energy,
             ["energy_id"],
             ["ingested_date"],
+            keys_may_move=False,  # the id holds the time of ingest
             after=self._record_load("stg_energy_intensity", "measurement_hour", "_ingested_at"),
         )
 
@@ -260,6 +307,7 @@ class Store:
             if touched is not None:
                 days = touched.withColumnRenamed("touched_date", "observation_date")
                 weather = touched_rows(weather, days, ["observation_date"])
+                energy = _within(energy, "measurement_hour", touched)
             weather = gold.pending_weather(weather, energy, locations, mark)
         rows = gold.fact_energy_readings(
             weather, energy, locations, self.table("dim_time"), loaded_at, "observation_date"
@@ -270,6 +318,7 @@ class Store:
             rows,
             ["fact_id"],
             ["observation_date"],
+            keys_may_move=False,  # the id holds the hour
             after=self._record_load(
                 "fact_energy_readings", "observation_date", "weather_ingested_at"
             ),
@@ -289,14 +338,47 @@ class Store:
     # --- tests and export ------------------------------------------------------------
 
     def failures(self) -> DataFrame:
-        """Declared tests that fail, over the tables that exist."""
+        """Tests that fail, over the tables that exist: declared ones, raw tables without rows,
+        keys of the fact without a parent, and fact rows outside the time dimension."""
         tables = {name: self.table(name) for name in CONTRACTS if self.has(name)}
-        return check_tables(tables).where("failures > 0")
+        results = typed_frame(self.spark, [], FAILURE_SCHEMA)
+        if tables:
+            results = results.unionByName(check_tables(tables))
+        raw = {name: tables[name] for name in RAW if name in tables}
+        if raw:
+            empty = empty_tables(raw).select(
+                F.split_part("failure_reason", F.lit(" "), F.lit(1)).alias("table_name"),
+                F.lit("not_empty").alias("test"),
+                F.lit(None).cast("string").alias("column_name"),
+                F.lit(1).cast("bigint").alias("failures"),
+            )
+            results = results.unionByName(empty)
+        fact = "fact_energy_readings"
+        for key, dim, dim_key in PARENTS if fact in tables else []:
+            if dim in tables:
+                orphans = missing_parents(tables[fact], key, tables[dim], dim_key)
+                results = results.unionByName(
+                    orphans.agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias("failures")).select(
+                        F.lit(fact).alias("table_name"),
+                        F.lit("parent").alias("test"),
+                        F.lit(key).alias("column_name"),
+                        "failures",
+                    )
+                )
+        return results.where("failures > 0")
 
     def export(self, sink: Sink) -> dict[str, int]:
         return export(self.spark, {name: self.name(name) for name in SERVED}, sink)
 
 
+def _within(df: DataFrame, hour_col: str, days: DataFrame) -> DataFrame:
+    """Rows between the first and the last of the days; literal bounds skip row groups."""
+    low, high = days.agg(F.min("touched_date"), F.max("touched_date")).first()
+    if low is None:
+        return df.limit(0)
+    return df.where(F.col(hour_col).between(F.lit(low).cast("timestamp"), F.date_add(F.lit(high), 1).cast("timestamp")))
+
+
 def _now(spark: SparkSession) -> datetime:
     return spark.range(1).select(F.current_timestamp().alias("now")).first()["now"]
 

@@ -58,18 +58,6 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def size_shuffles(
-    spark: SparkSession, shuffled_bytes: int, per_task: int = 128 << 20, most: int = 100_000
-) -> int:
-    """Set the number of shuffle partitions from the bytes a job shuffles at most.
-
-    Adaptive execution joins partitions that turn out small, but adds none.
-    """
-    tasks = min(max(-(-shuffled_bytes // per_task), spark.sparkContext.defaultParallelism), most)
-    spark.conf.set("spark.sql.shuffle.partitions", str(tasks))
-    return tasks
-
-
 STAGING = "tidemark_staging"
 
 
@@ -77,17 +65,26 @@ STAGING = "tidemark_staging"
 def staged(df: DataFrame):
     """Rows that feed several jobs, written once as columns and dropped after the block.
 
-    The table lies in the shared folder, so it outlives executors and cuts the lineage.
+    They lie in this session's shared folder, so they outlive executors and cut the lineage.
     """
     spark = df.sparkSession
-    folder = shared_folder(spark)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {STAGING} LOCATION '{folder}/{STAGING}'")
-    table = f"{STAGING}.s_{uuid.uuid4().hex}"
-    df.write.format("parquet").saveAsTable(table)
+    path = new_folder(spark, STAGING)
+    df.write.parquet(path)
     try:
-        yield spark.table(table)
+        yield spark.read.schema(df.schema).parquet(path)
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        remove_folder(spark, path)
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing else uses."""
+    return f"{shared_folder(spark)}/{name}/{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str):
+    """Delete a folder of this library's own, in whatever storage it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 @contextmanager

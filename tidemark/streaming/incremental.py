@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.dedup import dedup_latest
-from tidemark.operators.upsert import touched_rows, upsert_table
-from tidemark.session import setting
+from tidemark.operators.upsert import overwrite_touched, touched_rows, upsert_table, write_new
+from tidemark.session import staged
 
 
 def read_parquet_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -32,22 +34,24 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Upsert every micro-batch's latest row per key. A batch run twice changes nothing.
 
-    A row older than the stored one of its key is left out, so the order of arrival does not
-    matter.
+    A row that comes before the stored one of its key, by ``latest`` and then the tie-break, is
+    left out, so neither the order of arrival nor the size of the batches matters.
     """
 
     home = stream.sparkSession
 
     def load(batch: DataFrame, _: int):
-        spark = batch.sparkSession
-        newest = dedup_latest(batch, keys, latest, tie_break)
-        if spark.catalog.tableExists(table):
-            stored = touched_rows(spark.table(table), newest, partition_cols)
-            newest = newer_than_stored(newest, stored, keys, latest)
-        upsert_table(spark, table, newest, keys, partition_cols)
+        upsert_newest(batch, table, keys, latest, tie_break, partition_cols)
         # Batches run in a session of their own; the caller's still lists the replaced files.
         home.catalog.refreshTable(table)
 
+    return started(stream, load, checkpoint)
+
+
+def started(
+    stream: DataFrame, load: Callable[[DataFrame, int], None], checkpoint: str
+) -> StreamingQuery:
+    """Run ``load`` on everything that is available now."""
     return (
         stream.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
@@ -56,59 +60,91 @@ def upsert_stream(
     )
 
 
+def upsert_newest(
+    batch: DataFrame,
+    table: str,
+    keys: list[str],
+    latest: str,
+    tie_break: list[str],
+    partition_cols: list[str],
+):
+    """Store the batch's latest row per key where it is not older than the stored one."""
+    spark = batch.sparkSession
+    with staged(dedup_latest(batch, keys, latest, tie_break)) as newest:
+        rows = newest
+        if spark.catalog.tableExists(table):
+            stored = touched_rows(spark.table(table), newest, partition_cols)
+            rows = newer_than_stored(newest, stored, keys, [latest, *tie_break])
+        upsert_table(spark, table, rows, keys, partition_cols, keys_may_move=False)
+
+
 def newer_than_stored(
-    batch: DataFrame, stored: DataFrame, keys: list[str], latest: str
+    batch: DataFrame, stored: DataFrame, keys: list[str], order: list[str]
 ) -> DataFrame:
-    held = stored.select(*keys, F.col(latest).alias("_held"))
+    """Rows that come after, or are, the stored ones in the order of ``dedup_latest``.
+
+    NULL comes before every value, in the structs compared here as in the ranks.
+    """
+    held = stored.select(*keys, F.struct(*order).alias("_held"))
     joined = batch.join(held, keys, "left")
-    return joined.where(F.isnull("_held") | (F.col(latest) >= F.col("_held"))).drop("_held")
+    return joined.where(F.isnull("_held") | (F.struct(*order) >= F.col("_held"))).drop("_held")
 
 
-def first_per_key(
-    stream: DataFrame, keys: list[str], event_time: str, delay: str, salts: int = 0
-) -> DataFrame:
-    """One row per key, the first to arrive; state is kept for the watermark delay.
+def distinct_stream(
+    stream: DataFrame, table: str, checkpoint: str, keys: list[str], partition_cols: list[str]
+) -> StreamingQuery:
+    """Add every key that the table does not have yet, whenever it comes.
 
-    With ``salts`` a key's rows are first reduced in that many parts, told apart by their event
-    time, so that one hot key does not pass through a single task.
+    Keys are reduced within each task before they are shuffled. ``partition_cols`` are among the
+    keys, so a key can only be stored in the partitions that the batch touches.
     """
-    rows = stream.withWatermark(event_time, delay)
-    if salts:
-        part = F.pmod(F.xxhash64(event_time), F.lit(salts))
-        parts = rows.withColumn("_part", part).dropDuplicatesWithinWatermark([*keys, "_part"])
-        rows = parts.drop("_part")
-    return rows.dropDuplicatesWithinWatermark(keys)
+    home = stream.sparkSession
 
+    def load(batch: DataFrame, _: int):
+        spark = batch.sparkSession
+        with staged(batch.select(*keys).distinct()) as found:
+            if not spark.catalog.tableExists(table):
+                write_new(found, table, partition_cols)
+            else:
+                stored = touched_rows(spark.table(table), found, partition_cols)
+                same = [F.col(f"_new.{k}").eqNullSafe(F.col(f"_old.{k}")) for k in keys]
+                new = found.alias("_new").join(stored.alias("_old"), same, "left_anti")
+                columns = spark.table(table).columns
+                new.select(*columns).hint("rebalance", *partition_cols).write.insertInto(table)
+        home.catalog.refreshTable(table)
 
-def windowed(
-    stream: DataFrame,
-    keys: list[str],
-    aggregates: list[Column],
-    event_time: str,
-    width: str = "1 day",
-    delay: str = "0 seconds",
-) -> DataFrame:
-    """Tumbling-window roll-up; a window is emitted once the watermark has passed its end."""
-    window = F.window(event_time, width).alias("window")
-    return stream.withWatermark(event_time, delay).groupBy(window, *keys).agg(*aggregates)
+    return started(stream, load, checkpoint)
 
 
-def drain(
-    stream: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None
+def rollup_stream(
+    stream: DataFrame,
+    rows_table: str,
+    table: str,
+    checkpoint: str,
+    keys: list[str],
+    latest: str,
+    tie_break: list[str],
+    partition_cols: list[str],
+    rollup: Callable[[DataFrame], DataFrame],
 ) -> StreamingQuery:
-    """Append everything that is available now to Parquet files.
+    """Keep a roll-up of stored rows up to date.
 
-    The number of state partitions is fixed when a checkpoint is first used; by default it is
-    the session's number of shuffle partitions.
+    Each batch is upserted into ``rows_table``; then the partitions it touched are rolled up again
+    from what is stored, so late rows count and no group waits for a later one. ``rollup`` keeps
+    the partition columns among its groups.
     """
-    spark = stream.sparkSession
-    key = "spark.sql.shuffle.partitions"
-    with setting(spark, key, str(state_partitions or spark.conf.get(key))):
-        return (
-            stream.writeStream.format("parquet")
-            .outputMode("append")
-            .option("path", path)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
+    home = stream.sparkSession
+
+    def load(batch: DataFrame, _: int):
+        spark = batch.sparkSession
+        with staged(batch.select(*partition_cols).distinct()) as touched:
+            upsert_newest(batch, rows_table, keys, latest, tie_break, partition_cols)
+            rows = rollup(touched_rows(spark.table(rows_table), touched, partition_cols))
+            if spark.catalog.tableExists(table):
+                overwrite_touched(spark, rows, table, partition_cols)
+            else:
+                write_new(rows, table, partition_cols)
+        home.catalog.refreshTable(rows_table)
+        home.catalog.refreshTable(table)
+
+    return started(stream, load, checkpoint)
