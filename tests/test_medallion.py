@@ -181,6 +181,67 @@ def test_ingest_logs_failures_and_replaces_the_day(store, spark, tmp_path, rows)
     assert rows(store.table("bronze_audit").where("status = 'FAILED'").groupBy().count()) == [(12,)]
 
 
+def test_rows_of_another_day_are_rejected_and_audited(store, spark, tmp_path, rows):
+    on_time = stamped([("Rome", weather_document())], "2024-01-15T23:59:59Z")
+    late = stamped([("Berlin", weather_document())], "2024-01-16T00:00:01Z")
+    landed = weather(spark, tmp_path, [*on_time, *late])
+    store.ingest_weather(landed, DAY, RUN)
+    assert rows(store.table("bronze_weather").select("city").distinct()) == [("Rome",)]
+    berlin = store.table("bronze_audit").where("city = 'Berlin'").first()
+    assert (berlin["status"], berlin["row_count"]) == ("FAILED", 0)
+    assert berlin["error_message"] == "ingested_date: not the run's day"
+
+
+def test_a_partial_run_can_keep_the_other_countries(store, spark, tmp_path):
+    everyone = [(city[0], weather_document()) for city in fixed.CITIES]
+    ingest_weather(store, spark, tmp_path / "1", everyone)
+    landed = weather(spark, tmp_path / "2", stamped([("Rome", weather_document())], "2024-01-15T07:00:00Z"))
+    store.ingest_weather(landed, DAY, RUN, scope="partition")
+    assert store.table("bronze_weather").count() == 240
+
+
+def test_failures_of_an_empty_database_and_of_empty_raw_tables(store, spark, rows):
+    assert rows(store.failures()) == []
+    empty = spark.createDataFrame([], "city string, country string, hour timestamp, source string")
+    empty.write.saveAsTable(store.name("bronze_weather"))
+    assert rows(store.failures()) == [("bronze_weather", "not_empty", None, 1)]
+
+
+def test_orphans_and_uncovered_hours_fail_and_a_rebuild_mends_a_wrong_load(store, spark, tmp_path, rows):
+    everyone = [(city[0], weather_document()) for city in fixed.CITIES]
+    ingest_weather(store, spark, tmp_path / "w", everyone)
+    store.ingest_energy(energy(spark, tmp_path / "e"), DAY, RUN)
+    store.build_silver(datetime(2024, 1, 15, 7))
+    store.snapshot_locations(seed_csv(spark, SEED), datetime(2024, 1, 1))
+    store.build_gold(datetime(2024, 1, 15, 8), start=datetime(2024, 1, 15, 3))
+    failing = {(r["test"], r["column_name"]) for r in store.failures().collect()}
+    assert ("parent", "time_key") in failing and ("not_null", "time_key") in failing
+    good = rows(store.table("stg_weather_hourly"), "weather_id")
+    spark.sql(f"DROP TABLE {store.name('stg_weather_hourly')}")
+    store.build_silver(datetime(2024, 1, 15, 9))
+    store.forget()
+    assert not store.has("fact_energy_readings")
+    store.build_silver(datetime(2024, 1, 15, 10))
+    store.build_gold(datetime(2024, 1, 15, 11))
+    assert rows(store.table("stg_weather_hourly"), "weather_id") == good
+    assert rows(store.failures()) == []
+    spark.sql(f"CREATE OR REPLACE TEMP VIEW no_rome AS SELECT * FROM {store.name('dim_location')} WHERE city <> 'Rome'")
+    from tidemark.operators.tables import full_refresh
+
+    full_refresh(spark.table("no_rome"), store.name("dim_location"))
+    assert ("fact_energy_readings", "parent", "location_key", 24) in rows(store.failures())
+
+
+def test_a_long_error_is_logged_whole(store):
+    def fail():
+        raise OSError("x" * 5000)
+
+    with pytest.raises(OSError):
+        store.guarded_run(datetime(2024, 1, 1), fail)
+    failed = store.table("pipeline_run_log").where("status = 'FAILED'").first()
+    assert len(failed["error"]) == 5000
+
+
 def test_guard_blocks_a_second_run_and_records_the_end(store, spark, rows):
     started = datetime.now().replace(microsecond=0)
     ran = []

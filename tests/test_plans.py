@@ -67,6 +67,23 @@ def test_the_fact_is_grouped_before_it_is_joined(spark):
     assert len([i for i in aggregates if i > min(joins)]) >= 2
 
 
+@pytest.mark.parametrize("name", ["uk_reading", "latest_chunk"])
+def test_documents_are_neither_sorted_nor_shuffled_by_their_payload(spark, name):
+    for line in plan(REGISTRY[name](spark, FOLDER)).split("\n"):
+        if re.search(r"Sort \[|WindowGroupLimit|Window \[|hashpartitioning", line):
+            assert "payload#" not in line, line
+
+
+def test_energy_of_the_stored_fact_is_bounded_by_the_touched_days(spark):
+    from tidemark.plans.medallion import _within
+
+    days = spark.sql("SELECT date '2024-01-03' AS touched_date UNION ALL SELECT date '2024-01-05'")
+    events = spark.read.parquet(f"{FOLDER}/events.parquet")
+    events = events.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    text = plan(_within(events, "ts", days))
+    assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(ts,2024-01-03.*LessThanOrEqual\(ts,2024-01-06", text)
+
+
 def hot_rows(spark, n=30_000):
     """A third of all rows under one key."""
     key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
