@@ -1,0 +1,44 @@
+"""The stages, each against brute force on what the one before kept."""
+
+from __future__ import annotations
+
+import corpus_pipeline
+from pyspark.sql import functions as F
+from test_text_operators import classes_by_brute_force, contamination_by_brute_force, removed_by_brute_force
+
+from tidemark.llm.common import written
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def pairs(df):
+    return [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+
+
+def test_each_stage_decides_on_all_that_its_predecessor_kept(spark, provided):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    columns, frames = docs.columns, [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        frames.append(written(stage(spark, frames[-1], FOLDER), name))
+    start, known, single, short, clean, packed = frames
+    assert [f.columns for f in frames[1:5]] == [columns] * 4
+    assert known.count() >= 0.99 * start.count()
+    labels = dict(classes_by_brute_force(pairs(known)))
+    assert sorted(i for i, _ in pairs(single)) == sorted(i for i, c in labels.items() if i == c)
+    before = pairs(single)
+    gone = {i: n for i, _, n, _ in removed_by_brute_force(before)}
+    texts = dict(before)
+    for i, text in pairs(short):
+        assert (text == texts[i]) if not gone[i] else len(text.split()) == len(texts[i].encode().split()) - gone[i]
+    assert short.where(F.length("text") != F.col("n_chars")).isEmpty()
+    items = [(r["item_id"], r["text"]) for r in provided("benchmark")]
+    bad = {r[0] for r in contamination_by_brute_force(pairs(short), items) if r[-1]}
+    assert sorted(i for i, _ in pairs(clean)) == sorted(i for i, _ in pairs(short) if i not in bad)
+    assert {r[0] for r in packed.select("doc_id").distinct().collect()} == {i for i, _ in pairs(clean)}
+
+
+def test_nothing_stays_nothing(spark, nothing):
+    docs = nothing
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, FOLDER)
+    assert docs.count() == 0

@@ -24,7 +24,8 @@ import numpy as np
 _RUNS = re.compile(r"\s\s|^\s|\s$|\x00|<\|")
 #: ASCII signs that form one pre-token after a word; not the apostrophe, which may start a suffix.
 _SIGNS = string.punctuation.replace("'", "")
-#: Distinct pieces kept by one worker process; beyond it the memory is emptied, at a cost in time only.
+#: Distinct pieces kept by one worker process; beyond it the memory is emptied before
+#: the next text with a new piece, at a cost in time only.
 MOST_PIECES = 800_000
 
 
@@ -72,8 +73,6 @@ class Encoder:
 
     def _learn(self, wanted: set[str]) -> None:
         pieces, others = self.pieces, []
-        if len(pieces) > MOST_PIECES:
-            pieces.clear()
         for piece in wanted:
             if (word := self._plain(piece)) is not None:
                 if word not in pieces:
@@ -106,10 +105,9 @@ class Encoder:
         try:
             return b"".join(map(self.pieces.__getitem__, cut))
         except KeyError:
+            if len(self.pieces) > MOST_PIECES:
+                self.pieces.clear()
             self._learn(set(cut).difference(self.pieces))
-            wanted = set(cut).difference(self.pieces)  # none, unless the memory was just emptied
-            if wanted:
-                self._learn(wanted)
             return b"".join(map(self.pieces.__getitem__, cut))
 
 

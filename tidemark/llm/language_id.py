@@ -170,7 +170,8 @@ def learn(
 def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """``docs`` with lang_pred, score and rejected."""
     spark = docs.sparkSession
-    columns = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score", "rejected")]
+    columns = [F.col(f"row.`{c}`") for c in docs.columns if c not in ("lang_pred", "score", "rejected")]
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     lettered = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     if model is None:
         answer = F.lit(None).cast("struct<lang:string,score:double>")
@@ -188,12 +189,12 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
 
         answer = predicted(F.col(text))
     threshold = model.threshold if model else 0.0
-    judged = docs.select(*columns, lettered.alias("_lettered"), answer.alias("_answer"))
-    known = F.col("_lettered") & F.col("_answer").isNotNull()
-    score = F.when(known, F.col("_answer.score")).otherwise(0.0)
+    judged = docs.select(row, lettered.alias("lettered"), answer.alias("answer"))
+    known = F.col("lettered") & F.col("answer").isNotNull()
+    score = F.when(known, F.col("answer.score")).otherwise(0.0)
     return judged.select(
         *columns,
-        F.when(known, F.col("_answer.lang")).otherwise(UNKNOWN).alias("lang_pred"),
+        F.when(known, F.col("answer.lang")).otherwise(UNKNOWN).alias("lang_pred"),
         score.alias("score"),
         (~known | (score < threshold)).alias("rejected"),
     )

@@ -21,7 +21,8 @@ Exact copies are reduced to one row a task before they are shuffled, and joined
 split. Nothing is collected to the driver but counts.
 
 Null ids count as the least. Texts without words are copies of each other. Texts of fewer than ``K`` words
-have one shingle, all their words. Rows of equal id are one document. Other columns are not read.
+have one shingle, all their words. Rows of equal id are one document, near to whatever
+one of its texts is near to. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -214,9 +215,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     pairs = _likely(_pairs(buckets, F.min("text_id")), texts)
     playing = buckets.select(F.col("text_id").alias("id")).distinct()
-    spelt = base.join(texts.select(F.col("text_id").alias("id"), "h1", "h2"), "id").select("id", "text")
-    codes = written(spelt.join(playing, "id").dropDuplicates(["id"]).mapInArrow(_shingled, "text_id long, code array<long>"), "codes")
-    links = _links(pairs, codes)
+    spelt = base.join(playing, "id").withColumn("hash", F.xxhash64("text")).dropDuplicates(["id", "hash"])
+    codes = written(spelt.select("id", "text").mapInArrow(_shingled, "text_id long, code array<long>"), "codes")
+    # An id with several texts is one document, which ties these texts.
+    first = copies.groupBy("id").agg(F.min("text_id").alias("a"), F.max("text_id").alias("b")).where("a < b")
+    tied = copies.join(first.select("id", "a"), "id").where("a <> text_id").select("a", F.col("text_id").alias("b"))
+    links = _links(pairs, codes).union(written(tied.distinct(), "tied"))
     labels = components(links)
 
     # Buckets that still hold several classes: more leaders, and every pair of classes in small ones.

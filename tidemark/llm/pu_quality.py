@@ -143,7 +143,7 @@ def learn(
         return None
 
     def ids(rows: DataFrame, most: int) -> list:
-        return [r[0] for r in rows.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect()]
+        return [r[0] for r in rows.where("doc_id IS NOT NULL").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect()]
 
     positives = set(ids(marks.where("quality = 1"), most_positive))
     unlabelled = set(ids(docs.where(wanted), most_unlabelled))

@@ -237,7 +237,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
             pa.string(),
         )
 
-    spans = repeated_spans(docs).select(F.col("key").alias("_key"), F.col("spans").alias("_spans"))
-    joined = docs.join(spans, _key() == F.col("_key"), "left")
-    text = F.when(F.col("_spans").isNotNull(), kept(F.col("text"), F.col("_spans"))).otherwise(F.col("text"))
-    return joined.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _key().alias("key"))
+    joined = rows.join(repeated_spans(docs), "key", "left")
+    own = F.col("row.text")
+    text = F.when(F.col("spans").isNotNull(), kept(own, F.col("spans"))).otherwise(own)
+    return joined.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
