@@ -72,7 +72,8 @@ class ShardWriter:
 
     def _flush(self, last: bool) -> None:
         flat = np.concatenate(self.waiting) if self.waiting else np.empty(0, self.type)
-        full = len(flat) if last else len(flat) - len(flat) % self.length
+        # All batches but the last are full, so that a sequence's batch follows from its number.
+        full = len(flat) if last else len(flat) - len(flat) % (self.length * self.rows)
         for i in range(0, full, self.length * self.rows):
             part = flat[i : min(full, i + self.length * self.rows)]
             n = -(-len(part) // self.length)

@@ -10,9 +10,9 @@ labelled shingles, within the band that a similarity of ``SIMILAR`` leaves, over
 together is at least ``SIMILAR``. Classes are the connected components of the links.
 
 Candidates. Documents with the same words are one text. Texts meet in buckets of two neighbouring sketches.
-In every bucket each text is compared with one leader, the least; where that leaves a bucket in several
-classes, each is compared with two more leaders, chosen by hash, and in buckets of up to ``SMALL`` texts with
-every text of another class. A bucket of s texts thus makes at most 3 s + s * SMALL comparisons, however
+Each bucket has a leader, the least text. A text is first compared with the least of its leaders; where that
+leaves a bucket in several classes, each text with its leader of another class, then with two more leaders,
+chosen by hash, and in buckets of up to ``SMALL`` texts with every text of another class. A bucket of s texts thus makes at most 3 s + s * SMALL comparisons, however
 large it is. Before texts are read, pairs whose sketches agree in fewer than ``AGREE`` of ``SKETCHES`` places
 are passed over: at similarity 0.8 a sketch agrees with probability 0.64, so that this, or never meeting in a
 bucket, loses a link with a chance of about 1e-5.
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import blocks, dropped, grams, mixed, owners, signed, words, written
 
@@ -168,10 +168,23 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _pairs(buckets: DataFrame, leader) -> DataFrame:
-    """Every text of a bucket with the bucket's leader."""
-    led = buckets.groupBy("band", "bucket").agg(leader.alias("a"))
-    return buckets.join(led, ["band", "bucket"]).where("a <> text_id").select(F.least("a", "text_id").alias("a"), F.greatest("a", "text_id").alias("b"))
+def _ordered(a: Column, b: Column) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def _led(buckets: DataFrame, order: Column) -> DataFrame:
+    """Every text of a bucket, with the bucket's leader, the first by ``order``, and both classes."""
+    leader = F.min_by(F.struct("text_id", "label"), order)
+    led = buckets.groupBy("band", "bucket").agg(leader.alias("leader"))
+    return buckets.join(led, ["band", "bucket"]).where(F.col("leader.label") != F.col("label"))
+
+
+def _crossing(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Texts, with their classes, of the buckets that hold several classes."""
+    own = F.coalesce("label", "text_id")
+    told = buckets.join(labels.withColumnRenamed("node", "text_id"), "text_id", "left").withColumn("label", own)
+    several = told.groupBy("band", "bucket").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 < l1")
+    return written(told.join(several.select("band", "bucket"), ["band", "bucket"]), "crossing")
 
 
 def _likely(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -213,28 +226,37 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     crowded = written(met.groupBy("band", "bucket").agg(F.count("*").alias("size")).where("size > 1"), "crowded")
     buckets = written(met.join(crowded, ["band", "bucket"]), "buckets")
 
-    pairs = _likely(_pairs(buckets, F.min("text_id")), texts)
     playing = buckets.select(F.col("text_id").alias("id")).distinct()
     spelt = base.join(playing, "id").withColumn("hash", F.xxhash64("text")).dropDuplicates(["id", "hash"])
     codes = written(spelt.select("id", "text").mapInArrow(_shingled, "text_id long, code array<long>"), "codes")
     # An id with several texts is one document, which ties these texts.
     first = copies.groupBy("id").agg(F.min("text_id").alias("a"), F.max("text_id").alias("b")).where("a < b")
     tied = copies.join(first.select("id", "a"), "id").where("a <> text_id").select("a", F.col("text_id").alias("b"))
-    links = _links(pairs, codes).union(written(tied.distinct(), "tied"))
-    labels = components(links)
+    links = written(tied.distinct(), "tied")
 
-    # Buckets that still hold several classes: more leaders, and every pair of classes in small ones.
-    known = F.coalesce("label", "text_id")
-    left = buckets.join(labels.select(F.col("node").alias("text_id"), "label"), "text_id", "left").withColumn("label", known)
-    mixed_ = left.groupBy("band", "bucket").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 < l1")
-    left = written(left.join(mixed_.select("band", "bucket"), ["band", "bucket"]), "left")
-    more = [_pairs(left, F.min_by("text_id", F.xxhash64("text_id", F.lit(salt), "band"))) for salt in (1, 2)]
+    # First every text with the least of its leaders, one pair a text.
+    one = buckets.withColumn("label", F.col("text_id"))
+    least = _led(one, F.col("text_id")).groupBy("text_id").agg(F.min("leader.text_id").alias("leader"))
+    pairs = _likely(least.select(*_ordered(F.col("leader"), F.col("text_id"))), texts)
+    links = links.union(_links(pairs, codes))
+    labels = components(links)
+    # Then, where a bucket still holds several classes, with its leader.
+    left = _crossing(buckets, labels)
+    more = _led(left, F.col("text_id")).select(*_ordered(F.col("leader.text_id"), F.col("text_id")))
+    second = _likely(more.join(pairs, ["a", "b"], "left_anti"), texts)
+    links = links.union(_links(second, codes))
+    labels = components(links)
+    # Then with two more leaders, and in small buckets with every text of another class.
+    left = _crossing(left.select("band", "bucket", "text_id", "size"), labels)
+    more = [
+        _led(left, F.xxhash64("text_id", F.lit(salt), "band")).select(*_ordered(F.col("leader.text_id"), F.col("text_id")))
+        for salt in (1, 2)
+    ]
     small = left.where(F.col("size") <= SMALL).select("band", "bucket", F.col("text_id").alias("a"), F.col("label").alias("la"))
     other = small.select("band", "bucket", F.col("a").alias("b"), F.col("la").alias("lb"))
     more.append(small.join(other, ["band", "bucket"]).where("a < b and la <> lb").select("a", "b"))
-    again = more[0].union(more[1]).union(more[2]).join(pairs, ["a", "b"], "left_anti")
-    found = _links(_likely(again, texts), codes)
-    labels = components(links.union(found))
+    again = more[0].union(more[1]).union(more[2]).join(pairs.union(second), ["a", "b"], "left_anti")
+    labels = components(links.union(_links(_likely(again, texts), codes)))
 
     own = copies.join(labels.withColumnRenamed("node", "text_id"), "text_id", "left")
     return own.select("id", F.coalesce("label", "text_id").alias("class_id"), "text_id")
