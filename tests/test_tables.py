@@ -181,6 +181,28 @@ def test_a_cut_off_swap_is_finished(spark, database, rows):
     assert tables.list_tables(spark, database) == ["t"]
 
 
+def test_a_refresh_never_leaves_readers_without_a_table(spark, database, rows, monkeypatch):
+    table = f"{database}.t"
+    write_new(frame(spark, (1, "old", ONE, "x")), table, [])
+    seen, plain = [], type(spark).sql
+
+    def watched(self, text, *args, **more):
+        if str(text).startswith("ALTER TABLE"):
+            seen.append(rows(self.table(table), "v"))
+            plain(self, text, *args, **more)
+            self.catalog.refreshTable(table)
+            seen.append(rows(self.table(table), "v"))
+        else:
+            return plain(self, text, *args, **more)
+
+    monkeypatch.setattr(type(spark), "sql", watched)
+    for v in ("new", "newer", "newest"):
+        swap_in(frame(spark, (1, v, ONE, "x")), table, [])
+    assert [s[0][0] for s in seen] == ["old", "new", "new", "newer", "newer", "newest"]
+    assert rows(spark.table(table), "v") == [("newest",)]
+    assert tables.list_tables(spark, database) == ["t"]
+
+
 def staged_folders(spark):
     folder = Path(shared_folder(spark).removeprefix("file:")) / STAGING
     return sorted(folder.iterdir()) if folder.exists() else []

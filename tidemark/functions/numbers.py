@@ -19,7 +19,8 @@ def from_units(units: Column, digits: int) -> Column:
 def mean_units(total: Column, count: Column, scale: int, digits: int) -> Column:
     """Half-up mean of 10^-scale units as whole 10^-digits units; NULL for an empty group."""
     size = F.nullif(count, F.lit(0)) * F.lit(10 ** max(scale - digits, 0))
-    magnitude = F.abs(total) * F.lit(10 ** max(digits - scale, 0))
+    # Twice the total times a power of ten can exceed a bigint; the mean itself does not.
+    magnitude = F.abs(total).cast("decimal(30, 0)") * F.lit(10 ** max(digits - scale, 0))
     half_up = F.call_function("div", magnitude * 2 + size, size * 2)
     return F.when(total < 0, -half_up).otherwise(half_up)
 

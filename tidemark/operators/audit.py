@@ -97,5 +97,5 @@ def cleared(log: DataFrame, run: Column | str, ended_at: Column) -> DataFrame:
         "started_at",
         ended_at.alias("ended_at"),
         F.lit(FAILED).alias("status"),
-        F.lit("Manually cleared").alias("error"),
+        F.lit("Manually cleared").alias("error"),  # fixed value
     )

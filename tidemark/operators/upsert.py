@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 from urllib.parse import unquote
@@ -107,9 +108,28 @@ def sync_columns(spark: SparkSession, table: str, source: DataFrame, partition_c
 
 
 def swap_in(df: DataFrame, table: str, partition_cols: list[str]):
-    """Replace a table, which ``df`` may read: the new one is completed under a second name."""
+    """Replace a table, which ``df`` may read.
+
+    The rows of a table without partitions go to a new folder, and then one catalog change points
+    the table there: a reader sees the old rows or the new ones, and no files are copied. The last
+    folder stays until the next swap, for readers that still list it. Where columns change or there
+    are partitions, the new table is completed under a second name; it is missing for a moment
+    between the drop of the old one and its own renaming.
+    """
     spark = df.sparkSession
     finish_swap(spark, table)
+    if not partition_cols and _same_columns(spark, table, df):
+        before = location_of(spark, table)
+        root, name = before.rsplit("/", 1)
+        stem = name.split("__v_")[0]
+        after = f"{root}/{stem}__v_{uuid.uuid4().hex}"
+        df.write.parquet(after)
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {quoted(after)}")
+        spark.catalog.refreshTable(table)
+        drop_folders(spark, root, stem, keep={before, after})
+        return
+    if not spark.catalog.tableExists(table):
+        drop_versions(spark, table)
     unfinished, complete = f"{table}__unfinished", f"{table}__complete"
     spark.sql(f"DROP TABLE IF EXISTS {unfinished}")
     write_new(df, unfinished, partition_cols)
@@ -117,12 +137,45 @@ def swap_in(df: DataFrame, table: str, partition_cols: list[str]):
     finish_swap(spark, table)
 
 
+def _same_columns(spark: SparkSession, table: str, df: DataFrame) -> bool:
+    """Whether the table is stored without partitions and with just these columns."""
+    if not spark.catalog.tableExists(table):
+        return False
+    if any(column.isPartition for column in spark.catalog.listColumns(table)):
+        return False
+    have = [(f.name, f.dataType) for f in spark.table(table).schema.fields]
+    return have == [(f.name, f.dataType) for f in df.schema.fields]
+
+
+def location_of(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+    return described.first()["data_type"]
+
+
+def drop_versions(spark: SparkSession, table: str):
+    """Delete what swaps have kept of a table that was dropped since."""
+    database, _, name = table.rpartition(".")
+    root = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    drop_folders(spark, root, name, keep=set())
+
+
+def drop_folders(spark: SparkSession, root: str, stem: str, keep: set[str]):
+    """Delete the folders of a table's former versions."""
+    names = {path.rsplit("/", 1)[1] for path in keep}
+    found = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{stem}{{,__v_*}}")
+    files = found.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.globStatus(found) or []:
+        if status.getPath().getName() not in names:
+            files.delete(status.getPath(), True)
+
+
 def finish_swap(spark: SparkSession, table: str):
     """Put a completed replacement in place; also resumes a swap that was cut off."""
     complete = f"{table}__complete"
     if spark.catalog.tableExists(complete):
         if spark.catalog.tableExists(table):
             spark.sql(f"DROP TABLE {table}")
+        drop_versions(spark, table)
         rename_table(spark, complete, table)
 
 
@@ -133,8 +186,7 @@ def rename_table(spark: SparkSession, old: str, new: str):
     partitioned = any(column.isPartition for column in spark.catalog.listColumns(new))
     if not partitioned or spark.conf.get("spark.sql.catalogImplementation") != "in-memory":
         return
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {new}").where("col_name = 'Location'")
-    root = described.first()["data_type"]
+    root = location_of(spark, new)
     for row in spark.sql(f"SHOW PARTITIONS {new}").collect():
         spec = partition_spec(partition_values(row["partition"]))
         spark.sql(f"ALTER TABLE {new} {spec} SET LOCATION {quoted(f'{root}/{row[0]}')}")

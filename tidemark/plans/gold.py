@@ -15,7 +15,8 @@ from tidemark.operators.scd import VERSION, current_versions
 from tidemark.sources.fixed import weather_conditions
 from tidemark.sources.spine import time_dimension
 
-# What the location history watches, the default spine, the two thresholds.
+# What the location history watches, the default spine, the two thresholds, and the
+# measures of the two reports.
 LOCATION_CHECKS = ["latitude", "longitude", "timezone", "electricity_zone"]
 SPINE_START = datetime(2024, 1, 1, 0)
 SPINE_END = datetime(2025, 12, 31, 23)
