@@ -80,7 +80,8 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 # --- words of Arrow text columns ----------------------------------------------------------
 
-BLOCK = 1 << 21
+#: Bytes worked on at once; arrays of eight bytes for each of them stay small.
+BLOCK = 1 << 19
 SPACES = np.array([0x20, *range(0x09, 0x0E)])
 
 
@@ -111,7 +112,7 @@ class _Powers:
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if n > self.size:
-            self.size = max(n, 2 * self.size)
+            self.size = 1 << (n - 1).bit_length()
             out = []
             for base in (self.base, self.inverse):
                 powers = np.full(self.size, base, dtype=np.uint64)
