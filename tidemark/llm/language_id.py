@@ -163,8 +163,11 @@ def learn(
     chosen = [r["doc_id"] for r in ranked.orderBy("_rank", lang).limit(most).select("doc_id").collect()]
     if not chosen:
         return None
-    rows = docs.where(usable & F.col("doc_id").isin(chosen)).select(text, lang).limit(2 * most).collect()
-    return train([r[0] for r in rows], [r[1] for r in rows])
+    rows = docs.where(usable & F.col("doc_id").isin(chosen)).select("doc_id", lang, text).limit(2 * most).collect()
+    # The same order however the rows are split into files and tasks.
+    place = {doc_id: i for i, doc_id in enumerate(chosen)}
+    rows.sort(key=lambda r: (place[r[0]], r[1], r[2]))
+    return train([r[2] for r in rows], [r[1] for r in rows])
 
 
 def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
