@@ -153,14 +153,12 @@ def learn(
     ``wanted``: which rows may be learned from. Rows are taken in the order of their ids' hashes.
     """
     usable = wanted & F.col(lang).isNotNull() & F.col(text).isNotNull()
-    order = Window.partitionBy(lang).orderBy(F.xxhash64("doc_id"), "doc_id")
-    ranked = (
-        docs.where(usable)
-        .select("doc_id", lang)
-        .withColumn("_rank", F.row_number().over(order))
-        .where(F.col("_rank") <= per_language)
-    )
-    chosen = [r["doc_id"] for r in ranked.orderBy("_rank", lang).limit(most).select("doc_id").collect()]
+    ranked = docs.where(usable).select("doc_id", F.col(lang).alias("lang"), F.xxhash64("doc_id").alias("hash"))
+    # First within parts of a language, so that a language with most of the texts is no single task.
+    for groups in (["lang", F.pmod("hash", F.lit(64))], ["lang"]):
+        order = Window.partitionBy(*groups).orderBy("hash", "doc_id")
+        ranked = ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
+    chosen = [r["doc_id"] for r in ranked.orderBy("rank", "lang").limit(most).select("doc_id").collect()]
     if not chosen:
         return None
     rows = docs.where(usable & F.col("doc_id").isin(chosen)).select("doc_id", lang, text).limit(2 * most).collect()
