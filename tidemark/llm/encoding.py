@@ -26,7 +26,7 @@ _RUNS = re.compile(r"\s\s|^\s|\s$|\x00|<\|")
 _SIGNS = string.punctuation.replace("'", "")
 #: Distinct pieces kept by one worker process; beyond it the memory is emptied before
 #: the next text with a new piece, at a cost in time only.
-MOST_PIECES = 800_000
+MOST_PIECES = 400_000
 
 
 def _byte_letters() -> dict[int, str]:
