@@ -95,9 +95,9 @@ def _bags(texts: list[str], bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 def train(
-    texts: list[str], languages: list[str], bits: int = 16, width: int = 8, epochs: int = 4, lost: float = 0.001, seed: int = 7
+    texts: list[str], languages: list[str], bits: int = 16, width: int = 8, epochs: int = 4, steps: int = 500, lost: float = 0.001, seed: int = 7
 ) -> Model:
-    """Fit on whole texts; every fifth one is held back for calibration."""
+    """Fit on whole texts, in ``steps`` minibatches at least; every fifth text is held back for calibration."""
     names = sorted(set(languages))
     random = np.random.default_rng(seed)
     target = np.array([names.index(x) for x in languages], np.int64)
@@ -108,6 +108,7 @@ def train(
     bias = np.zeros(len(names), np.float32)
     layer += random.normal(0, 0.1, layer.shape)
     fitted = np.flatnonzero(~held)
+    epochs = max(epochs, -(-steps * 16 // max(1, len(fitted))))
     for epoch in range(epochs):
         random.shuffle(fitted)
         rate = 1.0 - epoch / epochs
