@@ -157,6 +157,21 @@ def test_a_large_group_of_copies_makes_few_pairs(spark):
     assert found.select("class_id").distinct().collect() == [(0,)]
 
 
+def test_a_star_of_variants_is_one_class_though_its_base_comes_last(spark, rows):
+    """Variants are near to the base but not to one another."""
+    picks = random.Random(5)
+    base = sentence(3, 240).split()
+    texts = []
+    for i in range(300):
+        w = list(base)
+        for k in range(4):
+            w[picks.randrange(60 * k + 5, 60 * k + 50)] = f"new{i}x{k}"
+        texts.append((i, " ".join(w)))
+    texts.append((1000, " ".join(base)))
+    found = rows(order_minhash.classes(documents(spark, texts)), "doc_id", "class_id")
+    assert found == classes_by_brute_force(texts)
+
+
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 

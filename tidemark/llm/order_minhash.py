@@ -12,8 +12,10 @@ together is at least ``SIMILAR``. Classes are the connected components of the li
 Candidates. Documents with the same words are one text. Texts meet in buckets of two neighbouring sketches.
 Each bucket has a leader, the least text. A text is first compared with the least of its leaders; where that
 leaves a bucket in several classes, each text with its leader of another class, then with two more leaders,
-chosen by hash, and in buckets of up to ``SMALL`` texts with every text of another class. A bucket of s texts thus makes at most 3 s + s * SMALL comparisons, however
-large it is. Before texts are read, pairs whose sketches agree in fewer than ``AGREE`` of ``SKETCHES`` places
+chosen by hash, and in buckets of up to ``SMALL`` texts with every text of another class. Larger buckets that
+still hold several classes are dealt into blocks, and every two texts of different classes meet in the task of
+their two blocks, where sketches are compared first; so no pair of a bucket is left out. The leaders before
+keep such buckets few. Before texts are read, pairs whose sketches agree in fewer than ``AGREE`` of ``SKETCHES`` places
 are passed over: at similarity 0.8 a sketch agrees with probability 0.64, so that this, or never meeting in a
 bucket, loses a link with a chance of about 1e-5.
 
@@ -198,6 +200,38 @@ def _likely(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return written(met.select("a", "b"), "pairs")
 
 
+def _agreeing(group: pa.Table) -> pa.Table:
+    """Pairs of different classes of one pair of blocks, as ``_likely``, in the first bucket that both texts share."""
+    part, p, q = (group.column(c).to_numpy() for c in ("part", "p", "q"))
+    one = np.flatnonzero(part == p)
+    two = np.flatnonzero(part == q)
+    ids, label, n, band = (group.column(c).to_numpy() for c in ("text_id", "label", "n", "band"))
+    sketch = group.column("sketch").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+    found = []
+    for i in one.tolist():
+        j = two[(label[two] != label[i]) & (ids[two] > ids[i] if p[0] == q[0] else True)]
+        j = j[np.minimum(n[j], n[i]) >= SIMILAR * np.maximum(n[j], n[i])]
+        same = sketch[j] == sketch[i]
+        meet = same & np.roll(same, -1, axis=1)
+        keep = (same.sum(axis=1) >= AGREE) & meet[:, band[i]] & ~meet[:, : band[i]].any(axis=1)
+        found.append(np.stack([np.full(int(keep.sum()), ids[i]), ids[j[keep]]]))
+    a, b = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
+    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+
+def _met_in_blocks(buckets: DataFrame, texts: DataFrame) -> DataFrame:
+    """Distinct likely pairs of different classes in a bucket: ``size`` texts make about sqrt(size) / 4 blocks."""
+    many = F.ceil(F.sqrt("size") / 4)
+    part = F.pmod(F.xxhash64("text_id", F.lit(3)), many)
+    told = buckets.join(texts.select("text_id", "n", "sketch"), "text_id").withColumn("part", part)
+    dealt = told.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), many - 1)))
+    dealt = dealt.select(
+        "band", "bucket", "text_id", "label", "n", "sketch", "part",
+        F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
+    )
+    return dealt.groupBy("band", "bucket", "p", "q").applyInArrow(_agreeing, "a long, b long")
+
+
 def _links(pairs: DataFrame, codes: DataFrame) -> DataFrame:
     one = codes.select(F.col("text_id").alias("a"), F.col("code").alias("x"))
     two = codes.select(F.col("text_id").alias("b"), F.col("code").alias("y"))
@@ -256,7 +290,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     other = small.select("band", "bucket", F.col("a").alias("b"), F.col("la").alias("lb"))
     more.append(small.join(other, ["band", "bucket"]).where("a < b and la <> lb").select("a", "b"))
     again = more[0].union(more[1]).union(more[2]).join(pairs.union(second), ["a", "b"], "left_anti")
-    labels = components(links.union(_links(_likely(again, texts), codes)))
+    third = _likely(again, texts)
+    links = links.union(_links(third, codes))
+    labels = components(links)
+    # Then in large buckets with every text of another class.
+    left = _crossing(left.where(F.col("size") > SMALL).select("band", "bucket", "text_id", "size"), labels)
+    if not left.isEmpty():
+        done = pairs.union(second).union(third)
+        last = written(_met_in_blocks(left, texts).join(done, ["a", "b"], "left_anti"), "pairs")
+        labels = components(links.union(_links(last, codes)))
 
     own = copies.join(labels.withColumnRenamed("node", "text_id"), "text_id", "left")
     return own.select("id", F.coalesce("label", "text_id").alias("class_id"), "text_id")
