@@ -157,6 +157,17 @@ def test_a_large_group_of_copies_makes_few_pairs(spark):
     assert found.select("class_id").distinct().collect() == [(0,)]
 
 
+def test_short_texts_at_the_threshold_share_a_bucket():
+    """Texts of 5 shingles and of 4 of them: agreement 0.6, the least at 0.8."""
+    n = 20_000
+    code = np.random.default_rng(4).integers(0, 1 << 63, (n, 5)).astype(np.uint64)
+    long = order_minhash.sketches(code.ravel(), np.arange(0, 5 * n + 1, 5))
+    short = order_minhash.sketches(code[:, :4].ravel(), np.arange(0, 4 * n + 1, 4))
+    same = long == short
+    assert 0.59 < same.mean() < 0.61
+    assert (same & np.roll(same, -1, axis=1)).any(axis=1).all()
+
+
 def test_a_star_of_variants_is_one_class_though_its_base_comes_last(spark, rows):
     """Variants are near to the base but not to one another."""
     picks = random.Random(5)

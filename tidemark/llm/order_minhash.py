@@ -16,8 +16,9 @@ chosen by hash, and in buckets of up to ``SMALL`` texts with every text of anoth
 still hold several classes are dealt into blocks, and every two texts of different classes meet in the task of
 their two blocks, where sketches are compared first; so no pair of a bucket is left out. The leaders before
 keep such buckets few. Before texts are read, pairs whose sketches agree in fewer than ``AGREE`` of ``SKETCHES`` places
-are passed over: at similarity 0.8 a sketch agrees with probability 0.64, so that this, or never meeting in a
-bucket, loses a link with a chance of about 1e-5.
+are passed over: at similarity 0.8 a sketch agrees with probability 0.64, and 0.6 if 4 of 5 shingles
+are shared. No two neighbours of 40 agree, so that the texts never meet, with a chance of 4e-7 and 3e-6; fewer
+than 5 of 40 agree with a chance under 1e-10.
 
 Exact copies are reduced to one row a task before they are shuffled, and joined back by a join that Spark may
 split. Nothing is collected to the driver but counts.
@@ -39,7 +40,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.llm.common import blocks, dropped, grams, mixed, owners, signed, words, written
 
 K, SIMILAR = 5, 0.8
-SKETCHES, AGREE, SMALL = 24, 5, 32
+SKETCHES, AGREE, SMALL = 40, 5, 32
 LEAST = -(1 << 63)
 _SEEDS = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64) << np.uint64(32)) | np.uint64(1)
 
