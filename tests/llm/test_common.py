@@ -33,6 +33,15 @@ def test_long_texts_are_cut_at_white_space_only():
     assert spelt([text, "next"]) == [text.encode().split(), [b"next"]]
 
 
+def test_a_word_of_any_length_stays_one_word(monkeypatch):
+    texts = ["a " + "xY" * 999 + " b", "z" * 700, "z" * 650, "", "end " + "q" * 1281]
+    [(_, _, data, offsets)] = blocks(pa.array(texts))
+    whole = words(data, offsets, lower=True)
+    monkeypatch.setattr("tidemark.llm.common.BLOCK", 5)
+    assert spelt(texts) == [t.encode().split() for t in texts]
+    assert all((a == b).all() for a, b in zip(words(data, offsets, lower=True), whole))
+
+
 def test_equal_words_have_equal_hashes_and_lower_case_is_an_option():
     [(_, _, data, offsets)] = blocks(pa.array(["The cat the CAT", "cat é É"]))
     plain, lower = words(data, offsets).hash, words(data, offsets, lower=True).hash

@@ -162,14 +162,15 @@ def _part(data: np.ndarray, breaks: np.ndarray, values: np.ndarray):
     up, down = _BYTES.upto(len(data) + 1)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(values[data] * up[:-1], out=sums[1:])
-    return start, end, mixed((sums[end] - sums[start]) * down[start])
+    return start, end, (sums[end] - sums[start]) * down[start]
 
 
 def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
     """Runs of bytes other than ASCII white space, never across two texts.
 
     Long texts are hashed in pieces that end at white space, so that memory follows the
-    number of words rather than eight-byte sums for every byte.
+    number of words rather than eight-byte sums for every byte. A word longer than ``64 * BLOCK``
+    bytes is summed piece by piece.
     """
     values, n = BYTE_VALUES[lower], len(data)
     out, i = [], 0
@@ -179,13 +180,22 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
             space = np.flatnonzero(~IS_WORD[data[i:j]])
             j = i + int(space[-1]) + 1 if len(space) else min(n, j + BLOCK)
         breaks = offsets[(offsets >= i) & (offsets < j)] - i
-        out.append([x + i if k < 2 else x for k, x in enumerate(_part(data[i:j], breaks, values))])
+        start, end, sums = _part(data[i:j], breaks, values)
+        start, end = start + i, end + i
+        if i and IS_WORD[data[i - 1]] and IS_WORD[data[i]] and 0 not in breaks:
+            # The last word goes on.
+            was, ends, total = out[-1]
+            up = pow(_BASE, i - int(was[-1]), 1 << 64)
+            ends[-1], total[-1:] = end[0], total[-1:] + sums[:1] * np.uint64(up)
+            start, end, sums = start[1:], end[1:], sums[1:]
+        if len(start):
+            out.append((start, end, sums))
         i = j
     if not out:
         empty = np.empty(0, np.int64)
         return Words(empty, empty, empty.astype(np.uint64), np.zeros(len(offsets), np.int64))
     start, end, code = (np.concatenate(x) for x in zip(*out, strict=True))
-    return Words(start, end, code, np.searchsorted(start, offsets))
+    return Words(start, end, mixed(code), np.searchsorted(start, offsets))
 
 
 def grams(code: np.ndarray, k: int) -> np.ndarray:
