@@ -4,7 +4,7 @@
 2. near_duplicates: the document of the least id of every near-duplicate class stays.
 3. substring_dedup: spans of 50 words that an earlier document has go from the text.
 4. decontamination: documents with benchmark passages go.
-5. packing: what is left is cut into sequences of powers of two.
+5. packing: what is left is cut into sequences of powers of two, with their token ids.
 
 Stages 1 to 4 return the columns of documents. Extra columns are carried along. Null texts are rejected by
 the first stage; empty tables stay empty.
@@ -38,7 +38,7 @@ def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, vocabulary("word_bpe_49k.json"), tokens=False)
+    return packing.pack(docs, vocabulary("word_bpe_49k.json"))
 
 
 STAGES = [

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import zlib
+
 import corpus_pipeline
+import numpy as np
 from pyspark.sql import functions as F
 from test_text_operators import classes_by_brute_force, contamination_by_brute_force, removed_by_brute_force
 
@@ -37,6 +40,14 @@ def test_each_stage_decides_on_all_that_its_predecessor_kept(spark, provided):
     assert {r[0] for r in packed.select("doc_id").distinct().collect()} == {i for i, _ in pairs(clean)}
 
 
+def test_the_last_stage_returns_the_sequences(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(20)
+    found = corpus_pipeline.packed(spark, docs, FOLDER).collect()
+    assert len(found) >= 20
+    for r in found:
+        assert len(r["ids"]) == r["length"] and zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"]
+
+
 def test_nothing_stays_nothing(spark, nothing):
     docs = nothing
     for _, stage in corpus_pipeline.STAGES:
