@@ -2,7 +2,7 @@ r"""Document fingerprints by a homomorphic multiset hash.
 
 A text's pieces are its paragraphs (lines), cut further at white space that follows a sign, so at the ends of
 sentences and clauses. Each piece hashes to a vector of
-``LANES`` 16-bit numbers; a fingerprint is the piece count and the sum of the vectors, lane by lane modulo
+``LANES`` 16-bit numbers, every four of them under a seed of their own; a fingerprint is the piece count and the sum of the vectors, lane by lane modulo
 2**32. Sums commute, so equal multisets of pieces have equal fingerprints in any order, and pieces are
 inserted or deleted by adding or subtracting (``added``, ``removed``) without the rest of the text.
 
@@ -31,7 +31,7 @@ def lanes(text: Column, pieces: str = PIECES) -> Column:
     """array<bigint>: the piece count, then the lanes."""
     units = F.filter(F.split(F.coalesce(text, F.lit("")), pieces), lambda u: u != "")
     seeds = F.array(*[F.lit(i) for i in range(SEEDS)])
-    codes = F.transform(units, lambda u: F.transform(seeds, lambda j: F.xxhash64(u, j)))
+    codes = F.transform(units, lambda u: F.transform(seeds, lambda j: F.xxhash64(j, u)))
     low = F.lit(0xFFFF)
 
     def four(x: Column) -> list[Column]:
