@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
     arrow_sequences,
+    importance_resampling,
     language_id,
     multiset_hash,
     order_minhash,
@@ -15,6 +16,7 @@ from tidemark.llm import (
     pu_quality,
     substring_dedup,
     suffix_tree,
+    survival_audit,
     url_cascade,
     winnowing,
 )
@@ -106,3 +108,19 @@ def op1_suffix_tree_scores(spark, folder):
     held_out = fold(F.col("doc_id"), 10) == 0
     found = suffix_tree.scored(docs, ~held_out)
     return found.select("doc_id", fold(F.col("doc_id"), 10).eqNullSafe(0).alias("held_out"), *found.columns[1:])
+
+
+@query
+def op11_survival_audit(spark, folder):
+    return survival_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+ORACLE["op11_survival_audit"] = survival_audit.SQL
+
+
+@query
+def op13_importance_resampling(spark, folder):
+    return importance_resampling.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+ORACLE["op13_importance_resampling"] = importance_resampling.SQL
