@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.llm import (
     arrow_sequences,
     importance_resampling,
+    language_divergence,
     language_id,
     multiset_hash,
     order_minhash,
@@ -124,3 +125,9 @@ def op13_importance_resampling(spark, folder):
 
 
 ORACLE["op13_importance_resampling"] = importance_resampling.SQL
+
+
+@query
+def op12_language_divergence(spark, folder):
+    docs = table(spark, folder, "documents")
+    return language_divergence.judged(docs, language_divergence.references(docs))
