@@ -8,7 +8,7 @@ the documents, in thousandths; there are ``buckets`` gains, which is all that pa
 
 A document's weight is the mean gain of its features, its score adds Gumbel noise drawn from its id, and the
 highest scores are drawn: sampling without replacement in proportion to the exponential weights. Ranks come from
-one range partitioning by score: positions within sorted partitions, written once, plus the sizes of the
+one range partitioning of the written scores: positions within sorted partitions, plus the sizes of the
 partitions before, one number each on the driver. No text is shuffled or held longer than ``PIECE`` bytes at once.
 
 Null texts have no words; texts without features weigh 0. Ids need not be unique: rows of one id share its noise, and
@@ -171,7 +171,7 @@ def resampled(
     seed: int = 2024,
 ) -> DataFrame:
     """doc_id, n_features, weight, score and rank of every row of ``docs``, drawn towards the texts of ``target``."""
-    found = scored(weighed(docs, gains(docs, target, longest, buckets), longest), seed)
+    found = written(scored(weighed(docs, gains(docs, target, longest, buckets), longest), seed), "scored")
     return ranked(found, percent, least_words).select("doc_id", "n_features", "weight", "score", "rank")
 
 

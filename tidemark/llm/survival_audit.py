@@ -6,9 +6,9 @@ of ``f``. Its survival word is a row of a truth table: bit ``s`` of 32 says whet
 32 positions at once, so that whole batches are reduced to the number of survivors of each subset, by part and
 label. Every order of the filters is then a path through these 32 numbers: nothing else is read for 120 orders.
 
-The facts of a document are built-in expressions, and its text leaves the scan only as its sha256. A text's
-copies are told by that digest and the least id that has it: ids are counted per task before they are
-shuffled, and texts of one id only are not joined at all. Per part and task, four rows of 32 counts are shuffled.
+The facts of a document are built-in expressions, and its text leaves the scan only as its sha256. The least id of
+every digest is found by a grouping that Spark begins before it shuffles, and met by id and digest together. Per
+part and task, four rows of 32 counts are shuffled.
 
 Null texts are empty. A null id is neither smaller than another id nor larger, so that rows without an id are
 never copies and make no copies. Rows of one id and text are each counted and are not copies of each other. A
@@ -24,7 +24,7 @@ from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.common import written
 
@@ -140,8 +140,9 @@ def interactions(rows: DataFrame, filters: dict[str, Column]) -> DataFrame:
         lost("good").alias("good_lost"),
         lost("toxic").alias("toxic_lost"),
     )
-    credit = out.groupBy("part", "filter").agg(F.sum("removed").alias("shapley"))
-    return out.join(credit, ["part", "filter"]).drop("filter")
+    # 120 rows of a part and filter at most.
+    credit = F.sum("removed").over(Window.partitionBy("part", "filter"))
+    return out.withColumn("shapley", credit).drop("filter")
 
 
 def facts(docs: DataFrame) -> DataFrame:
@@ -164,11 +165,12 @@ def facts(docs: DataFrame) -> DataFrame:
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Of every row: doc_id, part, whether it fails A to E, and its labels."""
     told = written(facts(docs), "facts")
-    repeated = told.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).where("least < last")
+    # Joined by id and text together, so that the copies of one text are not one key.
+    first = told.where("doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
     marks = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
     marks = marks.agg(F.max(F.col("quality") == 1).alias("good"), F.max(F.col("toxic") == 1).alias("toxic"))
-    met = told.join(repeated, "digest", "left").join(marks, "doc_id", "left")
-    copy = F.coalesce(F.col("doc_id") > F.col("least"), F.lit(False))
+    met = told.join(first.withColumn("first", F.lit(True)), ["doc_id", "digest"], "left").join(marks, "doc_id", "left")
+    copy = F.col("doc_id").isNotNull() & F.col("first").isNull()
     kinds = [F.coalesce(k, F.lit(False)).alias(k) for k in ("good", "toxic")]
     return met.select("doc_id", "part", "A", "B", "C", "D", copy.alias("E"), *kinds)
 
