@@ -1,0 +1,121 @@
+"""The stored history: the versions that ``scd2`` gives, by files that are never written again."""
+
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators.history import CLOSED, OPENED, StoredHistory
+from tidemark.operators.scd import first_versions, scd2
+
+ROW = "k string, a int, b string"
+START = datetime(2024, 1, 1)
+
+
+def frame(spark, data):
+    return spark.createDataFrame(data, ROW)
+
+
+def files(history):
+    read = history.spark.table(history.table).select("state", F.col("_metadata.file_path").alias("path"))
+    return {tuple(r) for r in read.distinct().collect()}
+
+
+@pytest.mark.parametrize("seed", [1])
+def test_any_snapshots_give_what_the_frame_gives(spark, database, rows, seed):
+    picks = random.Random(seed)
+    history = StoredHistory(spark, f"{database}.h", "k", ["a"])
+    frames = None
+    for step in range(5):
+        data = [(f"k{i}", picks.choice([None, 1, 2]), picks.choice("xy")) for i in range(8) if picks.random() < 0.7]
+        at, current = START + timedelta(days=step), frame(spark, data)
+        history.snapshot(current, at)
+        if frames is None:
+            plain = first_versions(current, "k", at)
+        else:
+            plain = scd2(spark.createDataFrame(frames, schema), current, "k", ["a"], at)
+        frames, schema = plain.collect(), plain.schema
+        assert rows(history.read()) == rows(plain)
+        assert rows(history.current()) == rows(plain.where("is_current"))
+        if step == 3:
+            history.compact()
+            assert rows(history.read()) == rows(plain)
+    assert history.generation() > 0
+
+
+def test_a_snapshot_adds_files_and_leaves_the_others(spark, database):
+    history = StoredHistory(spark, f"{database}.h", "k", ["a"])
+    data = {f"k{i}": i for i in range(50)}
+    history.snapshot(frame(spark, [(k, a, "x") for k, a in data.items()]), START)
+    for step in (1, 2):
+        before = files(history)
+        data["k7"] += 100
+        data[f"new{step}"] = 0
+        history.snapshot(frame(spark, [(k, a, "x") for k, a in data.items()]), START + timedelta(days=step))
+        added = files(history) - before
+        assert before <= files(history)
+        names = [path.rsplit("/", 1)[1] for _, path in added]
+        read = spark.table(history.table).select("k", "state", F.col("_metadata.file_name").alias("f"))
+        wrote = sorted((r["k"], r["state"]) for r in read.where(F.col("f").isin(names)).collect())
+        assert wrote == sorted([("k7", CLOSED), ("k7", OPENED), (f"new{step}", OPENED)])
+    before = files(history)
+    history.snapshot(frame(spark, [(k, a, "other") for k, a in data.items()]), START + timedelta(days=9))
+    assert files(history) == before
+
+
+def test_closed_files_stay_through_compaction(spark, database, rows):
+    history = StoredHistory(spark, f"{database}.h", "k", ["a"])
+    for step in range(4):
+        history.snapshot(frame(spark, [("k", step, "x"), ("j", 0, "x")]), START + timedelta(days=step))
+    before, closed = rows(history.read()), {p for s, p in files(history) if s == CLOSED}
+    history.compact()
+    assert rows(history.read()) == before and rows(history.current(), "k", "a") == [("j", 0), ("k", 3)]
+    assert {p for s, p in files(history) if s == CLOSED} == closed
+    plan = history.current()._jdf.queryExecution().executedPlan().toString()
+    assert "state#" in plan and f"(generation#" in plan and "PartitionFilters" in plan
+
+
+def test_snapshots_compact_by_themselves(spark, database):
+    """One key that changes again and again does not make the open versions costly."""
+    history = StoredHistory(spark, f"{database}.h", "k", ["a"])
+    for step in range(7):
+        history.snapshot(frame(spark, [("k", step, "x"), ("j", 0, "x")]), START + timedelta(days=step))
+        opened = history.rows(OPENED).count()
+        assert opened <= 5
+    assert history.generation() >= 2 and history.rows(CLOSED).count() == 6
+
+
+def test_the_same_snapshot_again_adds_nothing_and_early_changes_raise(spark, database, rows):
+    history = StoredHistory(spark, f"{database}.h", "k", ["a"])
+    history.snapshot(frame(spark, [("k", 1, "x")]), START)
+    history.snapshot(frame(spark, [("k", 2, "x")]), START + timedelta(days=1))
+    before = rows(history.read())
+    history.snapshot(frame(spark, [("k", 2, "x")]), START + timedelta(days=1))
+    assert rows(history.read()) == before
+    with pytest.raises(Exception, match="later than the open version"):
+        history.snapshot(frame(spark, [("k", 3, "x")]), START + timedelta(days=1))
+    assert rows(history.read()) == before
+
+
+def test_columns_come_and_go(spark, database, rows):
+    history = StoredHistory(spark, f"{database}.h", "k", ["a"])
+    history.snapshot(frame(spark, [("k", 1, "x"), ("j", 1, "x")]), START)
+    wider = spark.createDataFrame([("k", 2, "y", 9), ("j", 1, "x", 8)], f"{ROW}, c int")
+    history.snapshot(wider, START + timedelta(days=1))
+    assert rows(history.read().select("k", "a", "c")) == [("j", 1, None), ("k", 1, None), ("k", 2, 9)]
+    history.snapshot(wider.drop("b"), START + timedelta(days=2))
+    assert "b" not in history.read().columns and history.read().count() == 3
+
+
+def test_a_history_in_one_table_is_taken_over(spark, database, rows):
+    name = f"{database}.h"
+    plain = first_versions(frame(spark, [("k", 1, "x"), ("j", 1, "x")]), "k", START)
+    later = scd2(plain, frame(spark, [("k", 2, "x")]), "k", ["a"], START + timedelta(days=1))
+    later.write.saveAsTable(name)
+    history = StoredHistory(spark, name, "k", ["a"])
+    current = frame(spark, [("k", 3, "x"), ("j", 1, "x")])
+    history.snapshot(current, START + timedelta(days=2))
+    assert rows(history.read()) == rows(scd2(later, current, "k", ["a"], START + timedelta(days=2)))

@@ -1,0 +1,193 @@
+"""Streams with event-time state: any order of files, restarts, bounded state, quarantine."""
+
+from __future__ import annotations
+
+import json
+import os
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators import contracts
+from tidemark.session import new_folder
+from tidemark.sources.landed import landed_stream
+from tidemark.streaming import stateful
+
+SCHEMA = "k string, ts timestamp, v long"
+START, DAY = datetime(2024, 1, 1), timedelta(days=1)
+
+
+class Feed:
+    """Files that land one after the other."""
+
+    def __init__(self, spark, tmp_path):
+        self.spark, self.folder, self.n = spark, tmp_path / "feed", 0
+        self.folder.mkdir()
+        self.schema = spark.createDataFrame([], SCHEMA).schema
+        self.rows, self.path, self.checks = [], new_folder(spark, "admitted"), new_folder(spark, "checks")
+
+    def land(self, rows):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        columns = list(zip(*rows, strict=True))
+        types = [pa.string(), pa.timestamp("us", "UTC"), pa.int64()]
+        arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+        name = f"{self.folder}/f{self.n:04d}.parquet"
+        pq.write_table(pa.table(arrays, names=["k", "ts", "v"]), name)
+        os.utime(name, (10**9 + self.n, 10**9 + self.n))
+        self.n += 1
+        self.rows += rows
+
+    def admit(self, delay):
+        stream = self.spark.readStream.schema(self.schema).option("maxFilesPerTrigger", 1).parquet(str(self.folder))
+        stateful.admit_stream(stream, self.path, f"{self.checks}/a", "ts", delay).awaitTermination()
+
+    def stream(self):
+        return stateful.on_time_stream(self.spark, self.path, self.schema)
+
+    def split(self):
+        spark, path = self.spark, self.path
+        return stateful.on_time_rows(spark, path, self.schema), stateful.late_rows(spark, path, self.schema)
+
+
+@pytest.fixture
+def feed(spark, tmp_path):
+    return Feed(spark, tmp_path)
+
+
+def states():
+    return [F.sum("v").alias("total"), F.count(F.lit(1)).alias("n")]
+
+
+def merged():
+    return [F.sum("total").alias("total"), F.sum("n").alias("n")]
+
+
+def windows_by_brute_force(rows):
+    out = {}
+    for k, ts, v in rows:
+        if ts is not None:
+            key = (ts.replace(hour=0, minute=0), k)
+            total, n = out.get(key, (0, 0))
+            out[key] = (total + v, n + 1)
+    return sorted((*key, *value) for key, value in out.items())
+
+
+@pytest.mark.parametrize("seed", [1])
+def test_windows_equal_a_batch_whatever_the_order_of_files(spark, feed, seed):
+    picks = random.Random(seed)
+    days = [d for d in range(10) for _ in (0, 1)]
+    picks.shuffle(days)
+    out = new_folder(spark, "out")
+    for part in (days[:11], days[11:]):
+        for d in part:
+            times = [START + d * DAY + timedelta(minutes=picks.randrange(1440)) for _ in range(12)]
+            feed.land([(picks.choice("ab"), t, picks.randrange(100)) for t in times])
+        feed.land([("a", None, 5)])
+        # Every part is a restart of both streams from their checkpoints.
+        feed.admit(timedelta(days=2))
+        stateful.closed_windows(
+            feed.stream(), out, f"{feed.checks}/w", "ts", timedelta(days=2), "1 day", ["k"], states()
+        ).awaitTermination()
+        on_time, late = feed.split()
+        assert on_time.count() + late.count() == len(feed.rows)
+        total = stateful.all_windows(spark.read.parquet(out), on_time, late, "ts", "1 day", ["k"], states(), merged())
+        found = sorted(tuple(r) for r in total.select("window_start", "k", "total", "n").collect())
+        assert found == windows_by_brute_force(feed.rows)
+    assert late.where("ts is null").count() == 2 and late.count() > 2
+
+
+def test_late_rows_are_those_at_or_below_the_watermark_of_their_batch(spark, feed):
+    hour = timedelta(hours=1)
+    feed.land([("a", START + 10 * hour, 1)])
+    feed.land([("b", START + 5 * hour, 1), ("c", START + 9 * hour, 1), ("d", START + 8 * hour, 1)])
+    feed.land([("e", START + 20 * hour, 1), ("f", START + 9 * hour, 1)])
+    feed.land([("g", START + 18 * hour, 1), ("h", START + 18 * hour + timedelta(microseconds=1), 1)])
+    feed.admit(2 * hour)
+    on_time, late = feed.split()
+    assert sorted(r["k"] for r in late.collect()) == ["b", "d", "g"]
+    assert sorted(r["k"] for r in on_time.collect()) == ["a", "c", "e", "f", "h"]
+
+
+def test_a_batch_that_runs_again_replaces_itself(spark, feed):
+    feed.land([("a", START, 1), ("b", START + DAY, 1)])
+    feed.land([("c", START - 9 * DAY, 1)])
+    feed.admit(DAY)
+    before = [sorted(map(tuple, x.collect())) for x in feed.split()]
+    # The last commit is lost, as when the driver dies between the writes and the commit.
+    folder = f"{feed.checks}/a/commits"
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    last = max(s.getPath().getName() for s in files.listStatus(root) if s.getPath().getName().isdigit())
+    files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{last}"), False)
+    feed.admit(DAY)
+    assert [sorted(map(tuple, x.collect())) for x in feed.split()] == before
+
+
+def test_state_is_bounded_and_keys_are_distinct_over_restarts(spark, feed):
+    out, progress = new_folder(spark, "out"), []
+    for d in range(16):
+        keys = [f"d{d}k{i}" for i in range(20)] + [f"d{d - 1}k{i}" for i in range(5)]
+        feed.land([(k, START + d * DAY + timedelta(minutes=i), 1) for i, k in enumerate(keys) if not k.startswith("d-")])
+        if d % 4 == 3:
+            feed.admit(2 * DAY)
+            run = stateful.distinct_within(feed.stream(), out, f"{feed.checks}/d", ["k"], "ts", 2 * DAY)
+            run.awaitTermination()
+            states_ = [op["numRowsTotal"] for p in run.recentProgress for op in p["stateOperators"]]
+            dropped = [op["numRowsDroppedByWatermark"] for p in run.recentProgress for op in p["stateOperators"]]
+            progress.append(states_[-1])
+            assert sum(dropped) == 0
+    found = [r["k"] for r in spark.read.parquet(out).collect()]
+    assert sorted(found) == sorted({k for k, _, _ in feed.rows})
+    # Sixteen days came, and the state never holds more than the days of one run and of the delay.
+    assert len(set(found)) == 320 and max(progress) <= 140
+    assert progress[-1] <= max(progress[:2])
+
+
+# --- ingest with quarantine ----------------------------------------------------------------
+
+
+def check(landed):
+    rows = landed.select("city", "ingested_at", F.col("payload.t").alias("t"), "payload_error")
+    return contracts.enforce(rows, "city string not null, ingested_at timestamp not null, t double", extra=F.col("payload_error"))
+
+
+def test_a_restarted_ingest_gives_the_same_two_tables(spark, tmp_path):
+    folder, lines = tmp_path / "landed", [
+        {"city": "Rome", "ingested_at": "2024-01-15T06:00:00Z", "payload": '{"t": 1.5}'},
+        {"city": None, "ingested_at": "2024-01-15T06:00:00Z", "payload": '{"t": 1.5}'},
+        {"city": "Oslo", "ingested_at": "2024-01-15T06:00:00Z", "payload": "{broken"},
+        {"city": "Oslo", "ingested_at": "2024-01-15T06:00:00Z", "payload": None},
+    ]
+    folder.mkdir()
+    for n in range(4):
+        (folder / f"f{n}.json").write_text("\n".join([*map(json.dumps, lines), "not json"]))
+    schema = check(landed_stream(spark, str(folder), "t double").limit(0)).schema
+
+    def tables(path):
+        return [sorted(map(repr, map(tuple, x.collect()))) for x in stateful.ingested(spark, path, schema)]
+
+    whole, cut = new_folder(spark, "whole"), new_folder(spark, "cut")
+    stream = landed_stream(spark, str(folder), "t double")
+    stateful.ingest_stream(stream, check, whole, new_folder(spark, "c")).awaitTermination()
+    checkpoint, calls = new_folder(spark, "c"), []
+
+    def failing(batch):
+        calls.append(1)
+        if len(calls) == 3:
+            raise RuntimeError("killed")
+        return check(batch)
+
+    one_by_one = landed_stream(spark, str(folder), "t double", files_per_batch=1)
+    with pytest.raises(Exception, match="killed"):
+        stateful.ingest_stream(one_by_one, failing, cut, checkpoint).awaitTermination()
+    assert len(tables(cut)[0]) == 2
+    stateful.ingest_stream(one_by_one, check, cut, checkpoint).awaitTermination()
+    assert tables(cut) == tables(whole)
+    good, rejected = tables(cut)
+    assert len(good) == 4 and len(rejected) == 16
+    stateful.ingest_stream(one_by_one, check, cut, checkpoint).awaitTermination()
+    assert tables(cut) == [good, rejected]

@@ -615,3 +615,19 @@ ORACLE = {
                max(value) as max_value from events
         group by 1, 2""",
 }
+
+# What is kept up to date load by load equals what is built at once.
+ORACLE["incremental_rollup"] = ORACLE["daily_rollup"]
+ORACLE["incremental_report"] = ORACLE["monthly_report"]
+ORACLE["stored_scd2"] = ORACLE["scd2"]
+ORACLE["stored_current_versions"] = ORACLE["current_versions"]
+ORACLE["stored_versions_at"] = ORACLE["versions_at"]
+ORACLE["unread_files"] = sql("""
+    select event_id, ts, value, cast(ts as date) as day, case when k < 80 then 1 else 2 end as load
+    from ev""", "ev")
+ORACLE["stream_dedup_within"] = ORACLE["stream_dedup"]
+ORACLE["stream_windows"] = ORACLE["stream_daily"]
+ORACLE["stream_ingest"] = sql("""
+    select cast(user_id as varchar) as city, case when k >= 9 then k end as k,
+           case when k < 5 then 'payload: malformed JSON' when k < 9 then 'payload: missing' else '' end as reason,
+           count(*) as n from ev group by all""", "ev")

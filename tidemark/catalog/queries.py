@@ -4,22 +4,25 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.catalog import bindings as b
 from tidemark.functions import clock, keys, nested, numbers
 from tidemark.operators import audit, contracts, rollup, scd, tables, upsert as up
 from tidemark.operators.dedup import dedup_latest, high_water_mark, since_last
 from tidemark.operators.export import export
-from tidemark.plans import bronze, checks, gold
+from tidemark.operators.history import StoredHistory
+from tidemark.operators.ledger import FileLedger
+from tidemark.plans import bronze, checks, gold, reports
 from tidemark.plans.medallion import SERVED
 from tidemark.session import configure, new_folder
 from tidemark.sources import files, fixed, spine
-from tidemark.sources.landed import read_landed, with_payload
-from tidemark.streaming import incremental
+from tidemark.sources.landed import landed_stream, read_landed, with_payload
+from tidemark.streaming import incremental, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -286,6 +289,24 @@ def incremental_filter(spark, folder):
     return since_last(events, "ts", high_water_mark(loaded, "ts"))
 
 
+@query
+def unread_files(spark, folder):
+    """What three loads read: the second finds late files with stamps that were loaded before,
+    the third finds nothing."""
+    table = new_table(spark)
+    ledger = FileLedger(spark, f"{table}_ledger")
+    events = b.events(spark, folder).select("event_id", "ts", "value", "k", clock.ingest_date("ts").alias("day"))
+    loads = []
+    for number, rows in enumerate([events.where("k < 80"), events.where("k >= 80"), None], 1):
+        if rows is not None:
+            rows.drop("k").hint("rebalance", "day").write.partitionBy("day").mode("append").saveAsTable(table)
+        with ledger.unread(spark.table(table), "copy") as unread:
+            path = new_folder(spark, "loaded")
+            unread.withColumn("load", F.lit(number)).write.parquet(path)
+            loads.append(spark.read.schema("event_id long, ts timestamp, value double, day date, load int").parquet(path))
+    return reduce(DataFrame.unionByName, loads)
+
+
 @query
 def evolve_schema(spark, folder):
     orders = b.table(spark, folder, "orders")
@@ -319,6 +340,34 @@ def versions_at(spark, folder):
     )
 
 
+def _stored_history(spark, folder) -> StoredHistory:
+    """Two snapshots into a table that they only add to."""
+    history = StoredHistory(spark, new_table(spark), "city", gold.LOCATION_CHECKS)
+    history.snapshot(b.regions_before(spark, folder), b.HISTORY_START)
+    history.snapshot(b.regions_after(spark, folder), b.HISTORY_CHANGE)
+    return history
+
+
+@query
+def stored_scd2(spark, folder):
+    return _stored_history(spark, folder).read()
+
+
+@query
+def stored_current_versions(spark, folder):
+    history = _stored_history(spark, folder)
+    history.compact()
+    return gold.dim_location(history.current())
+
+
+@query
+def stored_versions_at(spark, folder):
+    history = _stored_history(spark, folder).read()
+    return scd.versions_at(history, datetime(2024, 1, 10)).select(
+        "city", "timezone", "valid_from", "valid_to"
+    )
+
+
 @query
 def as_of_version(spark, folder):
     """Three versions per customer, whose length depends on the nation; the last stays open."""
@@ -723,6 +772,39 @@ def monthly_report(spark, folder):
     )
 
 
+def _reports(spark, folder) -> tuple[str, str]:
+    """Both reports of a fact that comes in two loads; the second brings late and changed hours."""
+    times, places = gold.dim_time(spark), b.locations(spark, folder)
+    rows = gold.fact_energy_readings(
+        b.silver_weather(spark, folder), b.silver_energy(spark, folder), places, times, b.LOADED_AT, reports.DATE
+    )
+    hour, later = F.substring("time_key", 9, 2), F.col(reports.DATE) >= F.lit(b.DAY)
+    late, changed = later & (hour == "07"), later & (hour == "03")
+    warmer = F.when(changed, F.col("temperature_2m") + 1).otherwise(F.col("temperature_2m"))
+    fact, daily, monthly = new_table(spark), new_table(spark), new_table(spark)
+    states = reports.states_of(spark, fact, f"{fact}_states", times, SCALE)
+    for load in (rows.where(~late).withColumn("temperature_2m", warmer), rows.where(late | changed)):
+        up.upsert_table(
+            spark, fact, load, ["fact_id"], [reports.DATE], keys_may_move=False, before=states.mark
+        )
+        reports.refresh_reports(
+            states, places, fixed.weather_conditions(spark), daily, monthly, SCALE
+        )
+    return daily, monthly
+
+
+@query
+def incremental_rollup(spark, folder):
+    """The daily roll-up of stored states, of which the second load regroups the touched days."""
+    return spark.table(_reports(spark, folder)[0])
+
+
+@query
+def incremental_report(spark, folder):
+    """The monthly report of the same states."""
+    return spark.table(_reports(spark, folder)[1])
+
+
 @query
 def category_count(spark, folder):
     star = _star_condition(spark, folder)
@@ -1080,3 +1162,87 @@ def stream_daily(spark, folder):
         rollup=_daily,
     ).awaitTermination()
     return spark.table(table)
+
+
+def _by_day(spark, folder) -> tuple[str, StructType]:
+    """Events in a file a day and half, which a stream reads one or two at a time."""
+    path = new_folder(spark, "days")
+    half = F.hour("ts") >= 12
+    events = b.events(spark, folder).select("event_id", "user_id", "event_type", "ts", "value")
+    events.repartition(8, F.to_date("ts"), half).write.option("maxRecordsPerFile", 20_000).parquet(path)
+    return path, events.schema
+
+
+def _admitted(spark, folder, delay: timedelta) -> tuple[str, StructType]:
+    days, schema = _by_day(spark, folder)
+    path = new_folder(spark, "admitted")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 3).parquet(days)
+    stateful.admit_stream(stream, path, new_folder(spark, "checkpoint"), "ts", delay).awaitTermination()
+    return path, schema
+
+
+@query
+def stream_dedup_within(spark, folder):
+    """Users by hour: those that the state store let through, and those that came too late for it."""
+    delay = timedelta(hours=30)
+    path, schema = _admitted(spark, folder, delay)
+    hours = lambda rows: rows.withColumn("hour", clock.trunc_hour("ts")).select("user_id", "hour", "ts")
+    keys, out = ["user_id", "hour"], new_folder(spark, "distinct")
+    stateful.distinct_within(
+        hours(stateful.on_time_stream(spark, path, schema)), out, new_folder(spark, "checkpoint"), keys, "ts", delay
+    ).awaitTermination()
+    late = hours(stateful.late_rows(spark, path, schema)).select(*keys)
+    found = spark.read.schema("user_id long, hour timestamp").parquet(out)
+    return found.unionByName(late).distinct()
+
+
+@query
+def stream_windows(spark, folder):
+    """Daily totals: closed windows of the stream, open ones, and late rows merged into them."""
+    delay = timedelta(hours=30)
+    path, schema = _admitted(spark, folder, delay)
+    out, keys = new_folder(spark, "windows"), ["event_type"]
+    states = [
+        F.sum(numbers.to_units("value", SCALE)).alias("units"),
+        F.count(F.lit(1)).alias("n"),
+        F.max("value").alias("max_value"),
+    ]
+    merged = [F.sum("units").alias("units"), F.sum("n").alias("n"), F.max("max_value").alias("max_value")]
+    stream = stateful.on_time_stream(spark, path, schema)
+    run = stateful.closed_windows(
+        stream, out, new_folder(spark, "checkpoint"), "ts", delay, "1 day", keys, states
+    )
+    run.awaitTermination()
+    on_time, late = stateful.on_time_rows(spark, path, schema), stateful.late_rows(spark, path, schema)
+    total = stateful.all_windows(spark.read.parquet(out), on_time, late, "ts", "1 day", keys, states, merged)
+    value = numbers.from_units(F.col("units"), SCALE).alias("total")
+    return total.select("event_type", value, "n", "max_value", F.to_date("window_start").alias("day"))
+
+
+@query
+def stream_ingest(spark, folder):
+    """Documents landed as files: readings that fit, and how many did not and why."""
+    path, out = new_folder(spark, "landed"), new_folder(spark, "ingested")
+    k, payload = F.col("k"), F.col("props")
+    b.events(spark, folder).select(
+        F.col("user_id").cast("string").alias("city"),
+        F.col("ts").alias("ingested_at"),
+        F.when(k < 5, F.lit("{broken")).when(k < 9, F.lit(None)).otherwise(payload).alias("payload"),
+    ).repartition(6).write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
+
+    def check(landed: DataFrame) -> DataFrame:
+        rows = landed.select("city", "ingested_at", F.col("payload.k").alias("k"), "payload_error")
+        return contracts.enforce(
+            rows, "city string not null, ingested_at timestamp not null, k int", extra=F.col("payload_error")
+        )
+
+    stream = landed_stream(spark, path, "k int", files_per_batch=2)
+    stateful.ingest_stream(stream, check, out, new_folder(spark, "checkpoint")).awaitTermination()
+    good, rejected = stateful.ingested(spark, out, check(read_landed(spark, path, "k int")).schema)
+    sound = good.select("city", "k", F.lit("").alias("reason"))
+    reason = F.array_join(contracts.REJECT, "; ").alias("reason")
+    return (
+        sound.unionByName(rejected.select("city", "k", reason))
+        .groupBy("city", "k", "reason")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )

@@ -75,6 +75,14 @@ class Partial:
         grouped = fact.groupBy(*keys).agg(*[first.alias(n) for n, (first, _) in states.items()])
         return cls(grouped, measures, exact_scale, {n: how for n, (_, how) in states.items()})
 
+    @classmethod
+    def stored(
+        cls, states: DataFrame, measures: list[Measure], exact_scale: int | None = None
+    ) -> Partial:
+        """States that were grouped before, for these and perhaps further measures."""
+        how = {n: how for n, (_, how) in _states(measures, exact_scale).items()}
+        return cls(states, measures, exact_scale, how)
+
     def _with(self, df: DataFrame) -> Partial:
         return Partial(df, self.measures, self.exact_scale, self.how)
 

@@ -39,14 +39,28 @@ def scd2(
     A changed check column (NULL-safe) closes the open version and opens a new one; a new key
     opens one; a key that is gone stays open. Other columns alone make no new version.
     """
+    columns = [*current.columns, *VERSION]
+    rows = _compared(history.where("is_current"), current, key, check_cols, as_of, "full")
+    return history.where(~F.col("is_current")).select(*columns).unionByName(rows)
+
+
+def changed_versions(
+    open_versions: DataFrame, current: DataFrame, key: str, check_cols: list[str], as_of
+) -> DataFrame:
+    """What ``scd2`` closes and opens, without the versions that stay as they are."""
+    return _compared(open_versions, current, key, check_cols, as_of, "right")
+
+
+def _compared(
+    open_versions: DataFrame, current: DataFrame, key: str, check_cols: list[str], as_of, how: str
+) -> DataFrame:
+    """Versions after a comparison; a right join leaves out those without a change."""
     start = _as_of(as_of)
     columns = [*current.columns, *VERSION]
-    before = history.where("is_current").select(
-        F.col(key).alias("_old_key"), F.struct(*columns).alias("_old")
-    )
+    before = open_versions.select(F.col(key).alias("_old_key"), F.struct(*columns).alias("_old"))
     after = current.select(F.col(key).alias("_new_key"), F.struct(*current.columns).alias("_new"))
     # Both sides have one row per key, so no key is hot here.
-    both = before.join(after, F.col("_old_key") == F.col("_new_key"), "full")
+    both = before.join(after, F.col("_old_key") == F.col("_new_key"), how)
 
     opened = F.struct(
         *[F.col(f"_new.{c}").alias(c) for c in current.columns],
@@ -62,20 +76,16 @@ def scd2(
         lambda a, b: a | b,
         [~F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}")) for c in check_cols],
     )
-    late = F.raise_error("scd2: a change must be later than the open version").cast(
-        both.select(F.array(old)).schema[0].dataType
-    )
+    kind = both.select(F.array(old)).schema[0].dataType
+    late = F.raise_error("scd2: a change must be later than the open version").cast(kind)
+    same = F.array(old) if how == "full" else F.array().cast(kind)
     rows = (
         F.when(F.isnull("_old_key"), F.array(opened))
-        .when(F.isnull("_new_key") | ~differs, F.array(old))
+        .when(F.isnull("_new_key") | ~differs, same)
         .when(F.col("_old.valid_from") < start, F.array(closed, opened))
         .otherwise(late)
     )
-    return (
-        history.where(~F.col("is_current"))
-        .select(*columns)
-        .unionByName(both.select(F.inline(rows)).toDF(*columns))
-    )
+    return both.select(F.inline(rows)).toDF(*columns)
 
 
 def current_versions(history: DataFrame, key: str, key_name: str) -> DataFrame:

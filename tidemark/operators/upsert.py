@@ -237,6 +237,7 @@ def upsert_table(
     tie_break: list[str] | None = None,
     after: Callable[[DataFrame], None] | None = None,
     keys_may_move: bool = True,
+    before: Callable[[DataFrame], None] | None = None,
 ):
     """Upsert into a partitioned Parquet table, rewriting only the touched partitions.
 
@@ -244,7 +245,8 @@ def upsert_table(
     Finding such rows reads the table's key columns; where the key determines the partition,
     ``keys_may_move=False`` saves it. Parquet tables have no transactions: two writers of one
     table must not run at once (see ``audit.active_runs``). ``after`` is called with the staged
-    batch once it is stored.
+    batch once it is stored, ``before`` with the values of the partitions that will change, before
+    anything does.
     """
     if latest is not None:
         source = dedup_latest(source, keys, latest, tie_break or [])
@@ -253,16 +255,20 @@ def upsert_table(
         if worst_repeat(batch, keys).first()["_n"] > 1:
             raise ValueError(f"upsert source: duplicate key ({', '.join(keys)})")
         finish_swap(spark, table)
+        changing = before or (lambda touched: None)
         if not spark.catalog.tableExists(table):
+            changing(batch.select(*partition_cols).distinct())
             write_new(batch, table, partition_cols)
         elif keys_may_move and not set(partition_cols) <= set(keys):
             sync_columns(spark, table, batch, partition_cols)
             new = batch.select(*partition_cols)
             old = spark.table(table).join(batch.select(*keys), keys, "left_semi")
             with staged(new.union(old.select(*partition_cols)).distinct()) as touched:
+                changing(touched)
                 _rewrite(spark, table, batch, keys, partition_cols, touched)
         else:
             sync_columns(spark, table, batch, partition_cols)
+            changing(batch.select(*partition_cols).distinct())
             _rewrite(spark, table, batch, keys, partition_cols, batch)
         if after is not None:
             after(batch)
@@ -283,6 +289,13 @@ def _rewrite(
     if touched is batch:
         overwrite_touched(spark, rows, table, partition_cols)
         return
+    replace_touched(spark, rows, table, partition_cols, touched)
+
+
+def replace_touched(
+    spark: SparkSession, rows: DataFrame, table: str, partition_cols: list[str], touched: DataFrame
+):
+    """Put ``rows`` in place of the touched partitions; those that have no rows any more go."""
     left, right = touched.alias("_touched"), rows.select(*partition_cols).distinct().alias("_new")
     same = [F.col(f"_touched.{c}").eqNullSafe(F.col(f"_new.{c}")) for c in partition_cols]
     # Names of partitions to drop, which the catalog holds on the driver as well.
@@ -292,3 +305,35 @@ def _rewrite(
     if gone:
         specs = ", ".join(partition_spec(row.asDict()) for row in gone)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+
+
+def upsert_newest(
+    batch: DataFrame,
+    table: str,
+    keys: list[str],
+    latest: str,
+    tie_break: list[str],
+    partition_cols: list[str],
+    after: Callable[[DataFrame], None] | None = None,
+):
+    """Store the batch's latest row per key where it is not older than the stored one. The key must
+    determine the partition."""
+    spark = batch.sparkSession
+    with staged(dedup_latest(batch, keys, latest, tie_break)) as newest:
+        rows = newest
+        if spark.catalog.tableExists(table):
+            stored = touched_rows(spark.table(table), newest, partition_cols)
+            rows = newer_than_stored(newest, stored, keys, [latest, *tie_break])
+        upsert_table(spark, table, rows, keys, partition_cols, keys_may_move=False, after=after)
+
+
+def newer_than_stored(
+    batch: DataFrame, stored: DataFrame, keys: list[str], order: list[str]
+) -> DataFrame:
+    """Rows that come after, or are, the stored ones in the order of ``dedup_latest``.
+
+    NULL comes before every value, in the structs compared here as in the ranks.
+    """
+    held = stored.select(*keys, F.struct(*order).alias("_held"))
+    joined = batch.join(held, keys, "left")
+    return joined.where(F.isnull("_held") | (F.struct(*order) >= F.col("_held"))).drop("_held")

@@ -23,6 +23,7 @@ SPINE_END = datetime(2025, 12, 31, 23)
 WARM_FROM = 15
 CLEAN_UP_TO = 200
 
+MONTHS = ["year", "month", "month_name"]
 DAILY = [
     Measure("avg_temperature", "avg", "temperature_2m"),
     Measure("max_temperature", "max", "temperature_2m"),
@@ -174,15 +175,54 @@ def rpt_weather_energy_correlation(
     One pass over the fact: it is grouped by month and weather code first; measures and
     category counts are then both merged from those groups.
     """
-    calendar = times.select("time_key", "year", "month", "month_name")
-    months = ["year", "month", "month_name"]
-    keys = ["city", "country", *months]
+    calendar = times.select("time_key", *MONTHS)
     by_code = Partial.of(
         fact.join(calendar, "time_key", "left"),
-        ["location_key", *months, F.col("weathercode_key").alias("weathercode")],
+        ["location_key", *MONTHS, F.col("weathercode_key").alias("weathercode")],
         MONTHLY,
         exact_scale,
     )
+    return _monthly(by_code, locations, conditions)
+
+
+def reading_states(
+    fact: DataFrame, times: DataFrame, partition_col: str, exact_scale: int | None = None
+) -> DataFrame:
+    """Sums, counts and extremes of both reports per partition, location, day, month and weather
+    code. A day's states depend on that day's readings only."""
+    calendar = times.select("time_key", *MONTHS)
+    keys = [
+        "location_key",
+        key_to_date("time_key").alias("agg_date"),
+        *MONTHS,
+        F.col("weathercode_key").alias("weathercode"),
+        partition_col,
+    ]
+    states = Partial.of(fact.join(calendar, "time_key", "left"), keys, [*DAILY, *MONTHLY], exact_scale).df
+    return states.select(*[c for c in states.columns if c != partition_col], partition_col)
+
+
+def daily_of_states(
+    states: DataFrame, locations: DataFrame, exact_scale: int | None = None
+) -> DataFrame:
+    """``agg_daily_energy`` from stored states."""
+    keys = ["agg_date", "city", "country"]
+    by_day = Partial.stored(states, DAILY, exact_scale).merge(["location_key", "agg_date"])
+    places = locations.select("location_key", "city", "country")
+    return by_day.lookup(places, ["location_key"]).merge(keys).result(*keys)
+
+
+def monthly_of_states(
+    states: DataFrame, locations: DataFrame, conditions: DataFrame, exact_scale: int | None = None
+) -> DataFrame:
+    """``rpt_weather_energy_correlation`` from stored states."""
+    by_code = Partial.stored(states, MONTHLY, exact_scale)
+    return _monthly(by_code.merge(["location_key", *MONTHS, "weathercode"]), locations, conditions)
+
+
+def _monthly(by_code: Partial, locations: DataFrame, conditions: DataFrame) -> DataFrame:
+    """The monthly report from states per location, month and weather code."""
+    keys = ["city", "country", *MONTHS]
     by_category = (
         by_code.lookup(conditions.select("weathercode", "condition_category"), ["weathercode"])
         .lookup(locations.select("location_key", "city", "country"), ["location_key"])

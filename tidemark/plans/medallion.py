@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -19,10 +21,13 @@ from tidemark.operators.contracts import (
 )
 from tidemark.operators.dedup import high_water_mark, since_last
 from tidemark.operators.export import Sink, export
-from tidemark.operators.scd import first_versions, scd2
+from tidemark.operators.history import StoredHistory
+from tidemark.operators.lease import Lease
+from tidemark.operators.ledger import FileLedger
+from tidemark.operators.states import StoredStates
 from tidemark.operators.tables import ensure_schema, full_refresh, replace_partitions
-from tidemark.operators.upsert import touched_rows, upsert_table
-from tidemark.plans import bronze, gold, silver
+from tidemark.operators.upsert import touched_rows, upsert_newest, upsert_table
+from tidemark.plans import bronze, gold, reports, silver
 from tidemark.plans.checks import CONTRACTS, check_tables
 from tidemark.session import staged
 from tidemark.sources import fixed
@@ -163,10 +168,27 @@ class Store:
             scope=scope,
         )
 
+    @contextmanager
+    def writing(self, owner: str | None = None):
+        """Hold the database's lease: one writer at a time, in this session or any other.
+
+        A writer that is lost keeps others out until its lease has run out.
+        """
+        ensure_schema(self.spark, self.database)
+        root = self.spark.catalog.getDatabase(self.database).locationUri
+        lease = Lease(self.spark, f"{root}/_lease", owner or uuid.uuid4().hex)
+        if not lease.acquire():
+            raise AlreadyRunning(f"{lease.holder()} is writing to {self.database}")
+        with lease.kept():
+            yield
+
     def guarded_run(self, started_at: datetime, ingest: Callable[[], None], hours: int = 2):
         """Run an ingest unless one is active, and log how it ended."""
+        with self.writing():
+            return self._logged_run(started_at, ingest, hours)
+
+    def _logged_run(self, started_at: datetime, ingest: Callable[[], None], hours: int):
         log = self.name("pipeline_run_log")
-        ensure_schema(self.spark, self.database)
         if audit.is_running(self.spark, log, F.lit(started_at).cast("timestamp"), hours):
             raise AlreadyRunning(f"a run is active within the last {hours} hours")
         run = _run_id(self.spark, started_at)
@@ -225,49 +247,59 @@ class Store:
 
     # --- cleaned layer ---------------------------------------------------------------
 
-    def _new_rows(self, source: str, target: str) -> DataFrame:
-        rows = self.table(source)
+    @property
+    def ledger(self) -> FileLedger:
+        """Which raw files the cleaned tables have been loaded from."""
+        return FileLedger(self.spark, self.name("file_ledger"))
+
+    def _unread(self, source: str, target: str):
+        """Raw rows of files that a cleaned table was not loaded from."""
         if not self.has(target):
-            return rows
-        mark = self._mark(target, "ingested_mark", "_ingested_at")
-        return since_last(rows, "ingested_at", mark, "ingested_date")
+            self.ledger.forget(target)
+        return self.ledger.unread(self.table(source), target)
 
     def forget(self, *tables: str):
         """Drop built tables and what the load log says of them, so that the next build starts
         from the layer below. Without names: the cleaned tables and the fact."""
         names = tables or ("stg_weather_hourly", "stg_energy_intensity", "fact_energy_readings")
+        if "fact_energy_readings" in names:
+            self.states.forget()
         for name in names:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name(name)}")
+        self.ledger.forget(*names)
         if self.has("load_log"):
             kept = self.table("load_log").where(~F.col("table_name").isin(*names))
             full_refresh(kept, self.name("load_log"))
 
     def build_silver(self, loaded_at=None):
-        """Load the raw rows that came since the last load."""
-        weather = silver.stg_weather_hourly(
-            self._new_rows("bronze_weather", "stg_weather_hourly"), loaded_at
-        ).withColumn("observation_date", F.to_date("observation_hour"))
-        upsert_table(
-            self.spark,
-            self.name("stg_weather_hourly"),
-            weather,
-            ["weather_id"],
-            ["observation_date"],
-            keys_may_move=False,  # the id holds the hour
-            after=self._record_load("stg_weather_hourly", "observation_hour", "_ingested_at"),
-        )
-        energy = silver.stg_energy_intensity(
-            self._new_rows("bronze_energy", "stg_energy_intensity"), loaded_at
-        ).withColumn("ingested_date", F.to_date("_ingested_at"))
-        upsert_table(
-            self.spark,
-            self.name("stg_energy_intensity"),
-            energy,
-            ["energy_id"],
-            ["ingested_date"],
-            keys_may_move=False,  # the id holds the time of ingest
-            after=self._record_load("stg_energy_intensity", "measurement_hour", "_ingested_at"),
-        )
+        """Load the raw files that came since the last load.
+
+        Rows may come late, with stamps that were loaded before or lower ones: the reading that
+        was ingested last stays, whatever the order of loads.
+        """
+        with self._unread("bronze_weather", "stg_weather_hourly") as raw:
+            weather = silver.stg_weather_hourly(raw, loaded_at)
+            measured = [c for c in weather.columns if c not in ("weather_id", "_ingested_at", "_loaded_at")]
+            upsert_newest(
+                weather.withColumn("observation_date", F.to_date("observation_hour")),
+                self.name("stg_weather_hourly"),
+                ["weather_id"],
+                "_ingested_at",
+                measured,
+                ["observation_date"],  # the id holds the hour
+                after=self._record_load("stg_weather_hourly", "observation_hour", "_ingested_at"),
+            )
+        with self._unread("bronze_energy", "stg_energy_intensity") as raw:
+            energy = silver.stg_energy_intensity(raw, loaded_at)
+            upsert_table(
+                self.spark,
+                self.name("stg_energy_intensity"),
+                energy.withColumn("ingested_date", F.to_date("_ingested_at")),
+                ["energy_id"],
+                ["ingested_date"],
+                keys_may_move=False,  # the id holds the time of ingest
+                after=self._record_load("stg_energy_intensity", "measurement_hour", "_ingested_at"),
+            )
 
     # --- history and star ------------------------------------------------------------
 
@@ -278,12 +310,10 @@ class Store:
         check_cols: list[str] = gold.LOCATION_CHECKS,
     ):
         """Bring the location history up to date."""
-        if self.has("snap_dim_location"):
-            history = self.table("snap_dim_location")
-            updated = scd2(history, regions, "city", check_cols, as_of)
-        else:
-            updated = first_versions(regions, "city", as_of)
-        full_refresh(updated, self.name("snap_dim_location"))
+        self.location_history(check_cols).snapshot(regions, as_of)
+
+    def location_history(self, check_cols: list[str] = gold.LOCATION_CHECKS) -> StoredHistory:
+        return StoredHistory(self.spark, self.name("snap_dim_location"), "city", check_cols)
 
     def build_gold(
         self,
@@ -291,11 +321,17 @@ class Store:
         start: datetime = gold.SPINE_START,
         end: datetime = gold.SPINE_END,
     ):
-        """Rebuild dimensions and reports; bring the fact up to date."""
-        full_refresh(
-            gold.dim_location(self.table("snap_dim_location")), self.name("dim_location")
-        )
-        full_refresh(gold.dim_time(self.spark, start, end), self.name("dim_time"))
+        """Rebuild dimensions; bring the fact and the reports up to date."""
+        places = gold.dim_location(self.location_history().current())
+        times = gold.dim_time(self.spark, start, end)
+        if self.has("fact_energy_readings"):
+            named = ["location_key", "city", "country"]
+            if self._differs("dim_time", times, times.columns):
+                self.states.mark_states()
+            elif self._differs("dim_location", places, named):
+                self.states.mark_reports()
+        full_refresh(places, self.name("dim_location"))
+        full_refresh(times, self.name("dim_time"))
         full_refresh(
             gold.dim_weather_condition(self.spark), self.name("dim_weather_condition")
         )
@@ -322,18 +358,33 @@ class Store:
             after=self._record_load(
                 "fact_energy_readings", "observation_date", "weather_ingested_at"
             ),
+            before=self.states.mark,
         )
         self.build_reports()
 
+    @property
+    def states(self) -> StoredStates:
+        """Partial states of the fact, from which the reports are merged."""
+        fact, table = self.name("fact_energy_readings"), self.name("reading_states")
+        times = self.table("dim_time") if self.has("dim_time") else gold.dim_time(self.spark)
+        return reports.states_of(self.spark, fact, table, times)
+
+    def _differs(self, table: str, rows: DataFrame, columns: list[str]) -> bool:
+        """Whether a stored dimension has rows that are not among the new ones, or is not stored.
+        New rows alone change no report: no reading has their keys yet."""
+        if not self.has(table):
+            return True
+        return not self.table(table).select(columns).exceptAll(rows.select(columns)).isEmpty()
+
     def build_reports(self):
-        fact, locations = self.table("fact_energy_readings"), self.table("dim_location")
-        full_refresh(
-            gold.agg_daily_energy(fact, locations), self.name("agg_daily_energy")
-        )
-        report = gold.rpt_weather_energy_correlation(
-            fact, locations, self.table("dim_time"), self.table("dim_weather_condition")
+        """Bring both reports up to date with the days that the fact's loads have touched."""
+        reports.refresh_reports(
+            self.states,
+            self.table("dim_location"),
+            self.table("dim_weather_condition"),
+            self.name("agg_daily_energy"),
+            self.name("rpt_weather_energy_correlation"),
         )
-        full_refresh(report, self.name("rpt_weather_energy_correlation"))
 
     # --- tests and export ------------------------------------------------------------
 

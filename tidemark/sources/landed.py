@@ -35,8 +35,24 @@ def read_landed(
     spark: SparkSession, path: str, schema: str, keys: str = "city string, ingested_at timestamp"
 ) -> DataFrame:
     """Documents landed as JSON lines of ``keys`` plus ``payload`` text."""
+    return _documents(spark.read, path, schema, keys)
+
+
+def landed_stream(
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    keys: str = "city string, ingested_at timestamp",
+    files_per_batch: int = 1000,
+) -> DataFrame:
+    """The same documents as a stream of the files that land in a folder."""
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+    return _documents(reader, path, schema, keys)
+
+
+def _documents(reader, path: str, schema: str, keys: str) -> DataFrame:
     lines = (
-        spark.read.schema(f"{keys}, payload string, {CORRUPT} string")
+        reader.schema(f"{keys}, payload string, {CORRUPT} string")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)
     )

@@ -7,8 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.dedup import dedup_latest
-from tidemark.operators.upsert import overwrite_touched, touched_rows, upsert_table, write_new
+from tidemark.operators.upsert import overwrite_touched, touched_rows, upsert_newest, write_new
 from tidemark.session import staged
 
 
@@ -60,36 +59,6 @@ def started(
     )
 
 
-def upsert_newest(
-    batch: DataFrame,
-    table: str,
-    keys: list[str],
-    latest: str,
-    tie_break: list[str],
-    partition_cols: list[str],
-):
-    """Store the batch's latest row per key where it is not older than the stored one."""
-    spark = batch.sparkSession
-    with staged(dedup_latest(batch, keys, latest, tie_break)) as newest:
-        rows = newest
-        if spark.catalog.tableExists(table):
-            stored = touched_rows(spark.table(table), newest, partition_cols)
-            rows = newer_than_stored(newest, stored, keys, [latest, *tie_break])
-        upsert_table(spark, table, rows, keys, partition_cols, keys_may_move=False)
-
-
-def newer_than_stored(
-    batch: DataFrame, stored: DataFrame, keys: list[str], order: list[str]
-) -> DataFrame:
-    """Rows that come after, or are, the stored ones in the order of ``dedup_latest``.
-
-    NULL comes before every value, in the structs compared here as in the ranks.
-    """
-    held = stored.select(*keys, F.struct(*order).alias("_held"))
-    joined = batch.join(held, keys, "left")
-    return joined.where(F.isnull("_held") | (F.struct(*order) >= F.col("_held"))).drop("_held")
-
-
 def distinct_stream(
     stream: DataFrame, table: str, checkpoint: str, keys: list[str], partition_cols: list[str]
 ) -> StreamingQuery:
