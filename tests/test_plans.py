@@ -20,7 +20,7 @@ WRITING = {
     "scan_landed_json", "seed_csv", "partition_by", "full_refresh", "export_tables",
     "stream_upsert", "stream_dedup", "stream_daily", "incremental_rollup", "incremental_report",
     "stored_scd2", "stored_current_versions", "stored_versions_at", "unread_files",
-    "stream_dedup_within", "stream_windows", "stream_ingest",
+    "stream_dedup_within", "stream_windows", "stream_ingest", "observed_contracts",
 }
 FORBIDDEN = [
     "CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython",

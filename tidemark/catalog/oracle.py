@@ -631,3 +631,5 @@ ORACLE["stream_ingest"] = sql("""
     select cast(user_id as varchar) as city, case when k >= 9 then k end as k,
            case when k < 5 then 'payload: malformed JSON' when k < 9 then 'payload: missing' else '' end as reason,
            count(*) as n from ev group by all""", "ev")
+ORACLE["observed_contracts"] = ORACLE["contract_results"]
+ORACLE["salted_join"] = ORACLE["join_zone_hour"]

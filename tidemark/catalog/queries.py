@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from tidemark.catalog import bindings as b
 from tidemark.functions import clock, keys, nested, numbers
-from tidemark.operators import audit, contracts, rollup, scd, tables, upsert as up
+from tidemark.operators import audit, contracts, rollup, scd, skew, tables, upsert as up
 from tidemark.operators.dedup import dedup_latest, high_water_mark, since_last
 from tidemark.operators.export import export
 from tidemark.operators.history import StoredHistory
@@ -509,6 +509,17 @@ def contract_results(spark, folder):
     return checks.check_tables(_stored(spark, folder))
 
 
+@query
+def observed_contracts(spark, folder):
+    """The same results, counted while the tables are written; uniqueness from the stored keys."""
+    found = []
+    for name, df in _stored(spark, folder).items():
+        watch, path = contracts.Watch(name, checks.CONTRACTS[name]), new_folder(spark, name)
+        watch.over(df).write.parquet(path)
+        found.append(watch.results(spark.read.schema(df.schema).parquet(path)))
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def run_guard(spark, folder):
     return audit.active_runs(b.run_log(spark, folder), F.lit(NOW).cast("timestamp"), 12)
@@ -651,6 +662,20 @@ def join_zone_hour(spark, folder):
     )
 
 
+@query
+def salted_join(spark, folder):
+    """Readings with the energy of their zone's hour, hot zones and hours salted."""
+    weather = gold.locate(b.silver_weather(spark, folder), b.locations(spark, folder)).select(
+        "weather_id", "electricity_zone", "observation_hour"
+    )
+    energy = gold.latest_energy(b.silver_energy(spark, folder)).select(
+        F.col("zone").alias("electricity_zone"),
+        F.col("measurement_hour").alias("observation_hour"),
+        "carbon_intensity_gco2eq",
+    )
+    return skew.salted_join(weather, energy, ["electricity_zone", "observation_hour"], share=1 / 2000)
+
+
 @query
 def join_condition_unused(spark, folder):
     weather = b.silver_weather(spark, folder).select("weather_id", CODE)

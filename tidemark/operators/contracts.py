@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.types import DataType, StructType
 
 REJECT = "reject_reason"
@@ -119,16 +119,51 @@ class Contract:
     accepted: dict[str, list] = field(default_factory=dict)
 
 
-def run_contract(name: str, df: DataFrame, contract: Contract) -> DataFrame:
-    """One row per declared test: table, test, column and number of failures.
-
-    NOT NULL and accepted values share one scan; each unique test counts its keys.
-    """
+def _row_checks(contract: Contract) -> dict[tuple[str, str], Column]:
+    """Counts of rows that fail a test which looks at one row at a time."""
     checks: dict[tuple[str, str], Column] = {}
     for column in contract.not_null:
         checks["not_null", column] = F.count_if(F.isnull(column))
     for column, values in contract.accepted.items():
         checks["accepted_values", column] = F.count_if(~F.col(column).isin(values))
+    return checks
+
+
+class Watch:
+    """Counts the failures of a contract while a table is written, instead of reading it again.
+
+    ``over`` wraps the rows that are written, once; ``results`` has what ``run_contract`` would find, and ``rows``
+    their number, after the write. Only keys that must be unique are read from what was stored.
+    """
+
+    def __init__(self, name: str, contract: Contract):
+        self.name, self.contract, self.seen = name, contract, Observation()
+
+    def over(self, df: DataFrame) -> DataFrame:
+        counts = [c.alias(":".join(check)) for check, c in _row_checks(self.contract).items()]
+        return df.observe(self.seen, F.count(F.lit(1)).alias("rows"), *counts)
+
+    @property
+    def rows(self) -> int:
+        return self.seen.get["rows"]
+
+    def results(self, stored: DataFrame) -> DataFrame:
+        counts = self.seen.get
+        found = [(self.name, *check, counts[":".join(check)]) for check in _row_checks(self.contract)]
+        schema = "table_name string not null, test string, column_name string, failures bigint"
+        result = stored.sparkSession.createDataFrame(found, schema)
+        if self.contract.unique:
+            keys = run_contract(self.name, stored, Contract(unique=self.contract.unique))
+            result = result.unionByName(keys)
+        return result
+
+
+def run_contract(name: str, df: DataFrame, contract: Contract) -> DataFrame:
+    """One row per declared test: table, test, column and number of failures.
+
+    NOT NULL and accepted values share one scan; each unique test counts its keys.
+    """
+    checks = _row_checks(contract)
     frames = []
     if checks:
         names = [f"{test}:{column}" for test, column in checks]
