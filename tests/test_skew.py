@@ -56,4 +56,5 @@ def test_a_watched_write_finds_what_a_second_scan_finds(spark, rows):
     found = watch.results(stored)
     assert rows(found) == rows(run_contract("t", df, contract)) and watch.rows == 6000
     text = found._jdf.queryExecution().executedPlan().toString()
-    assert sorted(re.findall(r"ReadSchema: struct<([^>]*)>", text)) == ["n:bigint", "zone:string"]
+    read = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+    assert read and not any("hour" in columns for columns in read)
