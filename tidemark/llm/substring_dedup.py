@@ -16,7 +16,7 @@ written out with their source coordinates and verified by a 128-bit hash of thei
 Edges and windows are combined by Spark joins and aggregates, partial before each shuffle; a passage in a
 third of all documents is one row a task in the aggregates, and the joins can be split. Text is
 shuffled twice, to meet its edges and to lose its words; no group of rows is gathered but those of one
-document.
+document. A row is known by its id and a hash of its text's sha256, so that no text can be made to pass for another.
 
 Null texts have no words and keep no text. A null id counts as the least. Rows of equal id are one
 document to each other: they never remove each other's words; rows of equal id and text have equal results.
@@ -147,17 +147,21 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in c], names=names)
 
 
-def _key() -> Column:
-    return F.xxhash64("doc_id", "text")
+#: What stands for a row: its id, and a hash of its text's sha256, which tells rows of one id apart.
+ROW = ["id", "key"]
 
 
-def _based(docs: DataFrame) -> DataFrame:
+def _row() -> list[Column]:
     id_ = F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST))
-    return docs.select(id_.alias("id"), _key().alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    return [id_.alias("id"), F.xxhash64(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("key")]
+
+
+def _based(docs: DataFrame) -> DataFrame:
+    return docs.select(*_row(), F.coalesce("text", F.lit("")).alias("text"))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """key (of the row's id and text) and spans (start, length): words to remove; a row for each key."""
+    """id, key and spans (start, length): words to remove; a row for each id and text."""
     base = _based(docs)
     edges = base.mapInArrow(_edges, EDGES)
     graph = (
@@ -172,22 +176,22 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     )
     graph = written(graph, "graph")
     told = (
-        edges.select("edge", "key", "at")
+        edges.select("edge", *ROW, "at")
         .join(graph, "edge")
-        .groupBy("key")
+        .groupBy(*ROW)
         .agg(F.collect_set(F.struct("at", "follows", "precedes", "least")).alias("edges"))
-        .select("key", F.array_sort("edges").alias("edges"))
+        .select(*ROW, F.array_sort("edges").alias("edges"))
     )
-    parts = written(base.join(told, "key").select("id", "key", "text", "edges").mapInArrow(_windows, PARTS), "parts")
+    parts = written(base.join(told, ROW).select("id", "key", "text", "edges").mapInArrow(_windows, PARTS), "parts")
     dropped(graph)
     open_ = parts.where(F.col("code").isNotNull())
     sources = (
         open_.groupBy("code", "check").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
     )
     sources = written(sources.select("code", "check", "least"), "sources")
-    verified = open_.join(sources, ["code", "check"]).where("id > least").select("key", "start", "length")
-    settled = parts.where(F.col("code").isNull()).select("key", "start", "length")
-    return settled.union(verified).groupBy("key").agg(F.collect_set(F.struct("start", "length")).alias("spans"))
+    verified = open_.join(sources, ["code", "check"]).where("id > least").select(*ROW, "start", "length")
+    settled = parts.where(F.col("code").isNull()).select(*ROW, "start", "length")
+    return settled.union(verified).groupBy(*ROW).agg(F.collect_set(F.struct("start", "length")).alias("spans"))
 
 
 def _kept(text: str, spans: list[dict]) -> tuple[int, int, bytes]:
@@ -222,8 +226,8 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 of every row."""
     spans = repeated_spans(docs)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), _key().alias("key"))
-    rows = rows.join(spans, "key", "left").select("doc_id", "text", "spans")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *_row())
+    rows = rows.join(spans, ROW, "left").select("doc_id", "text", "spans")
     return rows.mapInArrow(_digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
@@ -237,8 +241,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
             pa.string(),
         )
 
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _key().alias("key"))
-    joined = rows.join(repeated_spans(docs), "key", "left")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *_row())
+    joined = rows.join(repeated_spans(docs), ROW, "left")
     own = F.col("row.text")
     text = F.when(F.col("spans").isNotNull(), kept(own, F.col("spans"))).otherwise(own)
     return joined.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
