@@ -21,8 +21,9 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder. It lives as long as results that read it."""
-    return f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, with its file system. It lives as long as results that read it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -37,13 +38,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def dropped(df: DataFrame) -> None:
-    """Remove the files of a ``written`` table that no later result reads."""
-    spark = df.sparkSession
-    jvm = spark._jvm
-    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def dropped(*tables: DataFrame) -> None:
+    """Remove the files of ``written`` tables that no later result reads."""
+    for df in tables:
+        spark = df.sparkSession
+        jvm = spark._jvm
+        for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ship(spark: SparkSession) -> None:
@@ -65,6 +67,19 @@ def ship(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(path.toString())
 
 
+def chosen(rows: DataFrame, most: int) -> DataFrame:
+    """``doc_id`` of about ``most`` rows, those of the least hashes; all rows if there are no more.
+
+    The bound on the hash follows from the number of rows, so that no task hands on more than its share.
+    """
+    known = rows.where("doc_id is not null").select("doc_id")
+    n = known.count()
+    if n <= most:
+        return known.distinct()
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 1)
+    return known.where(place <= int(most / n * (1 << 63))).distinct()
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -6,10 +6,13 @@ it has. A small network on text statistics minimises the non-negative unbiased r
     prior * R+(positives) + max(0, R-(unlabelled) - prior * R-(positives))
 
 with the logistic loss; where the second part falls below zero, its gradient is reversed, which keeps
-the network from memorising the positives. The class prior is the share of good ones among the marked
-rows that may be learned from. Training takes bounded samples (``most_positive``, ``most_unlabelled``),
-chosen by the hash of the ids; scoring is one pass over whole texts without a shuffle, and ids, sources,
-languages and marks are no features.
+the network from memorising the positives. The class prior is estimated from positives and unlabelled texts
+alone: whatever set of texts one takes, its share of the unlabelled ones is at least the prior times its share of the
+positives, and equal where no bad text lies in it. The sets are the upper tails of the scores that a network gives,
+trained on one half of the sample to tell positives from unlabelled and applied to the other, and the prior is the
+least of these ratios. Training takes bounded samples (about ``most_positive`` and ``most_unlabelled`` texts), chosen by the hash of
+the ids; of several texts of one id, the one of the least hash counts. Scoring is one pass over whole texts without a
+shuffle, and ids, sources, languages and marks are no features.
 
 Null and empty texts score 0. If there is no positive to learn from, all scores are 0. Repeated rows get
 the same score; empty tables give no rows. Other columns are not read.
@@ -17,6 +20,7 @@ the same score; empty tables give no rows. Other columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import blocks, grams, owners, words
+from tidemark.llm.common import blocks, chosen, grams, owners, words
 
 #: Classes of bytes: 0 white space, 1 line feed, 2 upper case, 3 lower case, 4 digit, 5 stop or comma,
 #: 6 other ASCII, 7 beyond ASCII.
@@ -32,7 +36,7 @@ CLASSES = np.full(256, 6, np.int64)
 CLASSES[[0x20, 0x09, 0x0B, 0x0C, 0x0D]] = 0
 CLASSES[0x0A] = 1
 CLASSES[65:91], CLASSES[97:123], CLASSES[48:58], CLASSES[[44, 46]], CLASSES[128:] = 2, 3, 4, 5, 7
-WIDTH = 14
+WIDTH, FEW = 14, 20
 
 
 def _repeated(code: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
@@ -89,6 +93,24 @@ class Model:
         return np.where(empty | (length == 0), 0.0, p)
 
 
+def slopes(layers: list[np.ndarray], positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> list[np.ndarray]:
+    """Gradient of the risk on a minibatch; where the unlabelled part is negative, its own gradient, reversed."""
+    x, n = np.concatenate([positive, unlabelled]), len(positive)
+    h = np.tanh(x @ layers[0] + layers[1])
+    z = np.clip(h @ layers[2] + layers[3], -30, 30)
+    good = 1 / (1 + np.exp(-z))
+    rest = np.logaddexp(0, z[n:]).mean() - prior * np.logaddexp(0, z[:n]).mean()
+    back = np.zeros(len(x))
+    as_bad = np.concatenate([-prior * good[:n] / n, good[n:] / len(unlabelled)])
+    if rest < 0:
+        back = -as_bad
+    else:
+        back[:n] = prior * (good[:n] - 1) / n
+        back += as_bad
+    inner = np.outer(back, layers[2]) * (1 - h * h)
+    return [x.T @ inner, inner.sum(axis=0), h.T @ back, np.array([back.sum()])]
+
+
 def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: int = 16, epochs: int = 150, seed: int = 5) -> Model:
     """Non-negative risk minimisation by Adam on minibatches."""
     random = np.random.default_rng(seed)
@@ -105,23 +127,8 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: in
         for k in range(0, len(u), size):
             xu = u[order[k : k + size]]
             xp = p[random.integers(0, len(p), min(size, len(p)))]
-            x = np.concatenate([xp, xu])
-            h = np.tanh(x @ layers[0] + layers[1])
-            z = np.clip(h @ layers[2] + layers[3], -30, 30)
-            good = 1 / (1 + np.exp(-z))
-            zp, zu, n = z[: len(xp)], z[len(xp) :], len(xp)
-            rest = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-            back = np.zeros(len(x))
-            as_bad = np.concatenate([-prior * good[:n] / n, good[n:] / len(xu)])
-            if rest < 0:
-                back = -as_bad
-            else:
-                back[:n] = prior * (good[:n] - 1) / n
-                back += as_bad
-            inner = np.outer(back, layers[2]) * (1 - h * h)
-            slopes = [x.T @ inner, inner.sum(axis=0), h.T @ back, np.array([back.sum()])]
             step += 1
-            for w, g, m, v in zip(layers, slopes, first, second, strict=True):
+            for w, g, m, v in zip(layers, slopes(layers, xp, xu, prior), first, second, strict=True):
                 g = g + 1e-4 * w
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
@@ -129,6 +136,26 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: in
     return Model(mean, spread, layers, prior)
 
 
+def prior_of(positive: np.ndarray, unlabelled: np.ndarray, least: float = 0.3, seed: int = 5) -> float:
+    """Share of positives among the unlabelled: the least ratio of the upper tails of their scores.
+
+    Tails hold at least the share ``least`` of the positives. Each half is scored by a network that has not seen
+    it. Of fewer than ``FEW`` texts on either side nothing can be said, and the prior is a half.
+    """
+    if min(len(positive), len(unlabelled)) < FEW:
+        return 0.5
+    scores = []
+    for side in (0, 1):
+        fit = [x[1 - side :: 2] for x in (positive, unlabelled)]
+        model = train(*fit, prior=0.5, epochs=60, seed=seed)
+        scores.append([model.logits(x[side::2]) for x in (positive, unlabelled)])
+    ratios = []
+    for p, u in scores:
+        cuts = np.quantile(p, np.linspace(0, 1 - least, 36))
+        ratios.append(((u[:, None] >= cuts).mean(axis=0) / (p[:, None] >= cuts).mean(axis=0)).min())
+    return float(np.clip(np.mean(ratios), 0.01, 0.99))
+
+
 def learn(
     docs: DataFrame, labels: DataFrame, wanted: Column, most_positive: int = 3000, most_unlabelled: int = 6000
 ) -> Model | None:
@@ -136,23 +163,18 @@ def learn(
 
     ``wanted`` is an expression over ``doc_id``.
     """
-    marks = labels.where(wanted & F.col("quality").isNotNull())
-    seen = {r["quality"]: r["n"] for r in marks.groupBy("quality").agg(F.count("*").alias("n")).collect()}
-    good = seen.get(1, 0)
-    if not good:
+    positives = chosen(labels.where(wanted & (F.col("quality") == 1)), most_positive)
+    unlabelled = chosen(docs.where(wanted), most_unlabelled)
+    sides = [{r[0] for r in side.collect()} for side in (positives, unlabelled)]
+    picked = docs.where(F.col("doc_id").isin(list(sides[0] | sides[1]))).select("doc_id", "text")
+    measured = picked.mapInArrow(_measured, "doc_id long, hash long, x array<float>")
+    one = measured.groupBy("doc_id").agg(F.min_by("x", F.struct("hash", "x")).alias("x")).collect()
+    x = {r["doc_id"]: np.array(r["x"], np.float32) for r in one}
+    good, rest = ([x[i] for i in sorted(side) if i in x] for side in sides)
+    if not good or not rest:
         return None
-
-    def ids(rows: DataFrame, most: int) -> list:
-        return [r[0] for r in rows.where("doc_id IS NOT NULL").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect()]
-
-    positives = set(ids(marks.where("quality = 1"), most_positive))
-    unlabelled = set(ids(docs.where(wanted), most_unlabelled))
-    chosen = docs.where(F.col("doc_id").isin(list(positives | unlabelled))).select("doc_id", "text")
-    rows = chosen.limit(2 * (most_positive + most_unlabelled))
-    measured = rows.mapInArrow(_measured, "doc_id long, x array<float>").collect()
-    x = {r["doc_id"]: np.array(r["x"], np.float32) for r in measured}
-    sides = [np.stack([x[i] for i in side if i in x] or [np.zeros(WIDTH)]) for side in (sorted(positives), sorted(unlabelled))]
-    return train(*sides, prior=good / sum(seen.values()))
+    good, rest = np.stack(good), np.stack(rest)
+    return train(good, rest, prior_of(good, rest))
 
 
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,7 +182,9 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values = features(batch.column(1))
         offsets = pa.array(np.arange(0, values.size + 1, WIDTH, dtype=np.int32))
         lists = pa.ListArray.from_arrays(offsets, pa.array(values.ravel()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["doc_id", "x"])
+        digest = [hashlib.sha256((x.as_py() or "").encode()).digest()[:8] for x in batch.column(1)]
+        hashes = pa.array(np.frombuffer(b"".join(digest), "<i8"))
+        yield pa.RecordBatch.from_arrays([batch.column(0), hashes, lists], names=["doc_id", "hash", "x"])
 
 
 def scored(docs: DataFrame, model: Model | None, good: float = 0.7) -> DataFrame:
