@@ -155,8 +155,8 @@ def ranked(rows: DataFrame, percent: int, least_words: int) -> DataFrame:
     ahead = 0
     for row in sorted(sizes.collect()):
         before[row["part"]], ahead, all_fit = ahead, ahead + row["n"], all_fit + row["fit"]
-    offsets = F.create_map(*[F.lit(x) for pair in (before or {0: 0}).items() for x in pair])
-    rank = F.element_at(offsets, part).cast("long") + place + 1
+    offsets = F.create_map(*[F.lit(x).cast("long") for pair in (before or {0: 0}).items() for x in pair])
+    rank = F.element_at(offsets, part.cast("long")) + place + 1
     drawn = ~apart & (rank <= percent * all_fit // 100)
     return placed.withColumn("rank", F.when(drawn, rank)).drop("place")
 
