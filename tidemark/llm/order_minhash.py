@@ -9,16 +9,20 @@ Two documents are linked if a banded alignment verifies them: the longest common
 labelled shingles, within the band that a similarity of ``SIMILAR`` leaves, over the shingles of both
 together is at least ``SIMILAR``. Classes are the connected components of the links.
 
-Candidates. Documents with the same words are one text. Texts meet in buckets of two neighbouring sketches.
-Each bucket has a leader, the least text. A text is first compared with the least of its leaders; where that
-leaves a bucket in several classes, each text with its leader of another class, then with two more leaders,
-chosen by hash, and in buckets of up to ``SMALL`` texts with every text of another class. Larger buckets that
-still hold several classes are dealt into blocks, and every two texts of different classes meet in the task of
-their two blocks, where sketches are compared first; so no pair of a bucket is left out. The leaders before
-keep such buckets few. Before texts are read, pairs whose sketches agree in fewer than ``AGREE`` of ``SKETCHES`` places
+Candidates. Documents with the same words are one text. Texts meet in buckets of two neighbouring sketches, and
+each bucket has a leader, the least text. A text is first compared with the least of its leaders; then, where that
+leaves a bucket in several classes, with its leader of another class. That settles copies of one text at two pairs a
+text and bucket. Texts of buckets that still hold several classes, of whatever size, are gathered into families,
+connected by buckets of three sketches, and in a family every two texts of different classes are compared: families
+are dealt into blocks of about ``BLOCK`` shingles, a task counts the shingles that the texts of two blocks share,
+aligns pairs that share enough, and joins classes as it goes. It returns the links that joined two classes,
+fewer than it has texts, and no text meets another twice.
+
+Before texts of the first two rounds are read, pairs whose sketches agree in fewer than ``AGREE`` of ``SKETCHES`` places
 are passed over: at similarity 0.8 a sketch agrees with probability 0.64, and 0.6 if 4 of 5 shingles
 are shared. No two neighbours of 40 agree, so that the texts never meet, with a chance of 4e-7 and 3e-6; fewer
-than 5 of 40 agree with a chance under 1e-10.
+than 9 of 40 agree with a chance of 2e-8 and 3e-7. Two texts of a family share none of its 120 buckets of three with a
+chance of 2e-6 and 1e-5, and meet nevertheless where other texts connect them.
 
 Exact copies are reduced to one row a task before they are shuffled, and joined back by a join that Spark may
 split. Nothing is collected to the driver but counts.
@@ -35,12 +39,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tidemark.llm.common import blocks, dropped, grams, mixed, owners, signed, words, written
 
 K, SIMILAR = 5, 0.8
-SKETCHES, AGREE, SMALL = 40, 5, 32
+SKETCHES, AGREE = 40, 9
+#: Buckets of families: sketches i, i + x and i + y, for every i.
+TRIPLES = [(1, 3), (7, 18), (5, 14)]
+#: Shingles of a block of a family; a text counts as ``PER_TEXT`` more.
+BLOCK, PER_TEXT = 1 << 19, 512
 LEAST = -(1 << 63)
 _SEEDS = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64) << np.uint64(32)) | np.uint64(1)
 
@@ -152,23 +160,28 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
 
 
-def components(links: DataFrame) -> DataFrame:
-    """node and label (its component's least node) of links (a, b), by label propagation and jumps."""
+def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
+    """node and label (its component's least node) of links (a, b), by label propagation and jumps.
+
+    After so many ``rounds``, if given, labels may still be those of parts of components.
+    """
     both = written(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
     labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label")), "labels")
-    while True:
+    while rounds is None or rounds > 0:
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b")
         near = near.groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         moved = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("to"))
         jump = labels.select(F.col("node").alias("to"), F.col("label").alias("further"))
-        moved = written(
-            moved.join(jump, "to", "left").select("node", "old", F.least("to", "further").alias("label")), "labels"
-        )
-        done = moved.where("label < old").isEmpty()
+        moved = moved.join(jump, "to", "left").select("node", "old", F.least("to", "further").alias("label"))
+        changes = Observation()
+        moved = written(moved.observe(changes, F.count_if(F.col("label") < F.col("old")).alias("n")), "labels")
         dropped(labels)
         labels = moved.select("node", "label")
-        if done:
-            return labels
+        rounds = rounds and rounds - 1
+        if not changes.get["n"]:
+            break
+    dropped(both)
+    return labels
 
 
 def _ordered(a: Column, b: Column) -> list[Column]:
@@ -201,36 +214,86 @@ def _likely(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return written(met.select("a", "b"), "pairs")
 
 
-def _agreeing(group: pa.Table) -> pa.Table:
-    """Pairs of different classes of one pair of blocks, as ``_likely``, in the first bucket that both texts share."""
-    part, p, q = (group.column(c).to_numpy() for c in ("part", "p", "q"))
-    one = np.flatnonzero(part == p)
-    two = np.flatnonzero(part == q)
-    ids, label, n, band = (group.column(c).to_numpy() for c in ("text_id", "label", "n", "band"))
-    sketch = group.column("sketch").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+def _families(left: DataFrame, texts: DataFrame) -> DataFrame:
+    """text_id and family of the texts of ``left`` that three sketches connect with texts of another class."""
+    n = SKETCHES
+    buckets = [
+        F.struct(F.lit(k * n + i).alias("band"), F.xxhash64(*[F.col("sketch")[(i + z) % n] for z in (0, x, y)]).alias("bucket"))
+        for k, (x, y) in enumerate(TRIPLES)
+        for i in range(n)
+    ]
+    told = left.select("text_id", "label").distinct().join(texts.select("text_id", "sketch"), "text_id")
+    met = written(told.select("text_id", "label", F.inline(F.array(*buckets))), "triples")
+    least = F.min("text_id").alias("a")
+    several = met.groupBy("band", "bucket").agg(least, F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 < l1")
+    shared = written(met.drop("label").join(several.select("band", "bucket", "a"), ["band", "bucket"]), "shared")
+    # First every text with the least of its leaders; then only what buckets still connect.
+    first = components(shared.groupBy(F.col("text_id").alias("b")).agg(F.min("a").alias("a")), rounds=2)
+    own = F.coalesce("label", "text_id").alias("own")
+    told = written(
+        shared.join(first.withColumnRenamed("node", "text_id"), "text_id", "left").select("text_id", "band", "bucket", own), "told"
+    )
+    over = told.groupBy("band", "bucket").agg(F.min("own").alias("a"), F.max("own").alias("z")).where("a < z")
+    edges = told.join(over.select("band", "bucket", "a"), ["band", "bucket"]).where("a <> own")
+    found = components(edges.select("a", F.col("own").alias("b")).distinct()).withColumnRenamed("node", "own")
+    members = told.select("text_id", "own").distinct().join(found, "own", "left")
+    members = written(members.select("text_id", F.coalesce("label", "own").alias("family")), "members")
+    dropped(met, shared, first, told)
+    return members
+
+
+def _joining(group: pa.Table) -> pa.Table:
+    """Links that join classes of one pair of blocks of a family, none of which follows from the others."""
+    part, ids = group.column("part").to_numpy(), group.column("text_id").to_numpy()
+    p, q = group.column("p")[0].as_py(), group.column("q")[0].as_py()
+    one, two = np.flatnonzero(part == p), np.flatnonzero(part == q)
+    of = np.unique(group.column("label").to_numpy(), return_inverse=True)[1]
+    if not of.any():
+        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    lists = group.column("code").combine_chunks()
+    code, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    size = np.diff(ends)
+    rank = np.unique(code, return_inverse=True)[1]
+    # For every shingle the texts of the second block that have it.
+    place = np.full(len(ids), -1)
+    place[two] = np.arange(len(two))
+    owner = np.repeat(place, size)
+    entries = np.flatnonzero(owner >= 0)
+    entries = entries[np.argsort(rank[entries], kind="stable")]
+    holders, many = owner[entries], np.bincount(rank[entries], minlength=int(rank.max(initial=-1)) + 1)
+    first = np.cumsum(many) - many
     found = []
     for i in one.tolist():
-        j = two[(label[two] != label[i]) & (ids[two] > ids[i] if p[0] == q[0] else True)]
-        j = j[np.minimum(n[j], n[i]) >= SIMILAR * np.maximum(n[j], n[i])]
-        same = sketch[j] == sketch[i]
-        meet = same & np.roll(same, -1, axis=1)
-        keep = (same.sum(axis=1) >= AGREE) & meet[:, band[i]] & ~meet[:, : band[i]].any(axis=1)
-        found.append(np.stack([np.full(int(keep.sum()), ids[i]), ids[j[keep]]]))
-    a, b = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
-    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-
-def _met_in_blocks(buckets: DataFrame, texts: DataFrame) -> DataFrame:
-    """Distinct likely pairs of different classes in a bucket: ``size`` texts make about sqrt(size) / 4 blocks."""
-    many = F.ceil(F.sqrt("size") / 4)
-    part = F.pmod(F.xxhash64("text_id", F.lit(3)), many)
-    told = buckets.join(texts.select("text_id", "n", "sketch"), "text_id").withColumn("part", part)
-    dealt = told.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), many - 1)))
+        mine = rank[ends[i] : ends[i + 1]]
+        n, start = many[mine], first[mine]
+        at = np.arange(n.sum()) + np.repeat(start - (np.cumsum(n) - n), n)
+        shared = np.bincount(holders[at], minlength=len(two))
+        enough = shared >= SIMILAR * (size[i] + size[two]) / (1 + SIMILAR) - 1e-9
+        for j in two[enough & (of[two] != of[i]) & ((two > i) | (p != q))].tolist():
+            if of[i] != of[j] and aligned(code[ends[i] : ends[i + 1]], code[ends[j] : ends[j + 1]]) >= SIMILAR:
+                found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+                of[of == of[j]] = of[i]
+    a, b = zip(*found, strict=True) if found else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _links_of_families(left: DataFrame, texts: DataFrame, codes: DataFrame) -> DataFrame:
+    """Links between the classes of every family; a text goes to as many tasks as its family has blocks."""
+    labels = left.select("text_id", "label").distinct()
+    families = _families(left, texts)
+    members = written(families.join(labels, "text_id"), "families")
+    dropped(families)
+    sizes = members.join(texts.select("text_id", "n"), "text_id").groupBy("family")
+    sizes = sizes.agg(F.ceil(F.sum(F.col("n") + PER_TEXT) / BLOCK).alias("blocks"))
+    dealt = members.join(sizes, "family").withColumn("part", F.pmod(F.xxhash64("text_id", F.lit(3)), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     dealt = dealt.select(
-        "band", "bucket", "text_id", "label", "n", "sketch", "part",
-        F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
-    )
-    return dealt.groupBy("band", "bucket", "p", "q").applyInArrow(_agreeing, "a long, b long")
+        "family", "text_id", "label", "part", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q")
+    )
+    joining = dealt.join(codes, "text_id").groupBy("family", "p", "q").applyInArrow(_joining, "a long, b long")
+    found = written(joining, "links")
+    dropped(members)
+    return found
 
 
 def _links(pairs: DataFrame, codes: DataFrame) -> DataFrame:
@@ -259,7 +322,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     met = texts.where("n > 0").select("text_id", F.inline(bands))
     crowded = written(met.groupBy("band", "bucket").agg(F.count("*").alias("size")).where("size > 1"), "crowded")
-    buckets = written(met.join(crowded, ["band", "bucket"]), "buckets")
+    buckets = written(met.join(crowded.select("band", "bucket"), ["band", "bucket"]), "buckets")
+    dropped(crowded)
 
     playing = buckets.select(F.col("text_id").alias("id")).distinct()
     spelt = base.join(playing, "id").withColumn("hash", F.xxhash64("text")).dropDuplicates(["id", "hash"])
@@ -274,32 +338,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     least = _led(one, F.col("text_id")).groupBy("text_id").agg(F.min("leader.text_id").alias("leader"))
     pairs = _likely(least.select(*_ordered(F.col("leader"), F.col("text_id"))), texts)
     links = links.union(_links(pairs, codes))
-    labels = components(links)
+    # Labels of parts of classes do here: they only tell which texts need not be compared.
+    labels = components(links, rounds=2)
     # Then, where a bucket still holds several classes, with its leader.
     left = _crossing(buckets, labels)
     more = _led(left, F.col("text_id")).select(*_ordered(F.col("leader.text_id"), F.col("text_id")))
     second = _likely(more.join(pairs, ["a", "b"], "left_anti"), texts)
+    dropped(labels, buckets, pairs)
     links = links.union(_links(second, codes))
+    labels = components(links, rounds=2)
+    # Then every two texts of different classes in a family.
+    still = _crossing(left.select("band", "bucket", "text_id"), labels)
+    dropped(left, second, labels)
+    if not still.isEmpty():
+        links = links.union(_links_of_families(still, texts, codes))
     labels = components(links)
-    # Then with two more leaders, and in small buckets with every text of another class.
-    left = _crossing(left.select("band", "bucket", "text_id", "size"), labels)
-    more = [
-        _led(left, F.xxhash64("text_id", F.lit(salt), "band")).select(*_ordered(F.col("leader.text_id"), F.col("text_id")))
-        for salt in (1, 2)
-    ]
-    small = left.where(F.col("size") <= SMALL).select("band", "bucket", F.col("text_id").alias("a"), F.col("label").alias("la"))
-    other = small.select("band", "bucket", F.col("a").alias("b"), F.col("la").alias("lb"))
-    more.append(small.join(other, ["band", "bucket"]).where("a < b and la <> lb").select("a", "b"))
-    again = more[0].union(more[1]).union(more[2]).join(pairs.union(second), ["a", "b"], "left_anti")
-    third = _likely(again, texts)
-    links = links.union(_links(third, codes))
-    labels = components(links)
-    # Then in large buckets with every text of another class.
-    left = _crossing(left.where(F.col("size") > SMALL).select("band", "bucket", "text_id", "size"), labels)
-    if not left.isEmpty():
-        done = pairs.union(second).union(third)
-        last = written(_met_in_blocks(left, texts).join(done, ["a", "b"], "left_anti"), "pairs")
-        labels = components(links.union(_links(last, codes)))
+    dropped(still, codes, links)
 
     own = copies.join(labels.withColumnRenamed("node", "text_id"), "text_id", "left")
     return own.select("id", F.coalesce("label", "text_id").alias("class_id"), "text_id")
@@ -314,6 +368,9 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with the least id of their class, with all their columns."""
+    """The rows of ``docs`` with the least id of their class, with all their columns.
+
+    Rows of equal id are one document, and all of them stay.
+    """
     kept = near_duplicates(docs).where("id = class_id").select("id").distinct()
     return docs.join(kept, F.coalesce(docs["doc_id"].cast("long"), F.lit(LEAST)) == kept["id"], "left_semi")
