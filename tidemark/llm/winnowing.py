@@ -6,8 +6,8 @@ of its ``GRAM``-word shingles (of a window shorter than that, the hash of the wi
 the same fingerprint wherever they occur, so no shared window is missed; neighbouring windows mostly share
 theirs, so a document has few.
 
-Training and test fingerprints are joined; where they meet, the document's windows with that fingerprint
-are spelt out and joined with the items' windows word by word, so hash collisions do not count, and hits
+Training and test fingerprints are joined, those of the documents once they are written; where they meet,
+the document is read again, and its windows with that fingerprint are spelt out and joined with the items' windows word by word, so hash collisions do not count, and hits
 extend over all windows that occur. Everything is Spark expressions. Fingerprints are distinct within a
 document before they are shuffled; a fingerprint in a third of all documents only filters them (semi join),
 which Spark may split.
@@ -23,7 +23,7 @@ import string
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import dropped, written
 
 WINDOW, GRAM = 13, 6
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -98,6 +98,13 @@ def _covered(windows: Column) -> Column:
     return F.aggregate(F.array_sort(windows), nothing, step, lambda s: s["n"]).cast("long")
 
 
+def _key() -> Column:
+    """256 bits that stand for a row's id and text; null and empty texts are one."""
+    text = F.sha2(F.coalesce("text", F.lit("")), 256)
+    id_ = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit(""))
+    return F.unhex(F.sha2(F.concat(text, id_), 256))
+
+
 def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, key, n_words, and starts (start, width) and item_ids of occurring windows, null if none.
 
@@ -105,40 +112,40 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     """
     test = written(item_windows(items), "item_windows")
     widths = sorted(r[0] for r in test.select("width").distinct().collect())
-    key = F.xxhash64("doc_id", "text")
-    base = docs.select("doc_id", "text", key.alias("key"))
+    base = docs.select("doc_id", "text", _key().alias("key"))
     if not widths:
         none = F.lit(None).cast("array<struct<start:int,width:int>>")
         counted = base.select("doc_id", "key", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
         return counted.select("*", none.alias("starts"), F.lit(None).cast("array<string>").alias("item_ids"))
     prints = written(test.select("print").distinct(), "item_prints")
-    told = with_fingerprints(
-        base.select("key", words_of(F.col("text")).alias("words")).withColumn("n", F.size("words")), widths
+    first = base.select("doc_id", "key", words_of(F.col("text")).alias("words")).withColumn("n", F.size("words"))
+    first = with_fingerprints(first, widths).select(
+        "doc_id", "key", F.col("n").cast("long").alias("n_words"), F.array_distinct(F.flatten("prints")).alias("prints")
     )
+    first = written(first, "prints")
     met = (
-        told.select("key", F.explode(F.array_distinct(F.flatten("prints"))).alias("print"))
+        first.select("key", F.explode("prints").alias("print"))
         .join(prints, "print", "left_semi")
         .groupBy("key")
         .agg(F.collect_set("print").alias("met"))
     )
     met = written(met, "met")
-    joined = base.join(met, "key", "left").select(
-        "doc_id", "key", "met", words_of(F.col("text")).alias("words")
-    ).withColumn("n", F.size("words"))
-    # Texts without a meeting carry on an empty list of words.
-    kept = joined.withColumn("n_words", F.col("n").cast("long")).withColumn(
-        "words", F.when(F.col("met").isNotNull(), F.col("words")).otherwise(F.array().cast("array<string>"))
-    ).withColumn("n", F.size("words"))
+    # Only texts with a meeting are read and split again; rows that repeat id and text once. Eight bytes of
+    # their keys thin out the texts first, which is a list that Spark can often send to the scan.
+    some = written(met.select(F.xxhash64("key").alias("some")), "some")
+    thinned = base.withColumn("some", F.xxhash64("key")).join(some, "some", "left_semi")
+    kept = thinned.join(met, "key").select("key", "met", words_of(F.col("text")).alias("words")).dropDuplicates(["key"])
+    kept = kept.withColumn("n", F.size("words"))
     told = with_fingerprints(kept, widths)
     spelt = []
     for i, width in enumerate(widths):
         places = F.transform(F.col("prints")[i], lambda p, j: F.when(F.array_contains(F.col("met"), p), j))
         places = F.filter(places, lambda j: j.isNotNull())
         spelt.append(F.transform(places, _spelling(width)))
-    found = written(told.select("doc_id", "key", "n_words", F.concat(*spelt).alias("windows")), "windows")
+    found = written(told.select("key", F.concat(*spelt).alias("windows")), "windows")
+    dropped(met, some)
     occurring = (
-        found.where(F.size("windows") > 0)
-        .select("key", F.inline("windows"))
+        found.select("key", F.inline("windows"))
         .join(test.select("width", "window", "item_id"), ["width", "window"])
         .groupBy("key")
         .agg(
@@ -146,7 +153,7 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
             F.collect_set("item_id").alias("item_ids"),
         )
     )
-    return found.select("doc_id", "key", "n_words").join(occurring, "key", "left")
+    return first.select("doc_id", "key", "n_words").join(occurring, "key", "left")
 
 
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -167,7 +174,9 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     found = hits(docs, items)
     n_hit = F.coalesce(_covered(F.col("starts")), F.lit(0).cast("long"))
     bad = found.where((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).select("key").distinct()
-    return docs.join(bad, F.xxhash64(docs["doc_id"], docs["text"]) == bad["key"], "left_anti")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _key().alias("key"))
+    kept = rows.join(bad, "key", "left_anti")
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 _UPPER, _LOWER = string.ascii_uppercase, string.ascii_lowercase
