@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.llm.common import IS_WORD, BYTE_VALUES, blocks
 
 SIZES = (3, 4)
+BITS = 16
 UNKNOWN = "und"
 
 
@@ -82,27 +83,32 @@ class Model:
         return self.probabilities(out)
 
 
-def _bags(texts: list[str], bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Buckets and shares of each text."""
-    bags = []
-    for text in texts:
-        codes = np.empty(0, np.int64)
-        for _, _, data, offsets in blocks(pa.array([text])):
-            codes, _ = buckets_of(data, offsets, bits)
-        at, count = np.unique(codes, return_counts=True)
-        bags.append((at, (count / max(1, len(codes))).astype(np.float32)))
-    return bags
+def _bags(bits: int):
+    """Buckets and shares of each text, with its language."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, data, offsets in blocks(batch.column(3)):
+                codes, owner = buckets_of(data, offsets, bits)
+                key, count = np.unique((owner << bits) | codes, return_counts=True)
+                total = np.maximum(np.bincount(owner, minlength=j - i), 1)
+                share = (count / total[key >> bits]).astype(np.float32)
+                ends = pa.array(np.searchsorted(key >> bits, np.arange(j - i + 1)).astype(np.int32))
+                at = pa.ListArray.from_arrays(ends, pa.array((key & ((1 << bits) - 1)).astype(np.int32)))
+                columns = [*(batch.column(c).slice(i, j - i) for c in (0, 1, 2)), at, pa.ListArray.from_arrays(ends, pa.array(share))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "hash", "lang", "at", "share"])
+
+    return run
 
 
 def train(
-    texts: list[str], languages: list[str], bits: int = 16, width: int = 8, epochs: int = 4, steps: int = 500, lost: float = 0.001, seed: int = 7
+    bags: list[tuple[np.ndarray, np.ndarray]], languages: list[str], bits: int = BITS, width: int = 8, epochs: int = 4, steps: int = 500, lost: float = 0.001, seed: int = 7
 ) -> Model:
-    """Fit on whole texts, in ``steps`` minibatches at least; every fifth text is held back for calibration."""
+    """Fit on the buckets and shares of texts, in ``steps`` minibatches at least; every fifth text is held back for calibration."""
     names = sorted(set(languages))
     random = np.random.default_rng(seed)
     target = np.array([names.index(x) for x in languages], np.int64)
-    bags = _bags(texts, bits)
-    held = np.arange(len(texts)) % 5 == 4
+    held = np.arange(len(bags)) % 5 == 4
     embedding = random.normal(0, 1 / width, (1 << bits, width)).astype(np.float32)
     layer = np.zeros((width, len(names)), np.float32)
     bias = np.zeros(len(names), np.float32)
@@ -129,7 +135,7 @@ def train(
             np.add.at(embedding, at, -rate * 10.0 * back[owner] * share[:, None])
     table = np.ascontiguousarray((embedding @ layer).T)
     model = Model(names, table, bias.astype(np.float64), bits)
-    check = np.flatnonzero(held) if held.any() else np.arange(len(texts))
+    check = np.flatnonzero(held) if held.any() else np.arange(len(bags))
     logits = np.stack([[float(table[c][bags[r][0]] @ bags[r][1]) for c in range(len(names))] for r in check])
     right = target[check]
 
@@ -162,11 +168,18 @@ def learn(
     chosen = [r["doc_id"] for r in ranked.orderBy("rank", "lang").limit(most).select("doc_id").collect()]
     if not chosen:
         return None
-    rows = docs.where(usable & F.col("doc_id").isin(chosen)).select("doc_id", lang, text).limit(2 * most).collect()
+    # Texts stay in their tasks; at most 1 << BITS buckets of each come here, and of several rows of one id one.
+    own = docs.where(usable & F.col("doc_id").isin(chosen))
+    own = own.select("doc_id", F.xxhash64(lang, text).alias("hash"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    bags = own.mapInArrow(_bags(BITS), "doc_id long, hash long, lang string, at array<int>, share array<float>")
+    bags = bags.groupBy("doc_id").agg(F.min_by(F.struct("lang", "at", "share"), F.struct("hash", "lang")).alias("bag"))
     # The same order however the rows are split into files and tasks.
     place = {doc_id: i for i, doc_id in enumerate(chosen)}
-    rows.sort(key=lambda r: (place[r[0]], r[1], r[2]))
-    return train([r[2] for r in rows], [r[1] for r in rows])
+    found = bags.select("doc_id", "bag.*").toArrow().combine_chunks()
+    order = sorted(range(found.num_rows), key=lambda i: place[found["doc_id"][i].as_py()])
+    at, share = found["at"], found["share"]
+    pairs = [(at[i].values.to_numpy().astype(np.int64), share[i].values.to_numpy()) for i in order]
+    return train(pairs, [found["lang"][i].as_py() for i in order])
 
 
 def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
