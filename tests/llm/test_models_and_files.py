@@ -16,7 +16,7 @@ from samples import MESSY
 from tokenizers import Tokenizer
 
 from tidemark.llm import arrow_sequences, language_id, packing, pu_quality, suffix_tree, url_cascade
-from tidemark.llm.common import scratch_path
+from tidemark.llm.common import BYTE_VALUES, scratch_path
 from tidemark.llm.queries import ORACLE, REGISTRY, vocabulary
 
 FOLDER = "/root/testdata/sf0.001"
@@ -102,18 +102,37 @@ def universe(spark, n, every):
     return spark.range(n).select(F.concat(F.lit("host"), "id").alias("key"), (F.col("id") % every == 0).alias("listed"))
 
 
-@pytest.mark.parametrize("n, every", [(3000, 3), (3000, 100), (50, 1), (50, 1000), (0, 1)])
-def test_the_cascade_is_exact_over_its_universe(spark, n, every):
+@pytest.mark.parametrize("n, every, shard_keys", [(3000, 3, 1 << 14), (3000, 100, 200), (3000, 3, 100), (50, 1, 7), (50, 1000, 7), (0, 1, 7)])
+def test_the_cascade_is_exact_over_its_universe(spark, n, every, shard_keys):
     keys = universe(spark, n, every)
-    cascade = url_cascade.build(keys)
-    assert keys.where(cascade.contains(F.col("key")) != F.col("listed")).isEmpty()
-
-
-def test_a_list_beyond_its_bytes_is_joined_with_the_same_result(spark, rows):
-    pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
-    keys = url_cascade.plain_http_addresses(pages)
-    assert url_cascade.build(keys, most_bytes=1) is None
-    assert rows(url_cascade.judge(pages, keys, most_bytes=1)) == rows(url_cascade.judge(pages, keys))
+    found = url_cascade.listed_among(keys.withColumnRenamed("listed", "truth"), F.col("key"), keys, shard_keys)
+    assert found.count() == n and found.where("listed <> truth").isEmpty()
+
+
+def test_crowded_shards_take_more_levels(spark):
+    """Four times as many keys as bits: every level errs often, and the cascade still comes to an end."""
+    keys = universe(spark, 130_000, 2)
+    filters, shards = url_cascade.build(keys, shard_keys=1 << 17)
+    assert shards == 1 and len(filters.first()["levels"]) > 4
+    found = url_cascade.listed_among(keys.withColumnRenamed("listed", "truth"), F.col("key"), keys, 1 << 17)
+    assert found.where("listed <> truth").isEmpty()
+
+
+def test_filters_stay_off_the_driver_and_pages_meet_them_by_shard(spark):
+    """A universe whose filters exceed eight million bytes, with one address on a third of the pages."""
+    n = 2_600_000
+    keys = spark.range(n).select(F.concat(F.lit("k"), "id").alias("key"), (F.col("id") % 3 == 0).alias("listed"))
+    filters, shards = url_cascade.build(keys)
+    size = filters.select(F.sum(F.size("levels"))).first()[0] * url_cascade.BITS // 8
+    assert shards == -(-n // url_cascade.SHARD_KEYS) and size > 1 << 20
+    pages = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, "k9").otherwise(F.concat(F.lit("k"), "id")).alias("key"), (F.col("id") % 3 == 0).alias("truth")
+    )
+    found = url_cascade.listed_among(pages, F.col("key"), keys)
+    assert found.where("listed <> truth").isEmpty()
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in text.split("\n") if "Join" in line]
+    assert len(joins) == 1 and "_shard" in joins[0] and "_salt" in joins[0] and "key" not in joins[0].split("(")[1]
 
 
 def test_urls_of_every_shape(spark, rows):
@@ -260,6 +279,70 @@ def test_the_risk_is_kept_from_going_below_zero():
     assert (model.logits(good) > 0).mean() > 0.97 and (model.logits(bad) < 0).mean() > 0.97
 
 
+def test_the_prior_of_planted_mixtures_is_estimated():
+    random = np.random.default_rng(2)
+    for prior in (0.2, 0.5, 0.85):
+        for apart in (1.0, 0.7):
+            n = int(4000 * prior)
+            good = random.normal(apart, 0.5, (2000 + n, pu_quality.WIDTH)).astype(np.float32)
+            bad = random.normal(-apart, 0.5, (4000 - n, pu_quality.WIDTH)).astype(np.float32)
+            found = pu_quality.prior_of(good[:2000], np.concatenate([good[2000:], bad]))
+            assert abs(found - prior) < 0.05
+    assert pu_quality.prior_of(good[:3], bad) == 0.5
+
+
+@pytest.mark.parametrize("prior", [0.3, 0.9])
+def test_slopes_are_those_of_the_risk(prior):
+    """Against differences of the risk, written out text by text."""
+    random = np.random.default_rng(3)
+    layers = [random.normal(0, 0.5, (pu_quality.WIDTH, 3)), random.normal(0, 0.5, 3), random.normal(0, 1, 3), np.array([0.2])]
+    good, web = random.normal(0.4, 1, (7, pu_quality.WIDTH)), random.normal(-0.2, 1, (11, pu_quality.WIDTH))
+
+    def logit(x):
+        hidden = [np.tanh(sum(x[k] * layers[0][k][j] for k in range(len(x))) + layers[1][j]) for j in range(3)]
+        return sum(h * w for h, w in zip(hidden, layers[2], strict=True)) + layers[3][0]
+
+    def parts():
+        p, u = [logit(x) for x in good], [logit(x) for x in web]
+        as_good = prior * sum(np.log(1 + np.exp(-z)) for z in p) / len(p)
+        as_bad = sum(np.log(1 + np.exp(z)) for z in u) / len(u) - prior * sum(np.log(1 + np.exp(z)) for z in p) / len(p)
+        return as_good, as_bad
+
+    negative = parts()[1] < 0
+    found = pu_quality.slopes(layers, good, web, prior)
+    for layer, slope in zip(layers, found, strict=True):
+        for place in [np.unravel_index(k, layer.shape) for k in range(0, layer.size, 5)]:
+            values = []
+            for d in (1e-5, -1e-5):
+                layer[place] += d
+                as_good, as_bad = parts()
+                values.append(-as_bad if negative else as_good + as_bad)
+                layer[place] -= d
+            assert slope[place] == pytest.approx((values[0] - values[1]) / 2e-5, abs=1e-6)
+
+
+def test_scores_are_means_over_subwords():
+    """Language scores against n-grams that are hashed and looked up one by one."""
+    random = np.random.default_rng(4)
+    bits = 8
+    model = language_id.Model(["a", "b", "c"], random.normal(0, 1, (3, 1 << bits)), random.normal(0, 1, 3), bits, 1.7)
+    texts = ["Plain text\tof  words", "", "É\n\nü x", "ab", "A", "  lead and trail  "]
+    top = (1 << 64) - 1
+    for text, found in zip(texts, model.score(pa.array(texts)), strict=True):
+        data = re.sub(rb"[\x20\x09-\x0D]+", b" ", re.sub(rb"[A-Z]", lambda m: m[0].lower(), text.encode()))
+        values = [0x9E3779B97F4A7C15 if x == 32 else int(BYTE_VALUES[True][x]) for x in data]
+        rows = []
+        for n in language_id.SIZES:
+            for i in range(len(values) - n + 1):
+                code = values[i]
+                for v in values[i + 1 : i + n]:
+                    code = (code * 0x2545F4914F6CDD1D + v) & top
+                rows.append(model.logits[:, code >> (64 - bits)])
+        z = (sum(rows) / max(1, len(rows)) + model.bias) * 1.7
+        p = np.exp(z - z.max())
+        assert found == pytest.approx(p / p.sum())
+
+
 # --- queries and pipeline -----------------------------------------------------------------
 
 
@@ -268,7 +351,7 @@ def test_queries_equal_their_sql(spark, name):
     import duckdb
 
     db = duckdb.connect()
-    for table in ("documents", "pages", "benchmark"):
+    for table in ("documents", "pages", "benchmark", "labels"):
         db.sql(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     expected = db.sql(ORACLE[name])
     found = REGISTRY[name](spark, FOLDER).select(*expected.columns)
@@ -276,4 +359,4 @@ def test_queries_equal_their_sql(spark, name):
 
 
 def test_there_is_a_query_for_each_operator():
-    assert {name.split("_")[0] for name in REGISTRY} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in REGISTRY} == {f"op{n}" for n in range(1, 14)}

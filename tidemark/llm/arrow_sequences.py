@@ -35,8 +35,11 @@ from tidemark.session import setting
 MANIFEST = "part int, shard string, n_docs long, n_tokens long"
 
 
-def _open(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
+def _open(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system that a qualified path names; a path without one could mean another to Spark."""
+    if ":/" not in uri:
+        raise ValueError(f"{uri}: not a URI")
+    return fs.FileSystem.from_uri(uri)
 
 
 class ShardWriter:
