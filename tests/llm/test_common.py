@@ -71,3 +71,14 @@ def test_a_full_memory_changes_nothing(monkeypatch, provided):
     encode = Encoder(vocabulary("byte_bpe_50k.json"))
     texts = [r["text"] for r in provided("documents")][:40]
     assert [encode.ids(t) for t in texts] == encode.library(texts)
+
+
+def test_frequent_pieces_stay_when_the_memory_is_full(monkeypatch):
+    monkeypatch.setattr("tidemark.llm.encoding.MOST_PIECES", 20)
+    found = Encoder(vocabulary("byte_bpe_50k.json"))
+    found.ids("the of and")
+    for i in range(100):
+        found.ids("a" + "b" * i)
+    assert {"the", " of", " and"} <= set(found.pieces) and len(found.pieces) <= 22
+    for text in ("a  b", "a \nb", "\na", "a ", "a\t b", "a\tb", "a　\nb", " ", "\n"):
+        assert found.ids(text) == found.library([text])[0]

@@ -18,14 +18,16 @@ import os
 import re
 import string
 from array import array
+from collections.abc import Callable
 
 import numpy as np
 
-_RUNS = re.compile(r"\s\s|^\s|\s$|\x00|<\|")
+#: White space at an end or in a run, for pieces without the space that leads them.
+_SPACES = re.compile(r"^\s|\s$|\s\s")
 #: ASCII signs that form one pre-token after a word; not the apostrophe, which may start a suffix.
 _SIGNS = string.punctuation.replace("'", "")
-#: Distinct pieces kept by one worker process; beyond it the memory is emptied before
-#: the next text with a new piece, at a cost in time only.
+#: Distinct pieces kept by one worker process; beyond it the half learnt last is forgotten before
+#: the next text, at a cost in time only: frequent pieces are met early.
 MOST_PIECES = 400_000
 
 
@@ -36,6 +38,21 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class _Run(Exception):
+    """White space that pre-tokens may reach across a cut."""
+
+
+class _Pieces(dict):
+    """Ids of pieces; one that is not there is learnt when it is asked for."""
+
+    def __init__(self, learn: Callable[[str], bytes]):
+        self.learn = learn
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self[piece] = self.learn(piece)
+        return found
+
+
 class Encoder:
     """``ids(text)``: little-endian unsigned 32-bit ids as bytes."""
 
@@ -47,7 +64,7 @@ class Encoder:
         self.model = self.whole.model
         self.words = bool(self.model.end_of_word_suffix)
         self.letters = _byte_letters()
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = _Pieces(self._learn)
 
     def size(self) -> int:
         return self.whole.get_vocab_size()
@@ -71,28 +88,21 @@ class Encoder:
             return piece.lower() if piece.isalpha() and (piece.isascii() or max(piece) < "Ā") else None
         return piece if piece[1:].isalpha() and (piece[0] == " " or piece[0].isalpha()) else None
 
-    def _learn(self, wanted: set[str]) -> None:
-        pieces, others = self.pieces, []
-        for piece in wanted:
-            if (word := self._plain(piece)) is not None:
-                if word not in pieces:
-                    pieces[word] = self._word(word)
-                pieces[piece] = pieces[word]
-            elif (word := self._plain(body := piece.rstrip(_SIGNS))) is not None:
-                if word not in pieces:
-                    pieces[word] = self._word(word)
-                if (signs := piece[len(body) :]) not in pieces:
-                    pieces[signs] = self.library([signs])[0]
-                pieces[piece] = pieces[word] + pieces[signs]
-            else:
-                others.append(piece)
-        if others:
-            pieces.update(zip(others, self.library(others), strict=True))
+    def _learn(self, piece: str) -> bytes:
+        if (word := self._plain(piece)) is not None:
+            return self._word(word) if word == piece else self.pieces[word]
+        body = piece.rstrip(_SIGNS)
+        if body != piece and self._plain(body) is not None:
+            return self.pieces[body] + self.pieces[piece[len(body) :]]
+        # A cut at white space that has more beside it leaves an empty piece, or space at an end of one.
+        if not self.words and piece != "\n" and (not (bare := piece.removeprefix(" ")) or _SPACES.search(bare)):
+            raise _Run
+        return self.library([piece])[0]
 
     def _cut(self, text: str) -> list[str] | None:
         if self.words:
             return text.replace("\n", " ").split(" ")
-        if _RUNS.search(text):
+        if "\0" in text or "<|" in text:
             return None
         return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
 
@@ -102,13 +112,13 @@ class Encoder:
         cut = self._cut(text)
         if cut is None:
             return self.library([text])[0]
+        if len(self.pieces) > MOST_PIECES:
+            for piece in list(self.pieces)[MOST_PIECES // 2 :]:
+                del self.pieces[piece]
         try:
             return b"".join(map(self.pieces.__getitem__, cut))
-        except KeyError:
-            if len(self.pieces) > MOST_PIECES:
-                self.pieces.clear()
-            self._learn(set(cut).difference(self.pieces))
-            return b"".join(map(self.pieces.__getitem__, cut))
+        except _Run:
+            return self.library([text])[0]
 
 
 _ENCODERS: dict[str, Encoder] = {}
