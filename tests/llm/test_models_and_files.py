@@ -87,6 +87,82 @@ def test_states_diverge_sum_to_one_and_score_better(spark):
     assert held.where("score <= base_score").isEmpty()
 
 
+def brute_scores(texts, train):
+    """Every context of one and two tokens, tested and smoothed by the docstring, in plain Python."""
+    grams, tokens = [Counter(), Counter(), Counter()], []
+    for t, own in zip(texts, train, strict=True):
+        x = [*split(t), 1]
+        tokens.append(x)
+        if own:
+            grams[0].update(x)
+            grams[1].update(zip([0, *x[:-1]], x, strict=True))
+            grams[2].update(zip([0, *x[:-2]], x[:-1], x[1:], strict=False))
+    n, once = sum(grams[0].values()), Counter(v for k, v in grams[0].items() if k != 1)
+    d = min(0.9, max(0.1, once[1] / max(1, once[1] + 2 * once[2])))
+    total = dict(grams[0]) | {0: sum(train)}
+
+    def root(w):
+        return math.log10((grams[0][w] - d) / n) if grams[0][w] else math.log10(d * len(grams[0]) / n)
+
+    def grown(counts, totals, above):
+        named = {}
+        for k, c in counts.items():
+            if c >= suffix_tree.LEAST:
+                named.setdefault(k[:-1], {})[k[-1]] = c
+        found = {}
+        for ctx, follow in named.items():
+            m = totals(ctx)
+            p = {w: (c - 0.5) / m for w, c in follow.items()}
+            up = {w: above(ctx, w) for w in follow}
+            weight = math.log10(max(1 - sum(p.values()), 1e-12) / (1 - min(sum(10**x for x in up.values()), 1 - 1e-9)))
+            gain = sum(c * (math.log10(p[w]) - up[w]) for w, c in follow.items()) + (m - sum(follow.values())) * weight
+            if gain * math.log(10) > 0.5 * (len(follow) + 1) * math.log(m):
+                found[ctx] = (weight, {w: math.log10(x) for w, x in p.items()})
+        return found
+
+    def scored(table, ctx, w, otherwise):
+        if ctx not in table:
+            return otherwise
+        weight, named = table[ctx]
+        return named.get(w, weight + otherwise)
+
+    one = grown(grams[1], lambda ctx: total[ctx[0]], lambda ctx, w: root(w))
+    two = grown(grams[2], lambda ctx: grams[1][ctx], lambda ctx, w: scored(one, ctx[1:], w, root(w)))
+    return [
+        sum(
+            scored(two, (a, b) if i else None, w, scored(one, (b,), w, root(w)))
+            for i, (a, b, w) in enumerate(zip([0, 0, *x[:-2]] if len(x) > 1 else [0], [0, *x[:-1]], x, strict=False))
+        )
+        for x in tokens
+    ], len(one), len(two)
+
+
+def test_scores_equal_brute_force_with_no_cut_by_share(spark, monkeypatch):
+    """Rare passages make states however many other tokens there are; rare keys travel in buckets."""
+    monkeypatch.setattr(suffix_tree, "SYMBOLS", 64)
+    monkeypatch.setattr(suffix_tree, "BUCKET", 1 << 6)
+    random = np.random.default_rng(5)
+    rare = "Some odd words follow one another here"
+    texts = [" ".join(random.choice(list("abcdefgh"), 40)) for _ in range(60)]
+    texts += [f"x{k} {rare} y{k}" for k in range(3)] * 2 + [None, "", rare, "a b unseen", rare + " a"]
+    train = [k % 7 != 0 for k in range(len(texts))]
+    docs = spark.createDataFrame(list(zip(range(len(texts)), texts, train, strict=True)), "doc_id long, text string, own boolean")
+    expected, one, two = brute_scores(texts, train)
+    got = {r["doc_id"]: r["score"] for r in suffix_tree.scored(docs.repartition(3), F.col("own")).collect()}
+    assert one > 5 and two > 2
+    assert all(math.isclose(got[k], x, rel_tol=1e-9) for k, x in enumerate(expected)), [(got[k], x) for k, x in enumerate(expected)][-12:]
+
+
+def test_a_longer_corpus_keeps_every_state(spark):
+    rare = ["some odd words follow one another here"] * 4
+    for more in (0, 3000):
+        texts = rare + [f"a{k % 50} b{k % 31} " * 30 for k in range(more)]
+        train = spark.createDataFrame([(t,) for t in texts], "text string")
+        _, root = suffix_tree.vocabulary(train)
+        found = suffix_tree.states(train, root)
+        assert found.pairs.where("n = 4 and known").count() >= 7 and found.triples.where("n = 4").count() >= 7
+
+
 def test_lookups_find_all_keys_and_no_others():
     random = np.random.default_rng(0)
     keys = np.unique(random.integers(0, 1 << 51, 5000).astype(np.uint64))

@@ -3,21 +3,22 @@
 Tokens are words (A-Z lower-cased), then one end for each text.
 
 The root's distribution holds every token of the training texts: absolute discounting takes ``d`` off each
-count, estimated from the words seen once and twice, and gives the sum to the class of unknown words. It grows
-with the corpus, so it is a table, and rare words meet it in a join.
-
-Contexts are the last one or two symbols. A symbol is a frequent word (a share of at least 1 / ``SYMBOLS`` of
-all tokens, so there are at most that many), the end, the begin, or the class of all other words, within
-which the root decides. Candidates are contexts and continuations that occur at least ``LEAST`` times and
-make up 1 / ``STATES`` of all tokens, which bounds each depth to ``STATES`` of either. A candidate becomes a state if its
-next symbols diverge from those of its longest suffix state: their counts times the log ratio of the smoothed
+count, estimated from the words seen once and twice, and gives the sum to unknown words.
+
+Contexts are the last one or two tokens, of any words, and the begin of the text. A context is a candidate
+with each continuation that recurs after it (``LEAST`` times, at every size of the corpus): what was seen once
+after a context is no evidence that its distribution differs. A candidate becomes a state if its next
+tokens diverge from those of its longest suffix state: their counts times the log ratio of the smoothed
 distributions must pay for the state's parameters (half the log of its count each). A state's distribution is
-discounted, and what is left goes to other symbols in proportion to the suffix state's distribution, so that
+discounted, and what is left goes to other tokens in proportion to the suffix state's distribution, so that
 every state sums to one. A text is scored by the longest suffix state at every token.
 
-Counts are over all training texts: each task counts its own, and Spark adds them up. Deeper contexts
-are counted only where both parts are frequent, which loses none that can be. The driver sees the
-frequent symbols, contexts and continuations only, whose number is bounded as above, and broadcasts the tree.
+Counts are over all training texts, and all counts, tests and states are tables, which grow with the corpus:
+``States``. A text's score is a sum of what its words, its pairs and its triples of tokens are worth, since a
+state's weight counts wherever its context occurs and an explicit continuation is worth the difference. Each
+level meets its table by buckets of hashes, about ``BUCKET`` tokens each. The frequent words, pairs and triples
+(at least 1 / ``SYMBOLS`` of all tokens, so there are at most that many) are broadcast with their worth and
+never travel, so that no bucket is much larger than others.
 
 Null texts are empty: one end token. Repeated rows are scored, and learned from, each time. Without training
 texts scores are those of an unknown word with all the probability, 0. Other columns are not read.
@@ -28,17 +29,18 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import CLEANUP, blocks, mixed, owners, signed, words, written
-from tidemark.session import setting
+from tidemark.llm.common import Words, blocks, dropped, mixed, owners, signed, words, written
 
-SYMBOLS, STATES, LEAST = 1 << 16, 1 << 20, 4
+SYMBOLS, LEAST, BUCKET = 1 << 16, 2, 1 << 21
 BEGIN, END, RARE, FIRST = 0, 1, 2, 3
 BITS = np.uint64(17)
+ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def find(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -86,6 +88,10 @@ class Root:
     texts: int
     discount: float
     lookup: Lookup | None = None
+    words: DataFrame | None = None  # (word, c), all of them; stays on the driver
+
+    def __getstate__(self):
+        return self.__dict__ | {"words": None}
 
     def symbols(self, code: np.ndarray) -> np.ndarray:
         if self.lookup is None:
@@ -107,7 +113,7 @@ class Root:
 
 @dataclass
 class Tree:
-    """States: contexts with the log10 weight of their suffix, and explicit continuations."""
+    """States of frequent words in memory: contexts with the log10 weight of their suffix, and explicit continuations."""
 
     one: np.ndarray  # per symbol: log10 weight, nan where the symbol is no state
     next_one: np.ndarray
@@ -148,26 +154,39 @@ class Tree:
         return out
 
 
-def _sequences(root: Root, texts: pa.Array, wanted: np.ndarray | None = None):
-    """(from, to, words, text of each token, symbols, the two before): each text's words, then its end."""
+def joined_key(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Hash of a context and what follows it: words for pairs, overlapping pairs for triples."""
+    return mixed(left * ODD + right)
+
+
+class Grams(NamedTuple):
+    """Tokens of a block of texts; begin and end have the codes ``BEGIN`` and ``END``."""
+
+    words: Words
+    text: np.ndarray  # of each token
+    place: np.ndarray  # of each word among the tokens
+    pairs: tuple[np.ndarray, np.ndarray]  # token before, token
+    triples: tuple[np.ndarray, np.ndarray]  # pair before, pair
+    triple_text: np.ndarray
+
+
+def _grams(texts: pa.Array) -> Iterator[tuple[int, int, Grams]]:
+    """(from, to, tokens): each text's words, then its end."""
     for i, j, data, offsets in blocks(texts):
         w = words(data, offsets, lower=True)
-        size = np.diff(w.first)
         n = j - i
-        start = w.first[:-1] + np.arange(n)
-        symbol = np.full(len(w.hash) + n, END, np.uint64)
+        text = np.repeat(np.arange(n), np.diff(w.first) + 1)
+        code = np.full(len(w.hash) + n, END, np.uint64)
         place = np.arange(len(w.hash)) + owners(w.first)
-        symbol[place] = root.symbols(w.hash)
-        text = np.repeat(np.arange(n), size + 1)
-        b, a = np.empty_like(symbol), np.empty_like(symbol)
-        b[1:], b[0] = symbol[:-1], BEGIN
-        b[start] = BEGIN
-        a[1:], a[0] = b[:-1], BEGIN
-        a[start] = BEGIN
-        if wanted is not None:
-            keep = wanted[i:j][text]
-            symbol, a, b = symbol[keep], a[keep], b[keep]
-        yield i, j, w, text, place, symbol, a, b
+        code[place] = w.hash
+        before = np.empty_like(code)
+        before[1:] = code[:-1]
+        inner = np.ones(len(code), bool)
+        inner[w.first[:-1] + np.arange(n)] = False
+        before[~inner] = BEGIN
+        pair = joined_key(before, code)
+        at = np.flatnonzero(inner)
+        yield i, j, Grams(w, text, place, (before, code), (pair[at - 1], pair[at]), text[at])
 
 
 #: Keys that a worker holds before it hands their counts on.
@@ -188,16 +207,6 @@ def _counted(parts: Iterator[np.ndarray], name: str = "key", count: str = "n") -
             held, size = [], 0
 
 
-def _summed(docs: DataFrame, run, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts of at least ``least``, sorted."""
-    sums = docs.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    with setting(docs.sparkSession, CLEANUP, "true"):
-        found = sums.toArrow()
-    key = found.column("key").to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(key)
-    return key[order], found.column("n").to_numpy()[order]
-
-
 def vocabulary(train: DataFrame) -> tuple[DataFrame, Root]:
     """(word, c) of all training words, as a table, and the root. ``train``: one column of texts."""
 
@@ -222,74 +231,266 @@ def vocabulary(train: DataFrame) -> tuple[DataFrame, Root]:
     order = np.argsort(hashes)
     once, twice = total[2], total[3]
     discount = min(0.9, max(0.1, once / max(1, once + 2 * twice)))
-    return table, Root(hashes[order], frequent.column("c").to_numpy()[order], tokens, distinct, texts, discount)
+    return table, Root(hashes[order], frequent.column("c").to_numpy()[order], tokens, distinct, texts, discount, words=table)
+
+
+CELLS = "bucket int, keys binary, others binary, n binary"
+
+
+def _bits(tokens: int) -> int:
+    """Buckets of keys, as a power of two, for about ``BUCKET`` tokens each."""
+    return max(5, (tokens // BUCKET).bit_length())
+
+
+def _cells(key: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
+    """(bucket, its part) of sorted keys: a bucket is the keys' first bits."""
+    bucket = (key >> np.uint64(64 - bits)).astype(np.int64)
+    first = np.flatnonzero(np.diff(bucket, prepend=-1))
+    for i, j in zip(first, np.append(first, len(key))[1:], strict=True):
+        yield int(bucket[i]), slice(i, j)
+
+
+def _joined(column: pa.ChunkedArray, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
 
 
-def _states(context, count, explicit, parent_logs):
-    """Which contexts diverge enough, their log10 weights, and the log10 of each explicit continuation.
+def _counts(train: DataFrame, level: str, bits: int, turn: int = 0, turns: int = 1) -> DataFrame:
+    """(left, right, n) of all pairs or triples that recur; of one part of them in each of ``turns``.
 
-    ``explicit``: (index of the context, count) of continuations; ``parent_logs``: the suffix state's log10 of each.
+    Workers count their own; a bucket adds up what they counted.
     """
-    at, c = explicit
-    n = count.astype(np.float64)
-    p = (c - 0.5) / n[at]
-    taken = np.bincount(at, p, len(n))
-    parent = np.minimum(np.bincount(at, 10.0**parent_logs, len(n)), 1 - 1e-9)
-    weight = np.log10(np.maximum(1 - taken, 1e-12) / (1 - parent))
-    size = np.bincount(at, minlength=len(n))
-    rest = n - np.bincount(at, c, len(n))
-    gain = np.bincount(at, c * (np.log10(p) - parent_logs), len(n)) + rest * weight
-    keep = (size > 0) & (gain * np.log(10) > 0.5 * (size + 1) * np.log(n))
-    return keep, weight, np.log10(p)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+        found = (getattr(g, level) for batch in batches for *_, g in _grams(batch.column(0)))
+        for part in chain(found, [None]):
+            if part is not None:
+                if turns > 1:
+                    own = joined_key(*part) % np.uint64(turns) == turn
+                    part = part[0][own], part[1][own]
+                held.append(part)
+                size += len(part[0])
+            if held and (part is None or size >= MOST_KEYS):
+                left, right = (np.concatenate(x) for x in zip(*held, strict=True))
+                key, at, n = np.unique(joined_key(left, right), return_index=True, return_counts=True)
+                left, right, n = left[at], right[at], n.astype(np.uint32)
+                rows = [(k, left[x].tobytes(), right[x].tobytes(), n[x].tobytes()) for k, x in _cells(key, bits)]
+                yield _batch(rows, ("bucket", "keys", "others", "n"), (pa.int32(), *[pa.binary()] * 3))
+                held, size = [], 0
+
+    def add(cells: pa.Table) -> pa.Table:
+        left, right = (_joined(cells.column(c), np.uint64) for c in ("keys", "others"))
+        _, at, owner = np.unique(joined_key(left, right), return_index=True, return_inverse=True)
+        n = np.bincount(owner, _joined(cells.column("n"), np.uint32), len(at)).astype(np.int64)
+        at, n = at[n >= LEAST], n[n >= LEAST]
+        return pa.table([signed(left[at]), signed(right[at]), n], names=["left", "right", "n"])
+
+    return train.mapInArrow(run, CELLS).groupBy("bucket").applyInArrow(add, "left long, right long, n long")
+
+
+def _batch(rows: list[tuple], names, types) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names=list(names))
+
+
+def _key(left: str, right: str) -> Column:
+    """``joined_key`` of two columns, in Arrow batches."""
+
+    @F.arrow_udf("long")
+    def key(a: pa.Array, b: pa.Array) -> pa.Array:
+        x, y = (np.ascontiguousarray(v.to_numpy(zero_copy_only=False)).view(np.uint64) for v in (a, b))
+        return pa.array(signed(joined_key(x, y)))
+
+    return key(left, right)
+
+
+def _tested(candidates: DataFrame) -> DataFrame:
+    """(context, weight) of the contexts that diverge enough.
+
+    ``candidates``: context, its count ``total``, ``n`` of a continuation and ``above``, the suffix state's log10 of it.
+    """
+    p = F.col("p")
+    sums = (
+        candidates.withColumn("p", (F.col("n") - 0.5) / F.col("total"))
+        .groupBy("context")
+        .agg(
+            F.max("total").alias("total"),
+            F.count("*").alias("size"),
+            F.sum("n").alias("named"),
+            F.sum(p).alias("taken"),
+            F.least(F.sum(F.pow(F.lit(10.0), F.col("above"))), F.lit(1 - 1e-9)).alias("parent"),
+            F.sum(F.col("n") * (F.log10(p) - F.col("above"))).alias("gain"),
+        )
+        .withColumn("weight", F.log10(F.greatest(1 - F.col("taken"), F.lit(1e-12)) / (1 - F.col("parent"))))
+    )
+    gain = F.col("gain") + (F.col("total") - F.col("named")) * F.col("weight")
+    return sums.where(gain * float(np.log(10)) > 0.5 * (F.col("size") + 1) * F.log(F.col("total"))).select("context", "weight")
+
+
+@dataclass
+class States:
+    """All states as tables; logs to the base of ten."""
+
+    words: DataFrame  # word, c, p (the root's log), weight of the context of one, or null
+    pairs: DataFrame  # key, b, w, n, log, weight of the context of two, or null; worth
+    triples: DataFrame  # key, a, b, w, n, log, worth; explicit continuations and other triples that recur
+    begin: float  # weight of a text's begin as a context
+
+
+def states(train: DataFrame, root: Root) -> States:
+    """Count, test and smooth the contexts of one and two tokens."""
+    bits, total = _bits(root.tokens), max(1, root.tokens)
+    codes = [(x, root.texts, True) for x in (BEGIN, END)]
+    ends = train.sparkSession.createDataFrame([x for x in codes if root.texts], "word long, c long, mark boolean")
+    every = root.words.select("word", "c", F.lit(False).alias("mark")).unionByName(ends)
+    every = every.withColumn("p", F.log10(F.greatest((F.col("c") - root.discount) / total, F.lit(1e-300))))
+    counted = written(_counts(train, "pairs", bits), "pair_counts")
+    follow = every.select(F.col("word").alias("right"), F.col("p").alias("above"))
+    context = every.select(F.col("word").alias("left"), F.col("c").alias("total"))
+    candidates = counted.join(follow.where(F.col("right") != BEGIN), "right").join(context, "left")
+    candidates = written(candidates.withColumnRenamed("left", "context"), "pair_candidates")
+    one = written(_tested(candidates), "states_of_one")
+    words_ = written(
+        every.join(one.withColumnRenamed("context", "word"), "word", "left").select("word", "c", "mark", "p", "weight"),
+        "words",
+    )
+    named = F.log10((F.col("n") - 0.5) / F.col("total"))
+    pairs = written(
+        candidates.join(one, "context", "left").select(
+            _key("context", "right").alias("key"),
+            F.col("context").alias("b"),
+            F.col("right").alias("w"),
+            "n",
+            F.when(F.col("weight").isNotNull(), named).otherwise(F.col("above")).alias("log"),
+            F.coalesce(named - F.col("above") - F.col("weight"), F.lit(0.0)).alias("explicit"),
+        ),
+        "pairs",
+    )
+    # Triples in two turns, so that half of them travel at once.
+    halves = [written(_counts(train, "triples", bits, turn, 2), "triple_counts") for turn in range(2)]
+    counted = halves[0].unionByName(halves[1])
+    follow = pairs.select(F.col("key").alias("right"), "w", F.col("log").alias("above"))
+    context = pairs.select(F.col("key").alias("left"), F.col("b").alias("a"), F.col("w").alias("b"), F.col("n").alias("total"))
+    candidates = counted.join(follow, "right").join(context, "left").withColumnRenamed("left", "context")
+    candidates = written(candidates, "triple_candidates")
+    two = written(_tested(candidates), "states_of_two")
+    triples = candidates.join(two, "context", "left").select(
+        _key("context", "right").alias("key"), "a", "b", "w", "n",
+        F.when(F.col("weight").isNotNull(), named).alias("log"),
+        F.coalesce(named - F.col("above") - F.col("weight"), F.lit(0.0)).alias("worth"),
+    )
+    triples = written(triples, "triples")
+    pairs_ = pairs.join(two.withColumnRenamed("context", "key"), "key", "left")
+    pairs_ = pairs_.withColumn("worth", F.col("explicit") + F.coalesce("weight", F.lit(0.0)))
+    pairs_ = written(pairs_.withColumn("known", F.col("explicit") != 0), "worth_of_pairs")
+    begin = words_.where(F.col("mark") & (F.col("word") == BEGIN)).first()
+    dropped(counted, candidates, one, two, pairs)
+    return States(words_.where(~F.col("mark")).drop("mark"), pairs_, triples, (begin and begin["weight"]) or 0.0)
 
 
 def grow(train: DataFrame, root: Root) -> Tree:
-    """Count, test and smooth the contexts of one and two symbols."""
-    least = max(LEAST, -(-root.tokens // STATES))
+    """The states whose words are all frequent, in memory: a view for models that fit there; scoring uses ``states``."""
+    found = states(train, root)
+    codes = np.concatenate([np.array([BEGIN, END], np.uint64), root.hashes])
     spark = train.sparkSession
-    shared = spark.sparkContext.broadcast(root)
+    frequent = spark.createDataFrame(pa.table({"code": signed(codes)}))
+
+    def symbols(column: pa.ChunkedArray) -> np.ndarray:
+        code = np.ascontiguousarray(column.to_numpy()).astype(np.int64).view(np.uint64)
+        return np.where(code <= END, code, root.symbols(code))
+
+    def collected(rows: DataFrame, *parts: str) -> tuple[np.ndarray, pa.Table]:
+        for part in parts:
+            rows = rows.join(frequent.withColumnRenamed("code", part), part, "left_semi")
+        table = rows.toArrow()
+        key = np.zeros(table.num_rows, np.uint64)
+        for part in parts:
+            key = (key << BITS) | symbols(table.column(part))
+        order = np.argsort(key)
+        return key[order], table.take(order)
+
+    one = np.full(FIRST + len(root.hashes), np.nan)
+    at, table = collected(found.words.where("weight is not null").select("word", "weight"), "word")
+    one[at.astype(np.int64)] = table.column("weight").to_numpy()
+    if found.begin:
+        one[BEGIN] = found.begin
+    next_one, logs_one = collected(found.pairs.where("known").select("b", "w", "log"), "b", "w")
+    two, weights = collected(found.pairs.where("weight is not null").select("b", "w", "weight"), "b", "w")
+    next_two, logs_two = collected(found.triples.where("log is not null").select("a", "b", "w", "log"), "a", "b", "w")
+    return Tree(
+        one, next_one, logs_one.column("log").to_numpy(), two, weights.column("weight").to_numpy(),
+        next_two, logs_two.column("log").to_numpy(),
+    )
+
+
+def _frequent(table: DataFrame, root: Root) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and worth of pairs or triples with at least 1 / ``SYMBOLS`` of all tokens, sorted."""
+    found = table.where(F.col("n") * SYMBOLS >= root.tokens).select("key", "worth").toArrow()
+    key = found.column("key").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(key)
+    return key[order], found.column("worth").to_numpy()[order]
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _counted(
-            (b << BITS) | w for batch in batches for *_, w, _, b in _sequences(shared.value, batch.column(0))
-        )
 
-    pair, pair_n = _summed(train, pairs, least)
-    frequent = spark.sparkContext.broadcast(pair)
-
-    def triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Lookup(frequent.value)
-
-        def keys() -> Iterator[np.ndarray]:
-            for batch in batches:
-                for *_, w, a, b in _sequences(shared.value, batch.column(0)):
-                    held = known((b << BITS) | w) >= 0
-                    held[held] = known((a[held] << BITS) | b[held]) >= 0
-                    yield (a[held] << (BITS + BITS)) | (b[held] << BITS) | w[held]
-
-        yield from _counted(keys())
-
-    triple, triple_n = _summed(train, triples, least)
-    mask = np.uint64((1 << 17) - 1)
-    logs = root.logs()
-    counts = np.concatenate([[root.texts, 0, 0], root.counts])
-    counts[RARE] = root.tokens - root.texts - root.counts.sum()
-    # Contexts of one symbol.
-    b, w = (pair >> BITS).astype(np.int64), (pair & mask).astype(np.int64)
-    keep, weight, p = _states(np.arange(len(counts)), np.maximum(counts, 1), (b, pair_n), logs[w])
-    one = np.where(keep, weight, np.nan)
-    next_one, logs_one = pair[keep[b]], p[keep[b]]
-    tree = Tree(one, next_one, logs_one, *(np.empty(0, t) for t in (np.uint64, float, np.uint64, float)))
-    # Contexts of two: the frequent pairs that do not end a text.
-    inner = w != END
-    two, two_n = pair[inner], pair_n[inner]
-    at = find(two, triple >> BITS)
-    parent = tree.score(logs, np.zeros_like(triple), (triple >> BITS) & mask, triple & mask)
-    keep, weight, p = _states(two, two_n, (at, triple_n), parent)
-    tree.two, tree.weight_two = two[keep], weight[keep]
-    tree.next_two, tree.logs_two = triple[keep[at]], p[keep[at]]
-    tree.lookups.clear()
-    return tree
+def _met(rows: DataFrame, table: DataFrame, root: Root, level: str) -> DataFrame:
+    """(row, score): what a text's pairs or triples are worth, in parts. ``rows``: row, text.
+
+    A cell holds keys of one bucket and how far each one's row is from ``first``; or, where ``first`` is -1,
+    rows and what their frequent pairs or triples are worth.
+    """
+    bits = _bits(root.tokens)
+    shared = rows.sparkSession.sparkContext.broadcast(_frequent(table, root))
+    names, types = ("bucket", "first", "keys", "others"), (pa.int32(), pa.int64(), pa.binary(), pa.binary())
+
+    def cells(own: np.ndarray, texts: pa.Array) -> Iterator[pa.RecordBatch]:
+        key_of, worth = shared.value
+        known = Lookup(key_of)
+        base, held, size = int(own[0]), [], 0
+        for i, j, g in _grams(texts):
+            key = joined_key(*getattr(g, level))
+            text = g.text if level == "pairs" else g.triple_text
+            at = known(key)
+            hot = at >= 0
+            sums = np.bincount(text[hot], worth[at[hot]], j - i).astype(np.float64)
+            yield _batch([(int(own[i]) % (1 << bits), -1, own[i:j].tobytes(), sums.tobytes())], names, types)
+            held.append((key[~hot], (own[i:j][text[~hot]] - base).astype(np.uint32)))
+            size += len(held[-1][0])
+            if size >= MOST_KEYS or j == len(texts):
+                key, offset = (np.concatenate(x) for x in zip(*held, strict=True))
+                order = np.argsort(key)
+                key, offset = key[order], offset[order]
+                yield _batch([(k, base, key[x].tobytes(), offset[x].tobytes()) for k, x in _cells(key, bits)], names, types)
+                held, size = [], 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column(0).to_numpy()
+            # Rows of one partition are close to one another.
+            cuts = np.flatnonzero(np.diff(own >> 33)) + 1
+            for i, j in zip([0, *cuts], [*cuts, len(own)], strict=True):
+                if j > i:
+                    yield from cells(own[i:j], batch.column(1).slice(i, j - i))
+
+    def look(met: pa.Table, model: pa.Table) -> pa.Table:
+        key_of = np.ascontiguousarray(model.column("key").to_numpy()).astype(np.int64).view(np.uint64)
+        order = np.argsort(key_of)
+        key_of, worth = key_of[order], model.column("worth").to_numpy()[order]
+        row, value = [np.empty(0, np.int64)], [np.empty(0)]
+        for first, keys, others in zip(*(met.column(c).to_pylist() for c in names[1:]), strict=True):
+            if first < 0:
+                row.append(np.frombuffer(keys, np.int64))
+                value.append(np.frombuffer(others, np.float64))
+                continue
+            at = find(key_of, np.frombuffer(keys, np.uint64))
+            each, owner = np.unique(np.frombuffer(others, np.uint32)[at >= 0], return_inverse=True)
+            row.append(first + each.astype(np.int64))
+            value.append(np.bincount(owner, worth[at[at >= 0]], len(each)))
+        return pa.table([np.concatenate(row), np.concatenate(value)], names=["row", "score"])
+
+    model = table.where("worth <> 0").select("key", "worth")
+    model = model.withColumn("bucket", F.shiftrightunsigned("key", 64 - bits).cast("int"))
+    dealt = rows.mapInArrow(run, "bucket int, first long, keys binary, others binary").groupBy("bucket")
+    return written(dealt.cogroup(model.groupBy("bucket")).applyInArrow(look, "row long, score double"), f"worth_of_{level}")
 
 
 SCORED = "row long, word long, rare boolean, doc_id long, n_tokens long, n_known long, base double, score double"
@@ -302,54 +503,67 @@ def scored(docs: DataFrame, train: Column) -> DataFrame:
     """
     spark = docs.sparkSession
     learned = docs.where(train).select("text")
-    table, root = vocabulary(learned)
-    tree = grow(learned, root)
-    both = spark.sparkContext.broadcast((root, tree))
-    n, bottom = root.tokens, root.tokens + 0.1 * (root.distinct + 1)
-    discount = root.discount
+    _, root = vocabulary(learned)
+    found = states(learned, root)
+    n, bottom, total = root.tokens, root.tokens + 0.1 * (root.distinct + 1), max(1, root.tokens)
+    # What a word is worth: its log at the root, and the weight of the context that it is for the next token.
+    worth = F.col("p") + F.coalesce("weight", F.lit(0.0))
+    frequent = found.words.where(F.col("c") * SYMBOLS >= n).select("word", worth.alias("worth")).toArrow()
+    key = np.ascontiguousarray(frequent.column("word").to_numpy()).astype(np.int64).view(np.uint64)
+    both = spark.sparkContext.broadcast((root, frequent.column("worth").to_numpy()[np.argsort(key)]))
+    end = float(np.log10(max((root.texts - root.discount) / total, 1e-300))) + found.begin if n else 0.0
+    unknown = float(np.log10(max(root.discount * root.distinct / total, 1e-300))) if n else 0.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, states = both.value
-        logs = known.logs()
-        counts = np.concatenate([[0, known.texts, 0], known.counts])
-        base_of = np.log10((counts + 0.1) / bottom)
+        known, values = both.value
+        value_of = np.concatenate([np.zeros(FIRST), values])
+        base_of = np.log10((np.concatenate([[0, known.texts, 0], known.counts]) + 0.1) / bottom)
         base_of[RARE] = 0
         names = [x.split()[0] for x in SCORED.split(", ")]
         for batch in batches:
             rows, ids = batch.column(0).to_numpy(), batch.column(1)
-            for i, j, w, text, place, symbol, a, b in _sequences(known, batch.column(2)):
-                size = j - i
-                score = np.bincount(text, states.score(logs, a, b, symbol), size)
-                kinds = symbol.astype(np.int64)
-                base = np.bincount(text, base_of[kinds], size)
-                seen = np.bincount(text[(kinds >= FIRST) | ((kinds == END) & (known.texts > 0))], minlength=size)
+            for i, j, data, offsets in blocks(batch.column(2)):
+                w = words(data, offsets, lower=True)
+                size, text = j - i, owners(w.first)
+                symbol = known.symbols(w.hash).astype(np.int64)
+                score = end + np.bincount(text, value_of[symbol], size)
+                base = base_of[END] + np.bincount(text, base_of[symbol], size)
+                seen = np.bincount(text[symbol >= FIRST], minlength=size) + (known.texts > 0)
                 own = rows[i:j]
                 columns = [own, signed(mixed(own.astype(np.uint64))), np.zeros(size, bool), ids.slice(i, size),
                            np.diff(w.first) + 1, seen, base, score]
                 yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in columns], names=names)
-                at = np.flatnonzero(symbol[place] == RARE)
+                at = np.flatnonzero(symbol == RARE)
                 if len(at):
                     none = [pa.nulls(len(at), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
-                    columns = [pa.array(own[text[place[at]]]), pa.array(signed(w.hash[at])), pa.array(np.ones(len(at), bool))]
+                    columns = [pa.array(own[text[at]]), pa.array(signed(w.hash[at])), pa.array(np.ones(len(at), bool))]
                     yield pa.RecordBatch.from_arrays(columns + none, names=names)
 
+    # Written once, so that a row has the same number at every level.
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = written(rows, "rows_to_score")
     parts = rows.mapInArrow(run, SCORED)
     # Rows of whole texts travel with the rare words, under random words that match nothing.
-    met = parts.join(table.select("word", "c", F.lit(True).alias("rare")), ["word", "rare"], "left")
+    met = parts.join(found.words.select("word", "c", worth.alias("worth"), F.lit(True).alias("rare")), ["word", "rare"], "left")
     c = F.coalesce(F.col("c"), F.lit(0))
-    rare_log = float(root.logs()[RARE])
-    total = max(1, n)
-    unknown = max(discount * root.distinct / total, 1e-300)
-    inside = F.log10(F.when(c > 0, (c - discount) / total).otherwise(unknown)) - rare_log if n else F.lit(0.0)
+    inside = F.coalesce(F.col("worth"), F.lit(unknown))
+    met = met.select(
+        "row", "doc_id", "n_tokens",
+        F.when(F.col("rare"), (c > 0).cast("long")).otherwise(F.col("n_known")).alias("n_known"),
+        F.when(F.col("rare"), F.log10((c + 0.1) / bottom)).otherwise(F.col("base")).alias("base"),
+        F.when(F.col("rare"), inside).otherwise(F.col("score")).alias("score"),
+    )
+    if n:
+        for level in ("pairs", "triples"):
+            met = met.unionByName(_met(rows.select("row", "text"), getattr(found, level), root, level), allowMissingColumns=True)
     return (
         met.groupBy("row")
         .agg(
             F.max("doc_id").alias("doc_id"),
             F.max("n_tokens").alias("n_tokens"),
-            F.sum(F.when(F.col("rare"), (c > 0).cast("long")).otherwise(F.col("n_known"))).alias("n_known"),
-            F.sum(F.when(F.col("rare"), F.log10((c + 0.1) / bottom)).otherwise(F.col("base"))).alias("base_score"),
-            F.sum(F.when(F.col("rare"), inside).otherwise(F.col("score"))).alias("score"),
+            F.sum("n_known").alias("n_known"),
+            F.sum("base").alias("base_score"),
+            F.sum("score").alias("score"),
         )
         .select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
     )
