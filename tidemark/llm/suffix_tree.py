@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 from itertools import chain
 from typing import NamedTuple
 
@@ -37,9 +38,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import Words, blocks, dropped, mixed, owners, signed, words, written
 
-SYMBOLS, LEAST, BUCKET = 1 << 16, 2, 1 << 21
+SYMBOLS, LEAST, BUCKET = 1 << 16, 2, 1 << 20
 BEGIN, END, RARE, FIRST = 0, 1, 2, 3
 BITS = np.uint64(17)
+#: Jobs that pairs or triples of all texts are dealt in: disk holds one of them at a time.
+TURNS = 2
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -190,7 +193,7 @@ def _grams(texts: pa.Array) -> Iterator[tuple[int, int, Grams]]:
 
 
 #: Keys that a worker holds before it hands their counts on.
-MOST_KEYS = 1 << 20
+MOST_KEYS = 1 << 19
 
 
 def _counted(parts: Iterator[np.ndarray], name: str = "key", count: str = "n") -> Iterator[pa.RecordBatch]:
@@ -333,8 +336,11 @@ class States:
     """All states as tables; logs to the base of ten."""
 
     words: DataFrame  # word, c, p (the root's log), weight of the context of one, or null
-    pairs: DataFrame  # key, b, w, n, log, weight of the context of two, or null; worth
-    triples: DataFrame  # key, a, b, w, n, log, worth; explicit continuations and other triples that recur
+    pairs: DataFrame  # key, b, w, n, log, explicit: what an explicit continuation is worth
+    triples: DataFrame  # context and right (keys of pairs), n, total, above (log of the suffix state)
+    two: DataFrame  # context (key of a pair), weight
+    pair_worth: DataFrame  # key, n, worth: those that are worth something, or frequent
+    triple_worth: DataFrame
     begin: float  # weight of a text's begin as a context
 
 
@@ -367,26 +373,29 @@ def states(train: DataFrame, root: Root) -> States:
         ),
         "pairs",
     )
+    dropped(counted, candidates, one)
     # Triples in two turns, so that half of them travel at once.
-    halves = [written(_counts(train, "triples", bits, turn, 2), "triple_counts") for turn in range(2)]
-    counted = halves[0].unionByName(halves[1])
-    follow = pairs.select(F.col("key").alias("right"), "w", F.col("log").alias("above"))
-    context = pairs.select(F.col("key").alias("left"), F.col("b").alias("a"), F.col("w").alias("b"), F.col("n").alias("total"))
-    candidates = counted.join(follow, "right").join(context, "left").withColumnRenamed("left", "context")
-    candidates = written(candidates, "triple_candidates")
-    two = written(_tested(candidates), "states_of_two")
-    triples = candidates.join(two, "context", "left").select(
-        _key("context", "right").alias("key"), "a", "b", "w", "n",
-        F.when(F.col("weight").isNotNull(), named).alias("log"),
-        F.coalesce(named - F.col("above") - F.col("weight"), F.lit(0.0)).alias("worth"),
-    )
-    triples = written(triples, "triples")
-    pairs_ = pairs.join(two.withColumnRenamed("context", "key"), "key", "left")
-    pairs_ = pairs_.withColumn("worth", F.col("explicit") + F.coalesce("weight", F.lit(0.0)))
-    pairs_ = written(pairs_.withColumn("known", F.col("explicit") != 0), "worth_of_pairs")
+    halves = [written(_counts(train, "triples", bits, turn, TURNS), "triple_counts") for turn in range(TURNS)]
+    counted = reduce(DataFrame.unionByName, halves)
+    follow = pairs.select(F.col("key").alias("right"), F.col("log").alias("above"))
+    context = pairs.select(F.col("key").alias("left"), F.col("n").alias("total"))
+    triples = counted.join(follow, "right").join(context, "left").withColumnRenamed("left", "context")
+    triples = written(triples, "triple_candidates")
+    dropped(*halves)
+    two = written(_tested(triples), "states_of_two")
+    matters = (F.col("worth") != 0) | (F.col("n") * SYMBOLS >= root.tokens)
+    explicit = triples.join(two, "context", "left").withColumn(
+        "worth", F.coalesce(named - F.col("above") - F.col("weight"), F.lit(0.0))
+    )
+    explicit = explicit.where(matters).select(_key("context", "right").alias("key"), "n", "worth")
+    weighed = pairs.join(two.withColumnRenamed("context", "key"), "key", "left")
+    weighed = weighed.withColumn("worth", F.col("explicit") + F.coalesce("weight", F.lit(0.0)))
     begin = words_.where(F.col("mark") & (F.col("word") == BEGIN)).first()
-    dropped(counted, candidates, one, two, pairs)
-    return States(words_.where(~F.col("mark")).drop("mark"), pairs_, triples, (begin and begin["weight"]) or 0.0)
+    return States(
+        words_.where(~F.col("mark")).drop("mark"), pairs, triples, two,
+        written(weighed.where(matters).select("key", "n", "worth"), "worth_of_pairs"),
+        written(explicit, "worth_of_triples"), (begin and begin["weight"]) or 0.0,
+    )
 
 
 def grow(train: DataFrame, root: Root) -> Tree:
@@ -415,9 +424,13 @@ def grow(train: DataFrame, root: Root) -> Tree:
     one[at.astype(np.int64)] = table.column("weight").to_numpy()
     if found.begin:
         one[BEGIN] = found.begin
-    next_one, logs_one = collected(found.pairs.where("known").select("b", "w", "log"), "b", "w")
-    two, weights = collected(found.pairs.where("weight is not null").select("b", "w", "weight"), "b", "w")
-    next_two, logs_two = collected(found.triples.where("log is not null").select("a", "b", "w", "log"), "a", "b", "w")
+    next_one, logs_one = collected(found.pairs.where("explicit <> 0").select("b", "w", "log"), "b", "w")
+    context = found.pairs.select(F.col("key").alias("context"), F.col("b").alias("a"), F.col("w").alias("b")).join(found.two, "context")
+    two, weights = collected(context.select("a", "b", "weight"), "a", "b")
+    log = F.log10((F.col("n") - 0.5) / F.col("total"))
+    named = found.triples.withColumn("log", log).join(context, "context").select("a", "b", "right", "log")
+    named = named.join(found.pairs.select(F.col("key").alias("right"), "w"), "right").drop("right")
+    next_two, logs_two = collected(named, "a", "b", "w")
     return Tree(
         one, next_one, logs_one.column("log").to_numpy(), two, weights.column("weight").to_numpy(),
         next_two, logs_two.column("log").to_numpy(),
@@ -432,10 +445,10 @@ def _frequent(table: DataFrame, root: Root) -> tuple[np.ndarray, np.ndarray]:
     return key[order], found.column("worth").to_numpy()[order]
 
 
-def _met(rows: DataFrame, table: DataFrame, root: Root, level: str) -> DataFrame:
+def _met(rows: DataFrame, table: DataFrame, root: Root, level: str, turn: int) -> DataFrame:
     """(row, score): what a text's pairs or triples are worth, in parts. ``rows``: row, text.
 
-    A cell holds keys of one bucket and how far each one's row is from ``first``; or, where ``first`` is -1,
+    Each turn sends its part of the keys, so that they do not all travel at once. A cell holds keys of one bucket and how far each one's row is from ``first``; or, where ``first`` is -1,
     rows and what their frequent pairs or triples are worth.
     """
     bits = _bits(root.tokens)
@@ -450,10 +463,11 @@ def _met(rows: DataFrame, table: DataFrame, root: Root, level: str) -> DataFrame
             key = joined_key(*getattr(g, level))
             text = g.text if level == "pairs" else g.triple_text
             at = known(key)
-            hot = at >= 0
+            hot, cold = at >= 0, (at < 0) & (key % np.uint64(TURNS) == turn)
             sums = np.bincount(text[hot], worth[at[hot]], j - i).astype(np.float64)
-            yield _batch([(int(own[i]) % (1 << bits), -1, own[i:j].tobytes(), sums.tobytes())], names, types)
-            held.append((key[~hot], (own[i:j][text[~hot]] - base).astype(np.uint32)))
+            if turn == 0:
+                yield _batch([(int(own[i]) % (1 << bits), -1, own[i:j].tobytes(), sums.tobytes())], names, types)
+            held.append((key[cold], (own[i:j][text[cold]] - base).astype(np.uint32)))
             size += len(held[-1][0])
             if size >= MOST_KEYS or j == len(texts):
                 key, offset = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -554,8 +568,11 @@ def scored(docs: DataFrame, train: Column) -> DataFrame:
         F.when(F.col("rare"), inside).otherwise(F.col("score")).alias("score"),
     )
     if n:
-        for level in ("pairs", "triples"):
-            met = met.unionByName(_met(rows.select("row", "text"), getattr(found, level), root, level), allowMissingColumns=True)
+        dropped(found.pairs, found.triples, found.two)
+        for level, table in (("pairs", found.pair_worth), ("triples", found.triple_worth)):
+            for turn in range(TURNS):
+                met = met.unionByName(_met(rows.select("row", "text"), table, root, level, turn), allowMissingColumns=True)
+            dropped(table)
     return (
         met.groupBy("row")
         .agg(
