@@ -37,8 +37,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import Words, blocks, dropped, mixed, owners, signed, words, written
+from tidemark.session import setting
 
-SYMBOLS, LEAST, BUCKET = 1 << 16, 2, 1 << 20
+SYMBOLS, LEAST, BUCKET = 1 << 16, 2, 1 << 19
 BEGIN, END, RARE, FIRST = 0, 1, 2, 3
 BITS = np.uint64(17)
 #: Jobs that pairs or triples of all texts are dealt in: disk holds one of them at a time.
@@ -193,7 +194,9 @@ def _grams(texts: pa.Array) -> Iterator[tuple[int, int, Grams]]:
 
 
 #: Keys that a worker holds before it hands their counts on.
-MOST_KEYS = 1 << 19
+MOST_KEYS = 1 << 20
+#: Pairs or triples that it holds; and texts that reach it at once.
+MOST_GRAMS, TEXTS = 1 << 18, "1000"
 
 
 def _counted(parts: Iterator[np.ndarray], name: str = "key", count: str = "n") -> Iterator[pa.RecordBatch]:
@@ -257,6 +260,12 @@ def _joined(column: pa.ChunkedArray, kind) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind)
 
 
+def _dealt(df: DataFrame, name: str) -> DataFrame:
+    """``written``, with small batches of texts: workers share an executor's memory."""
+    with setting(df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", TEXTS):
+        return written(df, name)
+
+
 def _counts(train: DataFrame, level: str, bits: int, turn: int = 0, turns: int = 1) -> DataFrame:
     """(left, right, n) of all pairs or triples that recur; of one part of them in each of ``turns``.
 
@@ -274,7 +283,7 @@ def _counts(train: DataFrame, level: str, bits: int, turn: int = 0, turns: int =
                     part = part[0][own], part[1][own]
                 held.append(part)
                 size += len(part[0])
-            if held and (part is None or size >= MOST_KEYS):
+            if held and (part is None or size >= MOST_GRAMS):
                 left, right = (np.concatenate(x) for x in zip(*held, strict=True))
                 key, at, n = np.unique(joined_key(left, right), return_index=True, return_counts=True)
                 left, right, n = left[at], right[at], n.astype(np.uint32)
@@ -351,7 +360,7 @@ def states(train: DataFrame, root: Root) -> States:
     ends = train.sparkSession.createDataFrame([x for x in codes if root.texts], "word long, c long, mark boolean")
     every = root.words.select("word", "c", F.lit(False).alias("mark")).unionByName(ends)
     every = every.withColumn("p", F.log10(F.greatest((F.col("c") - root.discount) / total, F.lit(1e-300))))
-    counted = written(_counts(train, "pairs", bits), "pair_counts")
+    counted = _dealt(_counts(train, "pairs", bits), "pair_counts")
     follow = every.select(F.col("word").alias("right"), F.col("p").alias("above"))
     context = every.select(F.col("word").alias("left"), F.col("c").alias("total"))
     candidates = counted.join(follow.where(F.col("right") != BEGIN), "right").join(context, "left")
@@ -375,7 +384,7 @@ def states(train: DataFrame, root: Root) -> States:
     )
     dropped(counted, candidates, one)
     # Triples in two turns, so that half of them travel at once.
-    halves = [written(_counts(train, "triples", bits, turn, TURNS), "triple_counts") for turn in range(TURNS)]
+    halves = [_dealt(_counts(train, "triples", bits, turn, TURNS), "triple_counts") for turn in range(TURNS)]
     counted = reduce(DataFrame.unionByName, halves)
     follow = pairs.select(F.col("key").alias("right"), F.col("log").alias("above"))
     context = pairs.select(F.col("key").alias("left"), F.col("n").alias("total"))
@@ -469,7 +478,7 @@ def _met(rows: DataFrame, table: DataFrame, root: Root, level: str, turn: int) -
                 yield _batch([(int(own[i]) % (1 << bits), -1, own[i:j].tobytes(), sums.tobytes())], names, types)
             held.append((key[cold], (own[i:j][text[cold]] - base).astype(np.uint32)))
             size += len(held[-1][0])
-            if size >= MOST_KEYS or j == len(texts):
+            if size >= MOST_GRAMS or j == len(texts):
                 key, offset = (np.concatenate(x) for x in zip(*held, strict=True))
                 order = np.argsort(key)
                 key, offset = key[order], offset[order]
@@ -504,7 +513,7 @@ def _met(rows: DataFrame, table: DataFrame, root: Root, level: str, turn: int) -
     model = table.where("worth <> 0").select("key", "worth")
     model = model.withColumn("bucket", F.shiftrightunsigned("key", 64 - bits).cast("int"))
     dealt = rows.mapInArrow(run, "bucket int, first long, keys binary, others binary").groupBy("bucket")
-    return written(dealt.cogroup(model.groupBy("bucket")).applyInArrow(look, "row long, score double"), f"worth_of_{level}")
+    return _dealt(dealt.cogroup(model.groupBy("bucket")).applyInArrow(look, "row long, score double"), f"worth_of_{level}")
 
 
 SCORED = "row long, word long, rare boolean, doc_id long, n_tokens long, n_known long, base double, score double"
