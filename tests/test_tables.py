@@ -215,6 +215,14 @@ def test_staged_rows_lie_in_the_shared_folder_and_go_away(spark):
     assert staged_folders(spark) == []
 
 
+def test_rows_that_fail_while_they_are_staged_leave_no_folder(spark):
+    before = staged_folders(spark)
+    with pytest.raises(Exception, match="stray row"):
+        with staged(spark.range(5).where(F.assert_true(F.col("id") < 3, "stray row").isNull())):
+            pass
+    assert staged_folders(spark) == before
+
+
 def test_export_counts_in_order_and_stops_at_the_first_failure(spark, tmp_path):
     spark.range(4).createOrReplaceTempView("first_table")
     spark.range(0).createOrReplaceTempView("empty_table")
