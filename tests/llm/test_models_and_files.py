@@ -153,6 +153,28 @@ def test_scores_equal_brute_force_with_no_cut_by_share(spark, monkeypatch):
     assert all(math.isclose(got[k], x, rel_tol=1e-9) for k, x in enumerate(expected)), [(got[k], x) for k, x in enumerate(expected)][-12:]
 
 
+def test_texts_meet_their_words_without_a_row_a_key(spark, monkeypatch):
+    """40,000 different words: what a level writes and shuffles are runs of texts, never rows of single words."""
+    made, plain = {}, suffix_tree.written
+    monkeypatch.setattr(suffix_tree, "SYMBOLS", 64)
+
+    def watched(df, name, **options):
+        out = plain(df, name, **options)
+        made.setdefault(name, []).append((df, out))
+        return out
+
+    monkeypatch.setattr(suffix_tree, "written", watched)
+    texts = [" ".join(f"w{200 * k + i}" for i in range(200)) for k in range(200)] * 2 + [None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    found = suffix_tree.scored(docs, F.lit(True))
+    assert found.agg(F.sum("n_known"), F.sum("n_tokens")).first() == (80401, 80401)
+    for name in ("worth_of_words", "worth_of_pairs", "worth_of_triples"):
+        frames = made[name][-2:] if name != "worth_of_words" else made[name]
+        for df, out in frames:
+            assert out.count() == len(texts) and "Join" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_a_longer_corpus_keeps_every_state(spark):
     rare = ["some odd words follow one another here"] * 4
     for more in (0, 3000):

@@ -26,15 +26,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """The rows, written to the shared folder and read back: cuts lineage, survives executors.
 
-    The shuffle files of the job go when it ends.
+    The shuffle files of the job go when it ends. ``options`` are the Parquet writer's.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     with setting(spark, CLEANUP, "true"):
-        df.write.parquet(path)
+        df.write.parquet(path, **options)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -16,7 +16,7 @@ every state sums to one. A text is scored by the longest suffix state at every t
 Counts are over all training texts, and all counts, tests and states are tables, which grow with the corpus:
 ``States``. A text's score is a sum of what its words, its pairs and its triples of tokens are worth, since a
 state's weight counts wherever its context occurs and an explicit continuation is worth the difference. Each
-level meets its table by buckets of hashes, about ``BUCKET`` tokens each. The frequent words, pairs and triples
+level meets its table by buckets of hashes, about ``BUCKET`` tokens each, and what it met goes back to runs of texts. The frequent words, pairs and triples
 (at least 1 / ``SYMBOLS`` of all tokens, so there are at most that many) are broadcast with their worth and
 never travel, so that no bucket is much larger than others.
 
@@ -26,7 +26,7 @@ texts scores are those of an unknown word with all the probability, 0. Other col
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 from itertools import chain
@@ -42,7 +42,7 @@ from tidemark.session import setting
 SYMBOLS, LEAST, BUCKET = 1 << 16, 2, 1 << 19
 BEGIN, END, RARE, FIRST = 0, 1, 2, 3
 BITS = np.uint64(17)
-#: Jobs that pairs or triples of all texts are dealt in: disk holds one of them at a time.
+#: Jobs that triples are counted in, and that pairs or triples meet their worth in, a power of two: disk holds one of them at a time.
 TURNS = 2
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -306,6 +306,11 @@ def _batch(rows: list[tuple], names, types) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names=list(names))
 
 
+def _distinct(table: DataFrame) -> DataFrame:
+    """A table of one row a key: joins hash it, part by part, rather than sort both sides."""
+    return table.hint("shuffle_hash")
+
+
 def _key(left: str, right: str) -> Column:
     """``joined_key`` of two columns, in Arrow batches."""
 
@@ -363,16 +368,16 @@ def states(train: DataFrame, root: Root) -> States:
     counted = _dealt(_counts(train, "pairs", bits), "pair_counts")
     follow = every.select(F.col("word").alias("right"), F.col("p").alias("above"))
     context = every.select(F.col("word").alias("left"), F.col("c").alias("total"))
-    candidates = counted.join(follow.where(F.col("right") != BEGIN), "right").join(context, "left")
+    candidates = counted.join(_distinct(follow.where(F.col("right") != BEGIN)), "right").join(_distinct(context), "left")
     candidates = written(candidates.withColumnRenamed("left", "context"), "pair_candidates")
     one = written(_tested(candidates), "states_of_one")
     words_ = written(
-        every.join(one.withColumnRenamed("context", "word"), "word", "left").select("word", "c", "mark", "p", "weight"),
+        every.join(_distinct(one.withColumnRenamed("context", "word")), "word", "left").select("word", "c", "mark", "p", "weight"),
         "words",
     )
     named = F.log10((F.col("n") - 0.5) / F.col("total"))
     pairs = written(
-        candidates.join(one, "context", "left").select(
+        candidates.join(_distinct(one), "context", "left").select(
             _key("context", "right").alias("key"),
             F.col("context").alias("b"),
             F.col("right").alias("w"),
@@ -388,16 +393,16 @@ def states(train: DataFrame, root: Root) -> States:
     counted = reduce(DataFrame.unionByName, halves)
     follow = pairs.select(F.col("key").alias("right"), F.col("log").alias("above"))
     context = pairs.select(F.col("key").alias("left"), F.col("n").alias("total"))
-    triples = counted.join(follow, "right").join(context, "left").withColumnRenamed("left", "context")
+    triples = counted.join(_distinct(follow), "right").join(_distinct(context), "left").withColumnRenamed("left", "context")
     triples = written(triples, "triple_candidates")
     dropped(*halves)
     two = written(_tested(triples), "states_of_two")
     matters = (F.col("worth") != 0) | (F.col("n") * SYMBOLS >= root.tokens)
-    explicit = triples.join(two, "context", "left").withColumn(
+    explicit = triples.join(_distinct(two), "context", "left").withColumn(
         "worth", F.coalesce(named - F.col("above") - F.col("weight"), F.lit(0.0))
     )
     explicit = explicit.where(matters).select(_key("context", "right").alias("key"), "n", "worth")
-    weighed = pairs.join(two.withColumnRenamed("context", "key"), "key", "left")
+    weighed = pairs.join(_distinct(two.withColumnRenamed("context", "key")), "key", "left")
     weighed = weighed.withColumn("worth", F.col("explicit") + F.coalesce("weight", F.lit(0.0)))
     begin = words_.where(F.col("mark") & (F.col("word") == BEGIN)).first()
     return States(
@@ -454,136 +459,205 @@ def _frequent(table: DataFrame, root: Root) -> tuple[np.ndarray, np.ndarray]:
     return key[order], found.column("worth").to_numpy()[order]
 
 
-def _met(rows: DataFrame, table: DataFrame, root: Root, level: str, turn: int) -> DataFrame:
-    """(row, score): what a text's pairs or triples are worth, in parts. ``rows``: row, text.
+def _packed(x: np.ndarray) -> bytes:
+    """First bytes of all numbers, then second ones and so on: high bytes of small numbers compress."""
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def _unpacked(data: bytes, kind) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+
+
+def _together(parts: list[np.ndarray], kind) -> np.ndarray:
+    return np.concatenate([np.empty(0, kind), *parts])
+
 
-    Each turn sends its part of the keys, so that they do not all travel at once. A cell holds keys of one bucket and how far each one's row is from ``first``; or, where ``first`` is -1,
-    rows and what their frequent pairs or triples are worth.
+MET = "first long, texts binary, counts binary, heavy binary, worth binary"
+
+
+def _met(rows: DataFrame, table: DataFrame, bits: int, spoken: Callable, summed: Callable, out: str, name: str, counted: bool) -> DataFrame:
+    """One row a text, made by ``summed``, of what its keys meet in ``table``. ``rows``: row, text. ``table``: key, n, worth.
+
+    ``summed`` gets numbers of whole texts; the text and count ``n`` of every key met, if these are ``counted``; texts and their worth.
+
+    ``spoken`` gives for a batch of texts, run by run: from, to, keys, the text of each, and numbers of whole texts, one row each.
+    Runs of about ``MOST_GRAMS`` keys travel as cells: the keys of a bucket, and how far each one's text is from the run's
+    ``first``. What was met goes back to the run, whose texts are summed up at once: no row is made for a single key.
     """
-    bits = _bits(root.tokens)
-    shared = rows.sparkSession.sparkContext.broadcast(_frequent(table, root))
-    names, types = ("bucket", "first", "keys", "others"), (pa.int32(), pa.int64(), pa.binary(), pa.binary())
+    names = ("bucket", "first", "keys", "others")
 
     def cells(own: np.ndarray, texts: pa.Array) -> Iterator[pa.RecordBatch]:
-        key_of, worth = shared.value
-        known = Lookup(key_of)
-        base, held, size = int(own[0]), [], 0
-        for i, j, g in _grams(texts):
-            key = joined_key(*getattr(g, level))
-            text = g.text if level == "pairs" else g.triple_text
-            at = known(key)
-            hot, cold = at >= 0, (at < 0) & (key % np.uint64(TURNS) == turn)
-            sums = np.bincount(text[hot], worth[at[hot]], j - i).astype(np.float64)
-            if turn == 0:
-                yield _batch([(int(own[i]) % (1 << bits), -1, own[i:j].tobytes(), sums.tobytes())], names, types)
-            held.append((key[cold], (own[i:j][text[cold]] - base).astype(np.uint32)))
-            size += len(held[-1][0])
+        start, held, size = 0, [], 0
+        for i, j, key, text, whole in spoken(texts):
+            held.append((key, text + (i - start), whole))
+            size += len(key)
             if size >= MOST_GRAMS or j == len(texts):
-                key, offset = (np.concatenate(x) for x in zip(*held, strict=True))
+                key, text = (np.concatenate(x) for x in list(zip(*held, strict=True))[:2])
                 order = np.argsort(key)
-                key, offset = key[order], offset[order]
-                yield _batch([(k, base, key[x].tobytes(), offset[x].tobytes()) for k, x in _cells(key, bits)], names, types)
-                held, size = [], 0
+                key, text, first = key[order], text[order].astype(np.uint16), int(own[start])
+                whole = np.concatenate([x[2] for x in held], axis=1).astype(np.float64)
+                made = [(first % (1 << bits), first, None, whole.tobytes())]
+                made += [(k, first, _packed(np.diff(key[x], prepend=np.uint64(0))), _packed(text[x])) for k, x in _cells(key, bits)]
+                yield _batch(made, names, (pa.int32(), pa.int64(), pa.binary(), pa.binary()))
+                start, held, size = j, [], 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = batch.column(0).to_numpy()
-            # Rows of one partition are close to one another.
-            cuts = np.flatnonzero(np.diff(own >> 33)) + 1
-            for i, j in zip([0, *cuts], [*cuts, len(own)], strict=True):
-                if j > i:
-                    yield from cells(own[i:j], batch.column(1).slice(i, j - i))
+            # Rows of a run follow one another.
+            cuts = np.union1d(np.flatnonzero(np.diff(own) != 1) + 1, np.arange(0, len(own), 1 << 16)).astype(np.int64)
+            for i, j in zip(cuts, np.append(cuts, len(own))[1:], strict=True):
+                yield from cells(own[i:j], batch.column(1).slice(i, j - i))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                held.append(batch)
+            if held and (batch is None or sum(map(len, held)) >= MOST_GRAMS):
+                whole = pa.Table.from_batches(held)
+                key = np.ascontiguousarray(whole.column("key").to_numpy()).astype(np.int64).view(np.uint64)
+                order = np.argsort(key)
+                key, n, worth = key[order], whole.column("n").to_numpy()[order], whole.column("worth").to_numpy()[order]
+                made = [
+                    (k, _packed(np.diff(key[x], prepend=np.uint64(0))), _packed(n[x]), _packed(worth[x])) for k, x in _cells(key, bits)
+                ]
+                yield _batch(made, ("bucket", "keys", "n", "worth"), (pa.int32(), *[pa.binary()] * 3))
+                held = []
 
     def look(met: pa.Table, model: pa.Table) -> pa.Table:
-        key_of = np.ascontiguousarray(model.column("key").to_numpy()).astype(np.int64).view(np.uint64)
+        cut = [np.cumsum(_unpacked(x, np.uint64), dtype=np.uint64) for x in model.column("keys").to_pylist()]
+        key_of = _together(cut, np.uint64)
         order = np.argsort(key_of)
-        key_of, worth = key_of[order], model.column("worth").to_numpy()[order]
-        row, value = [np.empty(0, np.int64)], [np.empty(0)]
+        n_of, worth_of = (
+            _together([_unpacked(x, kind) for x in model.column(c).to_pylist()], kind)[order] for c, kind in (("n", np.int64), ("worth", np.float64))
+        )
+        key_of, made = key_of[order], []
         for first, keys, others in zip(*(met.column(c).to_pylist() for c in names[1:]), strict=True):
-            if first < 0:
-                row.append(np.frombuffer(keys, np.int64))
-                value.append(np.frombuffer(others, np.float64))
+            if keys is None:
+                made.append((first, None, None, None, others))
                 continue
-            at = find(key_of, np.frombuffer(keys, np.uint64))
-            each, owner = np.unique(np.frombuffer(others, np.uint32)[at >= 0], return_inverse=True)
-            row.append(first + each.astype(np.int64))
-            value.append(np.bincount(owner, worth[at[at >= 0]], len(each)))
-        return pa.table([np.concatenate(row), np.concatenate(value)], names=["row", "score"])
-
-    model = table.where("worth <> 0").select("key", "worth")
-    model = model.withColumn("bucket", F.shiftrightunsigned("key", 64 - bits).cast("int"))
-    dealt = rows.mapInArrow(run, "bucket int, first long, keys binary, others binary").groupBy("bucket")
-    return _dealt(dealt.cogroup(model.groupBy("bucket")).applyInArrow(look, "row long, score double"), f"worth_of_{level}")
+            at = find(key_of, np.cumsum(_unpacked(keys, np.uint64), dtype=np.uint64))
+            text, at = _unpacked(others, np.uint16)[at >= 0], at[at >= 0]
+            heavy, sums = np.unique(text, return_inverse=True)
+            sums = np.bincount(sums, worth_of[at], len(heavy))
+            heavy, sums = heavy[sums != 0], sums[sums != 0]
+            if not counted:
+                text, at = text[:0], at[:0]
+            made.append((first, _packed(text), _packed(n_of[at]), _packed(heavy), _packed(sums)))
+        batch = _batch(made, [x.split()[0] for x in MET.split(", ")], (pa.int64(), *[pa.binary()] * 4))
+        return pa.Table.from_batches([batch])
 
+    def add(cells: pa.Table) -> pa.Table:
+        held, whole = ([], [], [], []), None
+        for *found, worth in zip(*(cells.column(c).to_pylist() for c in range(1, 5)), strict=True):
+            if found[0] is None:
+                whole = np.frombuffer(worth)
+                continue
+            for to, x, kind in zip(held, (*found, worth), (np.uint16, np.int64, np.uint16, np.float64), strict=True):
+                to.append(_unpacked(x, kind))
+        text, n, heavy, worth = (_together(x, kind) for x, kind in zip(held, (np.int64, np.int64, np.int64, np.float64), strict=True))
+        columns = summed(whole, text, n, heavy, worth)
+        return pa.table([cells.column(0)[0].as_py() + np.arange(len(columns[0])), *columns], names=[x.split()[0] for x in out.split(", ")])
 
-SCORED = "row long, word long, rare boolean, doc_id long, n_tokens long, n_known long, base double, score double"
+    model = table.select("key", "n", "worth").mapInArrow(deal, "bucket int, keys binary, n binary, worth binary")
+    dealt = rows.mapInArrow(run, "bucket int, first long, keys binary, others binary").groupBy("bucket")
+    met = dealt.cogroup(model.groupBy("bucket")).applyInArrow(look, MET)
+    return _dealt(met.groupBy("first").applyInArrow(add, out), name)
 
 
-def scored(docs: DataFrame, train: Column) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row.
+def _grams_met(rows: DataFrame, table: DataFrame, root: Root, level: str, turn: int) -> DataFrame:
+    """(row, score): what a text's pairs or triples are worth. The frequent ones are known where the text is.
 
-    ``train``: which rows the model learns from, an expression over ``docs``.
+    Each turn sends its part of the others, so that they do not all travel at once.
     """
-    spark = docs.sparkSession
-    learned = docs.where(train).select("text")
-    _, root = vocabulary(learned)
-    found = states(learned, root)
-    n, bottom, total = root.tokens, root.tokens + 0.1 * (root.distinct + 1), max(1, root.tokens)
+    shared = rows.sparkSession.sparkContext.broadcast(_frequent(table, root))
+
+    def spoken(texts: pa.Array):
+        key_of, worth = shared.value
+        known = Lookup(key_of)
+        for i, j, g in _grams(texts):
+            key = joined_key(*getattr(g, level))
+            text = g.text if level == "pairs" else g.triple_text
+            at = known(key)
+            hot, cold = (at >= 0) & (turn == 0), (at < 0) & (key % np.uint64(TURNS) == turn)
+            yield i, j, key[cold], text[cold], np.bincount(text[hot], worth[at[hot]], j - i)[None]
+
+    def summed(whole, text, n, heavy, worth):
+        return [whole + np.bincount(heavy, worth, len(whole))]
+
+    own = F.col("key").bitwiseAND(F.lit(TURNS - 1).cast("long")) == turn
+    model = table.where(own & (F.col("worth") != 0) & (F.col("n") * SYMBOLS < root.tokens))
+    return _met(rows, model, _bits(root.tokens), spoken, summed, "row long, score double", f"worth_of_{level}", False)
+
+
+def _words_met(rows: DataFrame, found: States, root: Root) -> DataFrame:
+    """row, n_tokens, n_known, base and score of the tokens at the root, with the weights of the contexts that they are."""
+    bottom, total = root.tokens + 0.1 * (root.distinct + 1), max(1, root.tokens)
     # What a word is worth: its log at the root, and the weight of the context that it is for the next token.
     worth = F.col("p") + F.coalesce("weight", F.lit(0.0))
-    frequent = found.words.where(F.col("c") * SYMBOLS >= n).select("word", worth.alias("worth")).toArrow()
+    frequent = found.words.where(F.col("c") * SYMBOLS >= root.tokens).select("word", worth.alias("worth")).toArrow()
     key = np.ascontiguousarray(frequent.column("word").to_numpy()).astype(np.int64).view(np.uint64)
-    both = spark.sparkContext.broadcast((root, frequent.column("worth").to_numpy()[np.argsort(key)]))
-    end = float(np.log10(max((root.texts - root.discount) / total, 1e-300))) + found.begin if n else 0.0
-    unknown = float(np.log10(max(root.discount * root.distinct / total, 1e-300))) if n else 0.0
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, values = both.value
+    shared = rows.sparkSession.sparkContext.broadcast((root, frequent.column("worth").to_numpy()[np.argsort(key)]))
+    end, unknown = 0.0, 0.0
+    if root.tokens:
+        end = float(np.log10(max((root.texts - root.discount) / total, 1e-300))) + found.begin
+        unknown = float(np.log10(max(root.discount * root.distinct / total, 1e-300)))
+    discount = root.discount
+
+    def spoken(texts: pa.Array):
+        known, values = shared.value
         value_of = np.concatenate([np.zeros(FIRST), values])
         base_of = np.log10((np.concatenate([[0, known.texts, 0], known.counts]) + 0.1) / bottom)
-        base_of[RARE] = 0
-        names = [x.split()[0] for x in SCORED.split(", ")]
-        for batch in batches:
-            rows, ids = batch.column(0).to_numpy(), batch.column(1)
-            for i, j, data, offsets in blocks(batch.column(2)):
-                w = words(data, offsets, lower=True)
-                size, text = j - i, owners(w.first)
-                symbol = known.symbols(w.hash).astype(np.int64)
-                score = end + np.bincount(text, value_of[symbol], size)
-                base = base_of[END] + np.bincount(text, base_of[symbol], size)
-                seen = np.bincount(text[symbol >= FIRST], minlength=size) + (known.texts > 0)
-                own = rows[i:j]
-                columns = [own, signed(mixed(own.astype(np.uint64))), np.zeros(size, bool), ids.slice(i, size),
-                           np.diff(w.first) + 1, seen, base, score]
-                yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in columns], names=names)
-                at = np.flatnonzero(symbol == RARE)
-                if len(at):
-                    none = [pa.nulls(len(at), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
-                    columns = [pa.array(own[text[at]]), pa.array(signed(w.hash[at])), pa.array(np.ones(len(at), bool))]
-                    yield pa.RecordBatch.from_arrays(columns + none, names=names)
+        for i, j, data, offsets in blocks(texts):
+            w = words(data, offsets, lower=True)
+            size, text = j - i, owners(w.first)
+            symbol = known.symbols(w.hash).astype(np.int64)
+            hot, cold = symbol >= FIRST, symbol == RARE
+            score = end + np.bincount(text[hot], value_of[symbol[hot]], size)
+            base = base_of[END] + np.bincount(text[hot], base_of[symbol[hot]], size)
+            seen = np.bincount(text[hot], minlength=size) + (known.texts > 0)
+            rare = np.bincount(text[cold], minlength=size)
+            yield i, j, w.hash[cold], text[cold], np.stack([score, base, seen, rare, np.diff(w.first) + 1])
+
+    def summed(whole, text, n, heavy, worth):
+        score, base, seen, rare, tokens = whole.reshape(5, -1)
+        size = len(score)
+        met = np.bincount(text, minlength=size)
+        score = score + np.bincount(text, np.log10(np.maximum((n - discount) / total, 1e-300)), size)
+        score += np.bincount(heavy, worth, size) + (rare - met) * unknown
+        base = base + np.bincount(text, np.log10((n + 0.1) / bottom), size) + (rare - met) * np.log10(0.1 / bottom)
+        return [tokens.astype(np.int64), (seen + met).astype(np.int64), base, score]
+
+    model = found.words.where(F.col("c") * SYMBOLS < root.tokens)
+    model = model.select(F.col("word").alias("key"), F.col("c").alias("n"), F.coalesce("weight", F.lit(0.0)).alias("worth"))
+    out = "row long, n_tokens long, n_known long, base double, score double"
+    return _met(rows, model, _bits(root.tokens), spoken, summed, out, "worth_of_words", True)
 
+
+def scored(docs: DataFrame, train: Column) -> DataFrame:
+    """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row.
+
+    ``train``: which rows the model learns from, an expression over ``docs``.
+    """
+    learned = docs.where(train).select("text")
+    counted, root = vocabulary(learned)
+    found = states(learned, root)
+    dropped(counted, found.pairs, found.triples, found.two)
     # Written once, so that a row has the same number at every level.
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = written(rows, "rows_to_score")
-    parts = rows.mapInArrow(run, SCORED)
-    # Rows of whole texts travel with the rare words, under random words that match nothing.
-    met = parts.join(found.words.select("word", "c", worth.alias("worth"), F.lit(True).alias("rare")), ["word", "rare"], "left")
-    c = F.coalesce(F.col("c"), F.lit(0))
-    inside = F.coalesce(F.col("worth"), F.lit(unknown))
-    met = met.select(
-        "row", "doc_id", "n_tokens",
-        F.when(F.col("rare"), (c > 0).cast("long")).otherwise(F.col("n_known")).alias("n_known"),
-        F.when(F.col("rare"), F.log10((c + 0.1) / bottom)).otherwise(F.col("base")).alias("base"),
-        F.when(F.col("rare"), inside).otherwise(F.col("score")).alias("score"),
-    )
-    if n:
-        dropped(found.pairs, found.triples, found.two)
+    rows = written(rows, "rows_to_score", compression="zstd")
+    texts = rows.select("row", "text")
+    parts = [rows.select("row", "doc_id"), _words_met(texts, found, root)]
+    dropped(found.words)
+    if root.tokens:
         for level, table in (("pairs", found.pair_worth), ("triples", found.triple_worth)):
-            for turn in range(TURNS):
-                met = met.unionByName(_met(rows.select("row", "text"), table, root, level, turn), allowMissingColumns=True)
+            parts += [_grams_met(texts, table, root, level, turn) for turn in range(TURNS)]
             dropped(table)
     return (
-        met.groupBy("row")
+        reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        .groupBy("row")
         .agg(
             F.max("doc_id").alias("doc_id"),
             F.max("n_tokens").alias("n_tokens"),
@@ -591,5 +665,5 @@ def scored(docs: DataFrame, train: Column) -> DataFrame:
             F.sum("base").alias("base_score"),
             F.sum("score").alias("score"),
         )
-        .select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
+        .select("doc_id", "n_tokens", "n_known", F.lit(root.tokens).cast("long").alias("train_tokens"), "base_score", "score")
     )
