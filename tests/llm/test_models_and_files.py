@@ -175,6 +175,44 @@ def test_texts_meet_their_words_without_a_row_a_key(spark, monkeypatch):
     assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_texts_are_cut_into_words_once(spark, monkeypatch):
+    """One pass reads texts; all later ones read the hashes of their words, and no row goes through Python for its key."""
+    made, plain = [], suffix_tree.written
+
+    def watched(df, name, **options):
+        made.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return plain(df, name, **options)
+
+    monkeypatch.setattr(suffix_tree, "written", watched)
+    docs = spark.createDataFrame([(i, t, i != 9) for i, t, _ in MESSY], "doc_id long, text string, own boolean")
+    found = suffix_tree.scored(docs, F.col("own"))
+    made.append(("scores", found._jdf.queryExecution().optimizedPlan().toString()))
+    assert [name for name, plan in made if re.search(r"\btext#", plan)] == ["words_of_texts"]
+    assert not any("ArrowEvalPython" in plan for _, plan in made)
+
+
+def test_keys_of_columns_equal_those_of_texts(spark):
+    random = np.random.default_rng(1)
+    left, right = (random.integers(0, 1 << 64, 300, np.uint64) for _ in range(2))
+    left[:2], right[2:4] = suffix_tree.BEGIN, suffix_tree.END
+    rows = spark.createDataFrame(pa.table([left.view(np.int64), right.view(np.int64)], names=["a", "b"]))
+    got = rows.select("a", "b", suffix_tree._key("a", "b").alias("key")).toArrow()
+    a, b, key = (got.column(c).to_numpy().view(np.uint64) for c in ("a", "b", "key"))
+    assert (suffix_tree.joined_key(a, b) == key).all() and len(np.unique(key)) == 300
+
+
+def test_packed_cells_give_their_keys_back():
+    random = np.random.default_rng(3)
+    key = np.sort(random.integers(0, 1 << 64, 5000, np.uint64))
+    parts = list(suffix_tree._cells(key, 6))
+    steps = suffix_tree._planes(suffix_tree._steps(key, parts))
+    cells = [suffix_tree._packed(steps, x) for _, x in parts]
+    sizes = np.array([len(x) // 8 for x in cells])
+    assert (suffix_tree._summed(suffix_tree._unpacked(cells, np.uint64), sizes) == key).all()
+    for x in (random.normal(size=50), random.integers(0, 1 << 16, 50, np.uint16), random.integers(0, 1 << 50, 50)):
+        assert (suffix_tree._unpacked([suffix_tree._packed(suffix_tree._planes(x), slice(None))], x.dtype) == x).all()
+
+
 def test_a_longer_corpus_keeps_every_state(spark):
     rare = ["some odd words follow one another here"] * 4
     for more in (0, 3000):

@@ -18,7 +18,8 @@ Counts are over all training texts, and all counts, tests and states are tables,
 state's weight counts wherever its context occurs and an explicit continuation is worth the difference. Each
 level meets its table by buckets of hashes, about ``BUCKET`` tokens each, and what it met goes back to runs of texts. The frequent words, pairs and triples
 (at least 1 / ``SYMBOLS`` of all tokens, so there are at most that many) are broadcast with their worth and
-never travel, so that no bucket is much larger than others.
+never travel, so that no bucket is much larger than others. Texts are cut into words once: every pass after that
+reads the hashes of their words.
 
 Null texts are empty: one end token. Repeated rows are scored, and learned from, each time. Without training
 texts scores are those of an unknown word with all the probability, 0. Other columns are not read.
@@ -34,17 +35,19 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import Words, blocks, dropped, mixed, owners, signed, words, written
+from tidemark.llm.common import blocks, dropped, owners, signed, words, written
 from tidemark.session import setting
 
 SYMBOLS, LEAST, BUCKET = 1 << 16, 2, 1 << 19
 BEGIN, END, RARE, FIRST = 0, 1, 2, 3
 BITS = np.uint64(17)
-#: Jobs that triples are counted in, and that pairs or triples meet their worth in, a power of two: disk holds one of them at a time.
+#: Jobs that pairs or triples meet their worth in, a power of two: disk holds one of them at a time.
 TURNS = 2
-ODD = np.uint64(0x9E3779B97F4A7C15)
+#: Jobs that pairs and triples are counted in.
+PAIR_TURNS, TRIPLE_TURNS = 2, 3
 
 
 def find(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -158,39 +161,117 @@ class Tree:
         return out
 
 
+_P1, _P2, _P3 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+_P4, _P5 = np.uint64(0x85EBCA77C2B2AE63), np.uint64(0x27D4EB2F165667C5)
+#: Bits that a context's hash is turned by before it meets what follows.
+TURNED = 21
+
+
 def joined_key(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Hash of a context and what follows it: words for pairs, overlapping pairs for triples."""
-    return mixed(left * ODD + right)
+    """Hash of a context and what follows it: words for pairs, overlapping pairs for triples. ``_key`` of columns: Spark's ``xxhash64``."""
+    h = (left << np.uint64(TURNED)) | (left >> np.uint64(64 - TURNED))
+    h ^= right
+    h *= _P2
+    h = (h << np.uint64(31)) | (h >> np.uint64(33))
+    h *= _P1
+    h ^= np.uint64(42) + (_P5 + np.uint64(8))
+    h = (h << np.uint64(27)) | (h >> np.uint64(37))
+    h *= _P1
+    h += _P4
+    h ^= h >> np.uint64(33)
+    h *= _P2
+    h ^= h >> np.uint64(29)
+    h *= _P3
+    h ^= h >> np.uint64(32)
+    return h
 
 
 class Grams(NamedTuple):
-    """Tokens of a block of texts; begin and end have the codes ``BEGIN`` and ``END``."""
+    """Pairs or triples of a block of texts; begin and end have the codes ``BEGIN`` and ``END``."""
+
+    key: np.ndarray  # of pairs or triples
+    left: np.ndarray  # token before, or pair before
+    right: np.ndarray  # token, or pair
+    text: np.ndarray
+
+
+#: Words worked on at once.
+MOST_WORDS = 1 << 17
+
 
-    words: Words
-    text: np.ndarray  # of each token
-    place: np.ndarray  # of each word among the tokens
-    pairs: tuple[np.ndarray, np.ndarray]  # token before, token
-    triples: tuple[np.ndarray, np.ndarray]  # pair before, pair
-    triple_text: np.ndarray
+def _hashed(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(from, to, hashes of words, each text's first word) of runs of texts, or of what ``_coded`` made of them."""
+    if not (pa.types.is_binary(texts.type) or pa.types.is_large_binary(texts.type)):
+        for i, j, data, offsets in blocks(texts):
+            w = words(data, offsets, lower=True)
+            yield i, j, w.hash, w.first
+        return
+    texts = texts.cast(pa.large_binary())
+    if not len(texts):
+        return
+    _, where, data = texts.buffers()
+    first = np.frombuffer(where, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(data, np.uint8)[: first[-1]] if data is not None else np.empty(0, np.uint8)
+    code, first = data[first[0] :].view(np.uint64), (first - first[0]) // 8
+    i = 0
+    while i < len(texts):
+        j = max(i + 1, int(np.searchsorted(first, first[i] + MOST_WORDS, "right")) - 1)
+        yield i, j, code[first[i] : first[j]], first[i : j + 1] - first[i]
+        i = j
+
+
+def _coded(docs: DataFrame, train: Column) -> DataFrame:
+    """row, doc_id, own (``train``), words: the hashes of each text's words, 8 bytes each.
+
+    Written once, so that a row has the same number at every level, and no later pass cuts texts.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, code, first in _hashed(batch.column(3)):
+                held = pa.Array.from_buffers(
+                    pa.large_binary(), j - i, [None, pa.py_buffer(first * 8), pa.py_buffer(np.ascontiguousarray(code))]
+                )
+                columns = [batch.column(k).slice(i, j - i) for k in range(3)] + [held.cast(pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "own", "words"])
+
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), train.alias("own"), "text"
+    )
+    coded = rows.mapInArrow(run, "row long, doc_id long, own boolean, words binary")
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", TEXTS):
+        return written(coded, "words_of_texts", compression="zstd")
 
 
-def _grams(texts: pa.Array) -> Iterator[tuple[int, int, Grams]]:
-    """(from, to, tokens): each text's words, then its end."""
-    for i, j, data, offsets in blocks(texts):
-        w = words(data, offsets, lower=True)
+def _grams(texts: pa.Array, level: str) -> Iterator[tuple[int, int, Grams]]:
+    """(from, to, pairs or triples) of tokens: each text's words, then its end."""
+    for i, j, hashes, first in _hashed(texts):
         n = j - i
-        text = np.repeat(np.arange(n), np.diff(w.first) + 1)
-        code = np.full(len(w.hash) + n, END, np.uint64)
-        place = np.arange(len(w.hash)) + owners(w.first)
-        code[place] = w.hash
+        text = np.repeat(np.arange(n), np.diff(first) + 1)
+        code = np.full(len(hashes) + n, END, np.uint64)
+        inner = np.ones(len(code), bool)
+        inner[first[1:] + np.arange(n)] = False
+        code[inner] = hashes
         before = np.empty_like(code)
         before[1:] = code[:-1]
-        inner = np.ones(len(code), bool)
-        inner[w.first[:-1] + np.arange(n)] = False
+        inner[:] = True
+        inner[first[:-1] + np.arange(n)] = False
         before[~inner] = BEGIN
         pair = joined_key(before, code)
+        if level == "pairs":
+            yield i, j, Grams(pair, before, code, text)
+            continue
         at = np.flatnonzero(inner)
-        yield i, j, Grams(w, text, place, (before, code), (pair[at - 1], pair[at]), text[at])
+        left, right = pair[at - 1], pair[at]
+        yield i, j, Grams(joined_key(left, right), left, right, text[at])
+
+
+def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, an order that sorts all, and where each key's rows begin in it."""
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(key)), bool), key[1:] != key[:-1]]))
+    return key[first], order, first
 
 
 #: Keys that a worker holds before it hands their counts on.
@@ -199,36 +280,58 @@ MOST_KEYS = 1 << 20
 MOST_GRAMS, TEXTS = 1 << 18, "1000"
 
 
-def _counted(parts: Iterator[np.ndarray], name: str = "key", count: str = "n") -> Iterator[pa.RecordBatch]:
-    """Counts of keys, ``MOST_KEYS`` or a little more at a time."""
-    held: list[np.ndarray] = []
-    size = 0
-    for part in chain(parts, [None]):
-        if part is not None:
-            held.append(part)
-            size += len(part)
-        if held and (part is None or size >= MOST_KEYS):
-            key, n = np.unique(np.concatenate(held), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(key)), pa.array(n)], names=[name, count])
-            held, size = [], 0
+def _bits(tokens: int) -> int:
+    """Buckets of keys, as a power of two, for about ``BUCKET`` tokens each."""
+    return max(5, (tokens // BUCKET).bit_length())
+
+
+def _cells(key: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
+    """(bucket, its part) of sorted keys: a bucket is the keys' first bits."""
+    bucket = (key >> np.uint64(64 - bits)).astype(np.int64)
+    first = np.flatnonzero(np.diff(bucket, prepend=-1))
+    for i, j in zip(first, np.append(first, len(key))[1:], strict=True):
+        yield int(bucket[i]), slice(i, j)
+
+
+def _joined(column: pa.ChunkedArray, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def _batch(rows: list[tuple], names, types) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names=list(names))
 
 
 def vocabulary(train: DataFrame) -> tuple[DataFrame, Root]:
-    """(word, c) of all training words, as a table, and the root. ``train``: one column of texts."""
+    """(word, c) of all training words, as a table, and the root. ``train``: one column of texts, or of hashes of their words.
+
+    Workers count their own; a bucket adds up what they counted.
+    """
+    texts, size = train.agg(F.count("*"), F.sum(F.octet_length(train.columns[0]))).first()
+    bits = _bits((size or 0) // 8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _counted(
-            (
-                words(data, offsets, lower=True).hash
-                for batch in batches
-                for _, _, data, offsets in blocks(batch.column(0))
-            ),
-            "word", "c",
-        )
+        held: list[np.ndarray] = []
+        size = 0
+        found = (code for batch in batches for _, _, code, _ in _hashed(batch.column(0)))
+        for part in chain(found, [None]):
+            if part is not None:
+                held.append(part)
+                size += len(part)
+            if held and (part is None or size >= MOST_KEYS):
+                key, n = np.unique(np.concatenate(held), return_counts=True)
+                n = n.astype(np.uint32)
+                rows = [(k, key[x].tobytes(), n[x].tobytes()) for k, x in _cells(key, bits)]
+                yield _batch(rows, ("bucket", "keys", "n"), (pa.int32(), *[pa.binary()] * 2))
+                held, size = [], 0
 
-    counted = train.mapInArrow(run, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    def add(cells: pa.Table) -> pa.Table:
+        key, at, first = _groups(_joined(cells.column("keys"), np.uint64))
+        n = np.add.reduceat(_joined(cells.column("n"), np.uint32)[at].astype(np.int64), first)
+        return pa.table([signed(key), n], names=["word", "c"])
+
+    counted = train.mapInArrow(run, "bucket int, keys binary, n binary").groupBy("bucket").applyInArrow(add, "word long, c long")
     table = written(counted, "vocabulary")
-    texts = train.count()
     c = F.col("c")
     total = table.agg(F.sum(c), F.count("*"), F.count_if(c == 1), F.count_if(c == 2)).first()
     tokens, distinct = (total[0] or 0) + texts, total[1] + (texts > 0)
@@ -243,23 +346,6 @@ def vocabulary(train: DataFrame) -> tuple[DataFrame, Root]:
 CELLS = "bucket int, keys binary, others binary, n binary"
 
 
-def _bits(tokens: int) -> int:
-    """Buckets of keys, as a power of two, for about ``BUCKET`` tokens each."""
-    return max(5, (tokens // BUCKET).bit_length())
-
-
-def _cells(key: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
-    """(bucket, its part) of sorted keys: a bucket is the keys' first bits."""
-    bucket = (key >> np.uint64(64 - bits)).astype(np.int64)
-    first = np.flatnonzero(np.diff(bucket, prepend=-1))
-    for i, j in zip(first, np.append(first, len(key))[1:], strict=True):
-        yield int(bucket[i]), slice(i, j)
-
-
-def _joined(column: pa.ChunkedArray, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), kind)
-
-
 def _dealt(df: DataFrame, name: str) -> DataFrame:
     """``written``, with small batches of texts: workers share an executor's memory."""
     with setting(df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", TEXTS):
@@ -273,53 +359,45 @@ def _counts(train: DataFrame, level: str, bits: int, turn: int = 0, turns: int =
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
         size = 0
-        found = (getattr(g, level) for batch in batches for *_, g in _grams(batch.column(0)))
+        found = (g[:3] for batch in batches for *_, g in _grams(batch.column(0), level))
         for part in chain(found, [None]):
             if part is not None:
                 if turns > 1:
-                    own = joined_key(*part) % np.uint64(turns) == turn
-                    part = part[0][own], part[1][own]
+                    own = np.flatnonzero(part[0] % np.uint64(turns) == turn)
+                    part = tuple(x[own] for x in part)
                 held.append(part)
                 size += len(part[0])
             if held and (part is None or size >= MOST_GRAMS):
-                left, right = (np.concatenate(x) for x in zip(*held, strict=True))
-                key, at, n = np.unique(joined_key(left, right), return_index=True, return_counts=True)
-                left, right, n = left[at], right[at], n.astype(np.uint32)
+                key, left, right = (np.concatenate(x) for x in zip(*held, strict=True))
+                n = len(key)
+                key, at, first = _groups(key)
+                n, at = np.diff(first, append=n).astype(np.uint32), at[first]
+                left, right = left[at], right[at]
                 rows = [(k, left[x].tobytes(), right[x].tobytes(), n[x].tobytes()) for k, x in _cells(key, bits)]
                 yield _batch(rows, ("bucket", "keys", "others", "n"), (pa.int32(), *[pa.binary()] * 3))
                 held, size = [], 0
 
     def add(cells: pa.Table) -> pa.Table:
         left, right = (_joined(cells.column(c), np.uint64) for c in ("keys", "others"))
-        _, at, owner = np.unique(joined_key(left, right), return_index=True, return_inverse=True)
-        n = np.bincount(owner, _joined(cells.column("n"), np.uint32), len(at)).astype(np.int64)
-        at, n = at[n >= LEAST], n[n >= LEAST]
+        _, at, first = _groups(joined_key(left, right))
+        n = np.add.reduceat(_joined(cells.column("n"), np.uint32)[at].astype(np.int64), first)
+        at, n = at[first][n >= LEAST], n[n >= LEAST]
         return pa.table([signed(left[at]), signed(right[at]), n], names=["left", "right", "n"])
 
     return train.mapInArrow(run, CELLS).groupBy("bucket").applyInArrow(add, "left long, right long, n long")
 
 
-def _batch(rows: list[tuple], names, types) -> pa.RecordBatch:
-    columns = zip(*rows, strict=True) if rows else [()] * len(names)
-    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names=list(names))
-
-
 def _distinct(table: DataFrame) -> DataFrame:
     """A table of one row a key: joins hash it, part by part, rather than sort both sides."""
     return table.hint("shuffle_hash")
 
 
 def _key(left: str, right: str) -> Column:
-    """``joined_key`` of two columns, in Arrow batches."""
-
-    @F.arrow_udf("long")
-    def key(a: pa.Array, b: pa.Array) -> pa.Array:
-        x, y = (np.ascontiguousarray(v.to_numpy(zero_copy_only=False)).view(np.uint64) for v in (a, b))
-        return pa.array(signed(joined_key(x, y)))
-
-    return key(left, right)
+    """``joined_key`` of two columns."""
+    turned = F.shiftleft(left, TURNED).bitwiseOR(F.shiftrightunsigned(left, 64 - TURNED))
+    return F.xxhash64(turned.bitwiseXOR(F.col(right)))
 
 
 def _tested(candidates: DataFrame) -> DataFrame:
@@ -358,14 +436,19 @@ class States:
     begin: float  # weight of a text's begin as a context
 
 
-def states(train: DataFrame, root: Root) -> States:
-    """Count, test and smooth the contexts of one and two tokens."""
+def states(train: DataFrame, root: Root, keep: bool = True) -> States:
+    """Count, test and smooth the contexts of one and two tokens.
+
+    Unless ``keep``, words of the root, pairs and triples are dropped as soon as what they are worth is known.
+    """
     bits, total = _bits(root.tokens), max(1, root.tokens)
     codes = [(x, root.texts, True) for x in (BEGIN, END)]
     ends = train.sparkSession.createDataFrame([x for x in codes if root.texts], "word long, c long, mark boolean")
     every = root.words.select("word", "c", F.lit(False).alias("mark")).unionByName(ends)
     every = every.withColumn("p", F.log10(F.greatest((F.col("c") - root.discount) / total, F.lit(1e-300))))
-    counted = _dealt(_counts(train, "pairs", bits), "pair_counts")
+    # Pairs and triples in turns, so that a part of them travels at once.
+    parts = [_dealt(_counts(train, "pairs", bits, turn, PAIR_TURNS), "pair_counts") for turn in range(PAIR_TURNS)]
+    counted = reduce(DataFrame.unionByName, parts)
     follow = every.select(F.col("word").alias("right"), F.col("p").alias("above"))
     context = every.select(F.col("word").alias("left"), F.col("c").alias("total"))
     candidates = counted.join(_distinct(follow.where(F.col("right") != BEGIN)), "right").join(_distinct(context), "left")
@@ -375,6 +458,8 @@ def states(train: DataFrame, root: Root) -> States:
         every.join(_distinct(one.withColumnRenamed("context", "word")), "word", "left").select("word", "c", "mark", "p", "weight"),
         "words",
     )
+    if not keep:
+        dropped(root.words)
     named = F.log10((F.col("n") - 0.5) / F.col("total"))
     pairs = written(
         candidates.join(_distinct(one), "context", "left").select(
@@ -387,15 +472,16 @@ def states(train: DataFrame, root: Root) -> States:
         ),
         "pairs",
     )
-    dropped(counted, candidates, one)
-    # Triples in two turns, so that half of them travel at once.
-    halves = [_dealt(_counts(train, "triples", bits, turn, TURNS), "triple_counts") for turn in range(TURNS)]
-    counted = reduce(DataFrame.unionByName, halves)
+    dropped(*parts, candidates, one)
+    parts = [_dealt(_counts(train, "triples", bits, turn, TRIPLE_TURNS), "triple_counts") for turn in range(TRIPLE_TURNS)]
+    counted = reduce(DataFrame.unionByName, parts)
     follow = pairs.select(F.col("key").alias("right"), F.col("log").alias("above"))
     context = pairs.select(F.col("key").alias("left"), F.col("n").alias("total"))
-    triples = counted.join(_distinct(follow), "right").join(_distinct(context), "left").withColumnRenamed("left", "context")
-    triples = written(triples, "triple_candidates")
-    dropped(*halves)
+    # Written between the joins, so that disk holds the shuffles of one at a time.
+    continued = written(counted.join(_distinct(follow), "right"), "triples_with_suffix")
+    dropped(*parts)
+    triples = written(continued.join(_distinct(context), "left").withColumnRenamed("left", "context"), "triple_candidates")
+    dropped(continued)
     two = written(_tested(triples), "states_of_two")
     matters = (F.col("worth") != 0) | (F.col("n") * SYMBOLS >= root.tokens)
     explicit = triples.join(_distinct(two), "context", "left").withColumn(
@@ -405,11 +491,15 @@ def states(train: DataFrame, root: Root) -> States:
     weighed = pairs.join(_distinct(two.withColumnRenamed("context", "key")), "key", "left")
     weighed = weighed.withColumn("worth", F.col("explicit") + F.coalesce("weight", F.lit(0.0)))
     begin = words_.where(F.col("mark") & (F.col("word") == BEGIN)).first()
+    pair_worth = written(weighed.where(matters).select("key", "n", "worth"), "worth_of_pairs")
+    if not keep:
+        dropped(pairs)
+    triple_worth = written(explicit, "worth_of_triples")
+    if not keep:
+        dropped(triples, two)
     return States(
-        words_.where(~F.col("mark")).drop("mark"), pairs, triples, two,
-        written(weighed.where(matters).select("key", "n", "worth"), "worth_of_pairs"),
-        written(explicit, "worth_of_triples"), (begin and begin["weight"]) or 0.0,
-    )
+        words_.where(~F.col("mark")).drop("mark"), pairs, triples, two, pair_worth, triple_worth, (begin and begin["weight"]) or 0.0
+    )
 
 
 def grow(train: DataFrame, root: Root) -> Tree:
@@ -459,18 +549,44 @@ def _frequent(table: DataFrame, root: Root) -> tuple[np.ndarray, np.ndarray]:
     return key[order], found.column("worth").to_numpy()[order]
 
 
-def _packed(x: np.ndarray) -> bytes:
-    """First bytes of all numbers, then second ones and so on: high bytes of small numbers compress."""
-    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+#: Bytes of the parts that numbers of 8 and 2 bytes travel as, low ones first: the high parts of small numbers compress.
+PARTS = {8: (4, 2, 2), 2: (1, 1)}
 
 
-def _unpacked(data: bytes, kind) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1)
-    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+def _planes(x: np.ndarray) -> list[np.ndarray]:
+    x, out, low = x.view(f"u{x.itemsize}"), [], 0
+    for size in PARTS[x.itemsize]:
+        out.append((x >> x.dtype.type(8 * low)).astype(f"u{size}"))
+        low += size
+    return out
 
 
-def _together(parts: list[np.ndarray], kind) -> np.ndarray:
-    return np.concatenate([np.empty(0, kind), *parts])
+def _packed(planes: list[np.ndarray], part: slice) -> bytes:
+    return b"".join([x[part].tobytes() for x in planes])
+
+
+def _unpacked(cells: list[bytes], kind) -> np.ndarray:
+    """All numbers of packed cells, one cell after the other."""
+    size, low = np.dtype(kind).itemsize, 0
+    out = np.zeros(sum(map(len, cells)) // size, f"u{size}")
+    for part in PARTS[size]:
+        data = b"".join([x[len(x) // size * low : len(x) // size * (low + part)] for x in cells])
+        out |= np.frombuffer(data, f"u{part}").astype(out.dtype) << out.dtype.type(8 * low)
+        low += part
+    return out.view(kind)
+
+
+def _steps(key: np.ndarray, cells: list[tuple[int, slice]]) -> np.ndarray:
+    """Differences of sorted keys; a cell begins with its key."""
+    step, first = np.diff(key, prepend=np.uint64(0)), [x.start for _, x in cells]
+    step[first] = key[first]
+    return step
+
+
+def _summed(step: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Keys of ``_steps``."""
+    key, first = np.cumsum(step, dtype=np.uint64), np.cumsum(sizes) - sizes
+    return key - np.repeat(key[first] - step[first], sizes)
 
 
 MET = "first long, texts binary, counts binary, heavy binary, worth binary"
@@ -495,10 +611,11 @@ def _met(rows: DataFrame, table: DataFrame, bits: int, spoken: Callable, summed:
             if size >= MOST_GRAMS or j == len(texts):
                 key, text = (np.concatenate(x) for x in list(zip(*held, strict=True))[:2])
                 order = np.argsort(key)
-                key, text, first = key[order], text[order].astype(np.uint16), int(own[start])
+                key, first = key[order], int(own[start])
                 whole = np.concatenate([x[2] for x in held], axis=1).astype(np.float64)
-                made = [(first % (1 << bits), first, None, whole.tobytes())]
-                made += [(k, first, _packed(np.diff(key[x], prepend=np.uint64(0))), _packed(text[x])) for k, x in _cells(key, bits)]
+                made, parts = [(first % (1 << bits), first, None, whole.tobytes())], list(_cells(key, bits))
+                steps, texts_of = _planes(_steps(key, parts)), _planes(text[order].astype(np.uint16))
+                made += [(k, first, _packed(steps, x), _packed(texts_of, x)) for k, x in parts]
                 yield _batch(made, names, (pa.int32(), pa.int64(), pa.binary(), pa.binary()))
                 start, held, size = j, [], 0
 
@@ -519,47 +636,49 @@ def _met(rows: DataFrame, table: DataFrame, bits: int, spoken: Callable, summed:
                 whole = pa.Table.from_batches(held)
                 key = np.ascontiguousarray(whole.column("key").to_numpy()).astype(np.int64).view(np.uint64)
                 order = np.argsort(key)
-                key, n, worth = key[order], whole.column("n").to_numpy()[order], whole.column("worth").to_numpy()[order]
-                made = [
-                    (k, _packed(np.diff(key[x], prepend=np.uint64(0))), _packed(n[x]), _packed(worth[x])) for k, x in _cells(key, bits)
-                ]
+                key, parts = key[order], list(_cells(key[order], bits))
+                columns = [_planes(_steps(key, parts)), *(_planes(whole.column(c).to_numpy()[order]) for c in ("n", "worth"))]
+                made = [(k, *(_packed(c, x) for c in columns)) for k, x in parts]
                 yield _batch(made, ("bucket", "keys", "n", "worth"), (pa.int32(), *[pa.binary()] * 3))
                 held = []
 
+    def cut(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+        held = column.to_pylist()
+        sizes = np.array([len(x) // 8 for x in held], np.int64)
+        return _summed(_unpacked(held, np.uint64), sizes), sizes
+
     def look(met: pa.Table, model: pa.Table) -> pa.Table:
-        cut = [np.cumsum(_unpacked(x, np.uint64), dtype=np.uint64) for x in model.column("keys").to_pylist()]
-        key_of = _together(cut, np.uint64)
+        key_of, _ = cut(model.column("keys"))
         order = np.argsort(key_of)
-        n_of, worth_of = (
-            _together([_unpacked(x, kind) for x in model.column(c).to_pylist()], kind)[order] for c, kind in (("n", np.int64), ("worth", np.float64))
-        )
-        key_of, made = key_of[order], []
-        for first, keys, others in zip(*(met.column(c).to_pylist() for c in names[1:]), strict=True):
-            if keys is None:
-                made.append((first, None, None, None, others))
-                continue
-            at = find(key_of, np.cumsum(_unpacked(keys, np.uint64), dtype=np.uint64))
-            text, at = _unpacked(others, np.uint16)[at >= 0], at[at >= 0]
-            heavy, sums = np.unique(text, return_inverse=True)
-            sums = np.bincount(sums, worth_of[at], len(heavy))
-            heavy, sums = heavy[sums != 0], sums[sums != 0]
-            if not counted:
-                text, at = text[:0], at[:0]
-            made.append((first, _packed(text), _packed(n_of[at]), _packed(heavy), _packed(sums)))
+        n_of, worth_of = (_unpacked(model.column(c).to_pylist(), kind)[order] for c, kind in (("n", np.int64), ("worth", np.float64)))
+        whole = pc.is_null(met.column("keys"))
+        made = [(*x, None, None, None, y) for *x, y in zip(*(met.filter(whole).column(c).to_pylist() for c in ("first", "others")), strict=True)]
+        met = met.filter(pc.invert(whole))
+        key, sizes = cut(met.column("keys"))
+        at = Lookup(key_of[order])(key)
+        cell, text = np.repeat(np.arange(len(sizes)), sizes), _unpacked(met.column("others").to_pylist(), np.uint16)
+        cell, text, at = cell[at >= 0], text[at >= 0], at[at >= 0]
+        heavy, sums = np.unique((cell << 16) | text, return_inverse=True)
+        sums = np.bincount(sums, worth_of[at], len(heavy))
+        heavy, sums = heavy[sums != 0], sums[sums != 0]
+        if not counted:
+            cell, text, at = cell[:0], text[:0], at[:0]
+        cells = np.arange(len(sizes) + 1)
+        met_at, heavy_at = np.searchsorted(cell, cells), np.searchsorted(heavy >> 16, cells)
+        counts, heavy = _planes(n_of[at]), heavy.astype(np.uint16)
+        for i, first in enumerate(met.column("first").to_pylist()):
+            x, y = slice(met_at[i], met_at[i + 1]), slice(heavy_at[i], heavy_at[i + 1])
+            made.append((first, text[x].tobytes(), _packed(counts, x), heavy[y].tobytes(), sums[y].tobytes()))
         batch = _batch(made, [x.split()[0] for x in MET.split(", ")], (pa.int64(), *[pa.binary()] * 4))
         return pa.Table.from_batches([batch])
 
     def add(cells: pa.Table) -> pa.Table:
-        held, whole = ([], [], [], []), None
-        for *found, worth in zip(*(cells.column(c).to_pylist() for c in range(1, 5)), strict=True):
-            if found[0] is None:
-                whole = np.frombuffer(worth)
-                continue
-            for to, x, kind in zip(held, (*found, worth), (np.uint16, np.int64, np.uint16, np.float64), strict=True):
-                to.append(_unpacked(x, kind))
-        text, n, heavy, worth = (_together(x, kind) for x, kind in zip(held, (np.int64, np.int64, np.int64, np.float64), strict=True))
-        columns = summed(whole, text, n, heavy, worth)
-        return pa.table([cells.column(0)[0].as_py() + np.arange(len(columns[0])), *columns], names=[x.split()[0] for x in out.split(", ")])
+        first, known = cells.column("first")[0].as_py(), pc.is_null(cells.column("texts"))
+        whole = np.frombuffer(cells.filter(known).column("worth")[0].as_py())
+        cells = cells.filter(pc.invert(known))
+        text, heavy, worth = (_joined(cells.column(c), kind) for c, kind in (("texts", np.uint16), ("heavy", np.uint16), ("worth", np.float64)))
+        columns = summed(whole, text, _unpacked(cells.column("counts").to_pylist(), np.int64), heavy, worth)
+        return pa.table([first + np.arange(len(columns[0])), *columns], names=[x.split()[0] for x in out.split(", ")])
 
     model = table.select("key", "n", "worth").mapInArrow(deal, "bucket int, keys binary, n binary, worth binary")
     dealt = rows.mapInArrow(run, "bucket int, first long, keys binary, others binary").groupBy("bucket")
@@ -570,18 +689,18 @@ def _met(rows: DataFrame, table: DataFrame, bits: int, spoken: Callable, summed:
 def _grams_met(rows: DataFrame, table: DataFrame, root: Root, level: str, turn: int) -> DataFrame:
     """(row, score): what a text's pairs or triples are worth. The frequent ones are known where the text is.
 
-    Each turn sends its part of the others, so that they do not all travel at once.
+    Each turn adds up its part of the keys, so that they do not all travel at once.
     """
     shared = rows.sparkSession.sparkContext.broadcast(_frequent(table, root))
 
     def spoken(texts: pa.Array):
         key_of, worth = shared.value
         known = Lookup(key_of)
-        for i, j, g in _grams(texts):
-            key = joined_key(*getattr(g, level))
-            text = g.text if level == "pairs" else g.triple_text
+        for i, j, g in _grams(texts, level):
+            own = np.flatnonzero(g.key & np.uint64(TURNS - 1) == turn)
+            key, text = g.key[own], g.text[own]
             at = known(key)
-            hot, cold = (at >= 0) & (turn == 0), (at < 0) & (key % np.uint64(TURNS) == turn)
+            hot, cold = at >= 0, at < 0
             yield i, j, key[cold], text[cold], np.bincount(text[hot], worth[at[hot]], j - i)[None]
 
     def summed(whole, text, n, heavy, worth):
@@ -610,16 +729,15 @@ def _words_met(rows: DataFrame, found: States, root: Root) -> DataFrame:
         known, values = shared.value
         value_of = np.concatenate([np.zeros(FIRST), values])
         base_of = np.log10((np.concatenate([[0, known.texts, 0], known.counts]) + 0.1) / bottom)
-        for i, j, data, offsets in blocks(texts):
-            w = words(data, offsets, lower=True)
-            size, text = j - i, owners(w.first)
-            symbol = known.symbols(w.hash).astype(np.int64)
+        for i, j, code, first in _hashed(texts):
+            size, text = j - i, owners(first)
+            symbol = known.symbols(code).astype(np.int64)
             hot, cold = symbol >= FIRST, symbol == RARE
             score = end + np.bincount(text[hot], value_of[symbol[hot]], size)
             base = base_of[END] + np.bincount(text[hot], base_of[symbol[hot]], size)
             seen = np.bincount(text[hot], minlength=size) + (known.texts > 0)
             rare = np.bincount(text[cold], minlength=size)
-            yield i, j, w.hash[cold], text[cold], np.stack([score, base, seen, rare, np.diff(w.first) + 1])
+            yield i, j, code[cold], text[cold], np.stack([score, base, seen, rare, np.diff(first) + 1])
 
     def summed(whole, text, n, heavy, worth):
         score, base, seen, rare, tokens = whole.reshape(5, -1)
@@ -641,14 +759,10 @@ def scored(docs: DataFrame, train: Column) -> DataFrame:
 
     ``train``: which rows the model learns from, an expression over ``docs``.
     """
-    learned = docs.where(train).select("text")
-    counted, root = vocabulary(learned)
-    found = states(learned, root)
-    dropped(counted, found.pairs, found.triples, found.two)
-    # Written once, so that a row has the same number at every level.
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = written(rows, "rows_to_score", compression="zstd")
-    texts = rows.select("row", "text")
+    rows = _coded(docs, train)
+    learned, texts = rows.where("own").select("words"), rows.select("row", "words")
+    _, root = vocabulary(learned)
+    found = states(learned, root, keep=False)
     parts = [rows.select("row", "doc_id"), _words_met(texts, found, root)]
     dropped(found.words)
     if root.tokens:
