@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import random
+from types import SimpleNamespace as Stub
 
 import numpy as np
 import pyarrow as pa
 import pytest
-from tidemark.llm.common import BLOCK, blocks, grams, words
+from tidemark.llm.common import BLOCK, blocks, grams, relieve, words, written
 from tidemark.llm.encoding import Encoder
 from tidemark.llm.queries import vocabulary
 
@@ -82,3 +83,23 @@ def test_frequent_pieces_stay_when_the_memory_is_full(monkeypatch):
     assert {"the", " of", " and"} <= set(found.pieces) and len(found.pieces) <= 22
     for text in ("a  b", "a \nb", "\na", "a ", "a\t b", "a\tb", "a　\nb", " ", "\n"):
         assert found.ids(text) == found.library([text])[0]
+
+
+def driver(local, heap, asked):
+    """What ``relieve`` reads of a session, with so much of 1,000 bytes of heap in use; gets a row for each collection."""
+    runtime = Stub(totalMemory=lambda: heap, maxMemory=lambda: 1000)
+    lang = Stub(Runtime=Stub(getRuntime=lambda: runtime), System=Stub(gc=lambda: asked.append(heap)))
+    context = Stub(_jsc=Stub(sc=lambda: Stub(isLocal=lambda: local)))
+    return Stub(sparkContext=context, _jvm=Stub(java=Stub(lang=lang)))
+
+
+def test_a_grown_heap_of_the_driver_is_collected():
+    asked = []
+    assert [relieve(driver(False, heap, asked)) for heap in (300, 600, 601, 1000)] == [False, False, True, True]
+    assert not relieve(driver(True, 1000, asked)) and asked == [601, 1000]
+
+
+def test_the_driver_is_relieved_after_every_written_table(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr("tidemark.llm.common.relieve", seen.append)
+    assert written(spark.range(3), "three").count() == 3 and seen == [spark]

@@ -371,6 +371,16 @@ def test_languages_of_held_out_documents(spark, provided):
     assert all(0 <= r["score"] <= 1 for r in found.values())
 
 
+def test_training_texts_are_views_of_four_bytes_a_bucket_on_the_driver(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i} " * (i + 1), "xy"[i % 2]) for i in range(20)], "doc_id long, text string, lang string")
+    seen = []
+    monkeypatch.setattr(language_id, "train", lambda bags, languages: seen.append((bags, languages)))
+    language_id.learn(docs, F.col("doc_id") >= 0)
+    [(bags, languages)] = seen
+    assert len(bags) == 20 and sorted(languages) == ["x"] * 10 + ["y"] * 10
+    assert all(a.dtype == np.int32 and not a.flags.owndata and not b.flags.owndata for a, b in bags)
+
+
 def test_languages_of_messy_rows(spark, messy, nothing):
     model = language_id.learn(messy, F.lit(True))
     found = language_id.identify(messy, model)

@@ -35,9 +35,25 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     path = scratch_path(spark, name)
     with setting(spark, CLEANUP, "true"):
         df.write.parquet(path, **options)
+    relieve(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def relieve(spark: SparkSession, share: float = 0.6) -> bool:
+    """Let the driver's JVM collect its garbage if its heap has grown past a share of its limit; whether it was asked to.
+
+    A stage of many short jobs leaves their plans, and the JVM would rather grow to its limit, beside what Python and
+    the JVM hold outside the heap, than collect them. A local session's heap is its executors' too and is left alone.
+    """
+    if spark.sparkContext._jsc.sc().isLocal():
+        return False
+    runtime = spark._jvm.java.lang.Runtime.getRuntime()
+    grown = runtime.totalMemory() > share * runtime.maxMemory()
+    if grown:
+        spark._jvm.java.lang.System.gc()
+    return grown
+
+
 def dropped(*tables: DataFrame) -> None:
     """Remove the files of ``written`` tables that no later result reads."""
     for df in tables:
